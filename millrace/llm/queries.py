@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import quality, sql
+from millrace.llm import credentials, linededup, quality, sql, urlgraph
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op10_quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlgraph.op3_url_filter(_read(spark, sf_dir, "pages"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.op5_line_dedup(_read(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.op8_secret_scan(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
+        "op3_url_filter": op3_url_filter,
+        "op5_line_dedup": op5_line_dedup,
+        "op8_secret_scan": op8_secret_scan,
         "op10_quality_rules": op10_quality_rules,
     }
 

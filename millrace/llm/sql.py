@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import quality
+from millrace.llm import linededup, quality
 
 #: Fixed value: the white space of the text contracts, as a RE2 class.
 W = r"[\x20\x09-\x0D]"
@@ -36,6 +36,22 @@ b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality
 SELECT *, NOT base_failed AND lost_chars * 100 <= word_chars * {quality.MAX_LOST_PERCENT} AS kept FROM b
 """
 
+#: Stripping white space and folding A-Z, as the line contract states it.
+KEY = r"translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP5 = rf"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (SELECT doc_id, pos, line, {KEY} AS key FROM lines),
+common AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= {linededup.MIN_CHARS}
+           GROUP BY key HAVING count(DISTINCT doc_id) >= {linededup.MIN_DOCS}),
+marked AS (SELECT k.*, c.first IS NOT NULL AND k.doc_id > c.first AS dropped FROM keyed k LEFT JOIN common c USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (dropped))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 ORACLES = {
+    "op5_line_dedup": OP5,
     "op10_quality_rules": OP10,
 }
