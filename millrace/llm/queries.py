@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import credentials, linededup, quality, sql, urlgraph
+from millrace.llm import credentials, decontam, linededup, packing, quality, sql, tokens, urlgraph
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,22 +15,37 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op10_quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.op2_decontamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.op3_url_filter(_read(spark, sf_dir, "pages"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.op4_token_counts(_read(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.op5_line_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op7_best_fit_packing(_read(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.op8_secret_scan(_read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
     return {
+        "op2_decontamination": op2_decontamination,
         "op3_url_filter": op3_url_filter,
+        "op4_token_counts": op4_token_counts,
         "op5_line_dedup": op5_line_dedup,
+        "op7_best_fit_packing": op7_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
         "op10_quality_rules": op10_quality_rules,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import linededup, quality
+from millrace.llm import decontam, linededup, quality
 
 #: Fixed value: the white space of the text contracts, as a RE2 class.
 W = r"[\x20\x09-\x0D]"
@@ -51,7 +51,28 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (dropped))::BIGINT
 FROM marked GROUP BY doc_id
 """
 
+OP2 = rf"""
+WITH folded AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+grams AS (SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS k
+          FROM (SELECT item_id, ws, least(len(ws), {decontam.WINDOW}) AS size, unnest(range(1, len(ws) - least(len(ws), {decontam.WINDOW}) + 2)) AS i
+                FROM items WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM grams),
+win AS (SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS k
+        FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM folded, sizes)),
+found AS (SELECT doc_id, win.size, i, item_id FROM win JOIN grams ON win.size = grams.size AND win.k = grams.k),
+hit AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM folded LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 ORACLES = {
+    "op2_decontamination": OP2,
     "op5_line_dedup": OP5,
     "op10_quality_rules": OP10,
 }
