@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import credentials, decontam, linededup, packing, quality, sql, tokens, urlgraph
+from millrace.llm import credentials, decontam, html_text, language, linededup, neardup, packing, quality, sql, tokens, urlgraph
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op9_language_id(_read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op10_quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op1_minhash_near_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op2_decontamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -31,6 +39,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.op5_line_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op6_html_extraction(_read(spark, sf_dir, "pages"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op7_best_fit_packing(_read(spark, sf_dir, "documents"))
 
@@ -41,12 +53,15 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_decontamination": op2_decontamination,
         "op3_url_filter": op3_url_filter,
         "op4_token_counts": op4_token_counts,
         "op5_line_dedup": op5_line_dedup,
+        "op6_html_extraction": op6_html_extraction,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
+        "op9_language_id": op9_language_id,
         "op10_quality_rules": op10_quality_rules,
     }
 

@@ -18,8 +18,12 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def fold_table(separators: bytes) -> np.ndarray:
-    """Byte table: A-Z to a-z, separators to 0, all else unchanged (0 must be a separator)."""
+    """Byte table: A-Z to a-z, separators to 0, all else unchanged.
+
+    A NUL that separates nothing becomes 255, a byte that UTF-8 never has.
+    """
     table = np.arange(256, dtype=np.uint8)
+    table[0] = 255
     table[65:91] += 32
     table[list(separators)] = 0
     return table
