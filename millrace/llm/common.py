@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,15 +33,19 @@ def hash128(value: Column) -> list[Column]:
     return [F.xxhash64(value), F.xxhash64(F.lit(7), value)]
 
 
+def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the cluster's shared folder (``spark.checkpoint.dir``).
 
     The folder is set here only where the session names none, as in local tests.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+    _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -81,3 +86,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component"))
     ).distinct()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder, and read again.
+
+    For wide tables that several later steps scan: columnar, compressed, pruned.
+    """
+    _ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir().rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

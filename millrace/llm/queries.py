@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from millrace.llm import credentials, decontam, html_text, language, linededup, neardup, packing, quality, sql, tokens, urlgraph
 
 
@@ -53,6 +54,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_decontamination": op2_decontamination,
         "op3_url_filter": op3_url_filter,
@@ -67,4 +69,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return dict(sql.ORACLES)
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return sql.ORACLES | pipeline
