@@ -82,14 +82,15 @@ def tier(email: Column, mx_ok: Column | None = None) -> Column:
 def verdict(email: Column, mx: Column, smtp: Column) -> Column:
     """struct<verdict,reason,note> by the first rule that decides. mx: ok, sem_mx or anything else; smtp: aceito, recusado or else."""
     e = clean(email)
+    says = lambda v, r: F.struct(F.lit(v).alias("v"), F.lit(r).alias("r"))
     out = (
-        F.when(~e.rlike(SYNTAX), F.struct(F.lit("invalido").alias("v"), F.lit("sintaxe").alias("r")))
-        .when(domain_of(email).isin(*DISPOSABLE), F.struct(F.lit("invalido"), F.lit("descartavel")))
-        .when(mx == "sem_mx", F.struct(F.lit("invalido"), F.lit("sem_mx")))
-        .when(F.coalesce(mx, F.lit("")) != "ok", F.struct(F.lit("indeterminado"), F.lit("mx")))
-        .when(smtp == "recusado", F.struct(F.lit("invalido"), F.lit("smtp")))
-        .when(smtp == "aceito", F.struct(F.lit("valido"), F.lit("smtp")))
-        .otherwise(F.struct(F.lit("provavel"), F.lit("")))
+        F.when(~e.rlike(SYNTAX), says("invalido", "sintaxe"))
+        .when(domain_of(email).isin(*DISPOSABLE), says("invalido", "descartavel"))
+        .when(mx == "sem_mx", says("invalido", "sem_mx"))
+        .when(F.coalesce(mx, F.lit("")) != "ok", says("indeterminado", "mx"))
+        .when(smtp == "recusado", says("invalido", "smtp"))
+        .when(smtp == "aceito", says("valido", "smtp"))
+        .otherwise(says("provavel", ""))
     )
     note = F.when(reach(email) == "funcao", "caixa de funcao").otherwise("")
     return F.struct(out["v"].alias("verdict"), out["r"].alias("reason"), note.alias("note"))

@@ -146,12 +146,15 @@ def sentences(text: Column, least: int = 25) -> Column:
 def guess_language(text: Column, stop: Mapping[str, list[str]] = STOP_WORDS, default: str = "en", least: int = 3, most: int = 6000) -> Column:
     """The language with most stop words, the first in the table in a tie, the default under ``least``."""
     words = F.regexp_extract_all(F.lower(F.left(F.coalesce(text, F.lit("")), F.lit(most))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    # one pass over the words: their languages' scores are counted from the same array
-    from_words = lambda w: F.array(*[F.size(F.filter(w, lambda x, s=s: x.isin(*s))) for s in stop.values()])
-    scores = F.transform(F.array(words), from_words)[0]
-    best = F.array_max(scores)
+    count = lambda w, known: F.size(F.filter(w, lambda x: x.isin(*known)))
     names = F.array(*[F.lit(x) for x in stop])
-    return F.when(best >= least, F.element_at(names, F.array_position(scores, best).cast("int"))).otherwise(F.lit(default))
+
+    def pick(w: Column) -> Column:
+        scores = F.array(*[count(w, known) for known in stop.values()])
+        best = F.array_max(scores)
+        return F.when(best >= least, F.element_at(names, F.array_position(scores, best).cast("int"))).otherwise(F.lit(default))
+
+    return F.transform(F.array(words), pick)[0]
 
 
 def stems(text: Column, size: int = 6, generic: Iterable[str] = GENERIC_WORDS) -> Column:

@@ -1,13 +1,15 @@
-"""Registry of the reference's own operators as runnable queries."""
+"""The reference's own operators as runnable queries over the driver's tables."""
 
 from __future__ import annotations
 
-FLAGSHIP = ""
+from millrace.plans import aggregates, events, linking, pages, ranking, registry, streams, texts, validation  # noqa: F401
+
+FLAGSHIP = "pages_by_domain"
 
 
 def queries() -> dict:
-    return {}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(registry.ORACLES)
