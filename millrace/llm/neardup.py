@@ -39,6 +39,8 @@ PERCENT = 80
 BANDS = 32
 ROWS = 4
 SKETCH_BITS = 512
+#: Bits of the odd sketch of a full set.
+SET_BITS = 2048
 #: Standard deviations of the similarity estimate by which the sketch may be wrong.
 MARGIN = 6.0
 TABLE = fold_table(WHITE_CHARS.encode())
@@ -57,6 +59,12 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield windows(h[a:b], int(b - a)) if b > a else np.zeros(0, np.uint64)
 
 
+def parities(place: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap of ``bits`` bits, one where an odd number of members falls, as 64-bit words."""
+    odd = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
 class Sampler:
     """MinHash samples, their bands and their odd sketch, from fixed pseudo-random constants."""
 
@@ -84,8 +92,7 @@ class Sampler:
     def sketch(self, m: np.ndarray) -> np.ndarray:
         """Parities of the samples that fall on each bit, as 64-bit words."""
         place = (mix(m + self.order * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(self.bits)
-        odd = (np.bincount(place.astype(np.int64), minlength=self.bits) & 1).astype(np.uint8)
-        return np.packbits(odd, bitorder="little").view(np.uint64)
+        return parities(place, self.bits)
 
 
 def largest_distance(percent: int, bands: int = BANDS, rows: int = ROWS, bits: int = SKETCH_BITS, margin: float = MARGIN) -> int:
@@ -125,28 +132,36 @@ def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: S
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
-    """(id, set) of the documents in ``ids``, each set as hashes."""
+    """(id, set, parity) of the documents in ``ids``: each set as hashes, and its own odd sketch.
+
+    The XOR of two such sketches has at most as many ones as the sets have
+    different members, whatever falls together, so it rules pairs out without error.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(ids, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column("t"), shingle)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
+            sets = list(shingle_sets(batch.column("t"), shingle))
+            odd = [parities(mix(s) % np.uint64(SET_BITS), SET_BITS).view(np.int64) for s in sets]
+            columns = [pa.array(c, pa.list_(pa.int64())) for c in ([s.view(np.int64) for s in sets], odd)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "set", "parity"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *T.StructType.fromDDL("set array<long>, parity array<long>").fields]))
+
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], T.StructField("set", T.ArrayType(T.LongType()))]))
+def _ones(a: str, b: str) -> Column:
+    """Ones in the XOR of two bitmaps."""
+    return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
 
 
-def _close(a: str, b: str, percent: int, distance: int) -> Column:
-    """Sizes and odd sketches (columns ``<side>n``, ``<side>sketch``) leave the threshold possible."""
-    sizes = F.least(f"{a}n", f"{b}n") * 100 >= F.greatest(f"{a}n", f"{b}n") * percent
-    ones = F.aggregate(F.zip_with(f"{a}sketch", f"{b}sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
-    return sizes & (ones <= distance)
+def _sizes(a: str, b: str, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, distance: int) -> DataFrame:
     """The pairs (a, b) that sizes and sketches leave possible; ``marks`` is (id, n, sketch)."""
     side = lambda s: marks.select(F.col("id").alias(s), F.col("n").alias(f"{s}n"), F.col("sketch").alias(f"{s}sketch"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(_close("a", "b", percent, distance)).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes("an", "bn", percent) & (_ones("asketch", "bsketch") <= distance)).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -163,22 +178,27 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``rest`` (id, comp, minor) in different components that share a rare shingle.
 
     Exact for the threshold: shingles are ordered by how many of these documents
-    hold them, ties by hash, the same order for all. One side of a pair is always
-    outside its bucket's main component (minor).
+    hold them, ties by hash, the same order for all. Shingles of one document alone
+    can be in no intersection, so what is left bounds every similarity of it; that
+    bound and the odd sketches of the full sets are tested inside the join, and only
+    pairs that both leave possible come out. One side of a pair is always outside
+    its bucket's main component (minor).
     """
-    held = sets.join(rest.select("id"), "id").select("id", F.size("set").alias("n"), F.explode("set").alias("s"))
-    held = cut_lineage(held)
+    held = cut_lineage(sets.join(rest.select("id"), "id").select("id", F.explode("set").alias("s")))
     rarity = held.groupBy("s").agg(F.count("*").alias("df"))
-    ordered = held.join(rarity, "s").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
-    keep = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
-    # a shingle that only one of these documents holds can't be shared
-    first = F.filter(F.slice("o", 1, keep), lambda x: x["df"] > 1)
-    prefix = cut_lineage(ordered.join(rest, "id").select("id", "n", "comp", "minor", F.explode(first).alias("x")).select("id", "n", "comp", "minor", F.col("x.s").alias("s")))
-    x = prefix.where("minor").select("s", F.col("id").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    y = prefix.select("s", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("minor").alias("bm"))
-    far = (F.col("ac") != F.col("bc")) & (~F.col("bm") | (F.col("a") < F.col("b")))
-    sizes = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
-    return x.join(y, "s").where(far & sizes).select("a", "b").distinct()
+    ordered = held.join(rarity, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
+    n, shared = F.size("o"), F.filter("o", lambda x: x["df"] > 1)
+    first = F.filter(F.slice("o", 1, n - F.ceil(n * percent / F.lit(100)).cast("int") + 1), lambda x: x["df"] > 1)
+    kept = ordered.select("id", n.alias("n"), F.size(shared).alias("m"), first.alias("first"))
+    # no partner at all can reach the threshold with what a document shares
+    kept = kept.where(F.col("m") * 100 >= F.col("n") * percent).join(rest, "id").join(sets.select("id", "parity"), "id")
+    prefix = cut_lineage(kept.select("id", "n", "m", "comp", "minor", "parity", F.explode("first.s").alias("s")))
+    side = lambda d, x: d.select("s", *[F.col(c).alias(x if c == "id" else x + c) for c in ("id", "n", "m", "comp", "minor", "parity")])
+    most = F.least("am", "bm")
+    far = (F.col("acomp") != F.col("bcomp")) & (~F.col("bminor") | (F.col("a") < F.col("b")))
+    possible = most * 100 >= (F.col("an") + F.col("bn") - most) * percent
+    alike = _ones("aparity", "bparity") * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent)
+    return side(prefix.where("minor"), "a").join(side(prefix, "b"), "s").where(far & possible & alike).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -218,7 +238,7 @@ def near_duplicates(
     rest = placed.join(mixed, "key").groupBy("id", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("minor"))
     rest = cut_lineage(rest)
     if not rest.isEmpty():
-        more = _filtered(_prefix_pairs(rest, sets, percent), marks, percent, distance)
+        more = cut_lineage(_prefix_pairs(rest, sets, percent))
         more = cut_lineage(_confirmed(more, sets, percent).distinct())
         if not more.isEmpty():
             comp = cut_lineage(connected_components(links.unionByName(more)))
