@@ -89,53 +89,62 @@ def line_fails(line: Column) -> Column:
         (F.regexp_count(line, F.lit(f"[{SEPARATORS}]")) * 5 >= F.greatest(words, F.lit(10)))
         | (F.regexp_count(line, F.lit(r"[#*$%&|<>{}\\^~=_]")) * 100 > size * MAX_SYMBOL_PERCENT)
         | (F.regexp_count(line, F.lit("!!")) * 5 >= F.greatest(words, F.lit(10)))
-        | (F.regexp_count(line, F.lit(r"\p{L}")) * 100 < size * 40)
+        | (F.char_length(F.regexp_replace(line, r"[^\p{L}]+", "")) * 100 < size * 40)
         | F.lower(line).rlike("|".join(BOILERPLATE))
     )
 
 
-def with_quality(docs: DataFrame, text: str = "text", max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
-    """(row, quality): the whole input row, and a struct of its counts and verdict.
+def verdict(text: Column, max_lost_percent: int = MAX_LOST_PERCENT, cleaned: bool = True) -> Column:
+    """One struct with the counts and verdict of a text; each part of it is computed once a row, in filters too.
 
-    quality has n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, lost_chars (characters of failed lines), n_failed_lines,
-    clean_text (the text without failed lines) and kept. The input row is nested,
-    so that its column names can't clash. Null text: counts of 0, base_failed.
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    lost_chars (characters of failed lines), n_failed_lines and kept; with
+    ``cleaned`` also clean_text, the text without failed lines.
     """
-    src = F.col(text)
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(src, F.lit("")).alias("t"))
-    rows = rows.withColumn("words", words_of(F.col("t"))).withColumn("lines", F.split("t", "\n"))
-    rows = rows.withColumn(
-        "judged",
-        F.transform(
-            "lines",
-            lambda x: F.struct(x.alias("line"), solid(x).alias("size"), line_fails(x).alias("bad")),
-        ),
-    )
-    full = F.transform(F.filter("judged", lambda x: x["size"] > 0), lambda x: x["line"])
-    rows = rows.select(
-        "row",
-        F.size("words").cast("long").alias("n_words"),
-        F.aggregate("judged", F.lit(0).cast("long"), lambda a, x: a + x["size"]).alias("word_chars"),
-        F.regexp_count("t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
-        let(full, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"),
-        F.aggregate("judged", F.lit(0).cast("long"), lambda a, x: a + F.when(x["bad"], x["size"]).otherwise(0)).alias("lost_chars"),
-        F.size(F.filter("judged", lambda x: (x["size"] > 0) & x["bad"])).cast("long").alias("n_failed_lines"),
-        F.array_join(
-            F.transform(F.filter("judged", lambda x: (x["size"] == 0) | ~x["bad"]), lambda x: x["line"]), "\n"
-        ).alias("clean_text"),
-    )
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT)
-    rows = rows.withColumn("base_failed", failed)
-    kept = ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * max_lost_percent)
-    rows = rows.withColumn("kept", kept)
-    return rows.select("row", F.struct(*[c for c in rows.columns if c != "row"]).alias("quality"))
+
+    def of_words(words: Column) -> Column:
+        return F.struct(F.size(words).cast("long").alias("n"), repeated_words(words).alias("repeated"))
+
+    def of_lines(lines: Column) -> Column:
+        full = F.transform(F.filter(lines, lambda x: x["size"] > 0), lambda x: x["line"])
+        total = lambda size: F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + size(x))
+        parts = [
+            total(lambda x: x["size"]).alias("chars"), total(lambda x: F.when(x["bad"], x["size"]).otherwise(0)).alias("lost"),
+            F.size(F.filter(lines, lambda x: (x["size"] > 0) & x["bad"])).cast("long").alias("failed"),
+            let(full, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("dup"),
+        ]
+        if cleaned:
+            stay = F.filter(lines, lambda x: (x["size"] == 0) | ~x["bad"])
+            parts.append(F.array_join(F.transform(stay, lambda x: x["line"]), "\n").alias("text"))
+        return F.struct(*parts)
+
+    def judge(s: Column) -> Column:
+        w, x = s["w"], s["x"]
+        failed = (w["n"] < MIN_WORDS) | (w["repeated"] * 100 > w["n"] * MAX_REPEATED_PERCENT)
+        named = [
+            w["n"].alias("n_words"), x["chars"].alias("word_chars"), s["symbols"].alias("n_symbols"), x["dup"].alias("n_dup_lines"),
+            w["repeated"].alias("n_repeat_words"), failed.alias("base_failed"), x["lost"].alias("lost_chars"), x["failed"].alias("n_failed_lines"),
+            (~failed & (x["lost"] * 100 <= x["chars"] * max_lost_percent)).alias("kept"),
+        ]
+        return F.struct(*named, *([x["text"].alias("clean_text")] if cleaned else []))
+
+    text = F.coalesce(text, F.lit(""))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), solid(x).alias("size"), line_fails(x).alias("bad")))
+    symbols = F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long")
+    return let(F.struct(let(words_of(text), of_words).alias("w"), let(lines, of_lines).alias("x"), symbols.alias("symbols")), judge)
+
+
+def with_quality(docs: DataFrame, text: str = "text", max_lost_percent: int = MAX_LOST_PERCENT, cleaned: bool = True) -> DataFrame:
+    """(row, quality): the whole input row nested, so that no name can clash, and its :func:`verdict`.
+
+    Null text: counts of 0, base_failed.
+    """
+    return docs.select(F.struct("*").alias("row"), verdict(F.col(text), max_lost_percent, cleaned).alias("quality"))
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with their columns and text unchanged."""
-    return with_quality(docs, text).where("quality.kept").select("row.*")
+    return docs.where(verdict(F.col(text), cleaned=False)["kept"])
 
 
 def op10_quality_rules(docs: DataFrame) -> DataFrame:
@@ -145,4 +154,4 @@ def op10_quality_rules(docs: DataFrame) -> DataFrame:
     repeated rows are judged one by one; other columns are ignored.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines", "lost_chars"]
-    return with_quality(docs).select(F.col("row.doc_id").alias("doc_id"), *[F.col(f"quality.{n}").alias(n) for n in names])
+    return with_quality(docs.select("doc_id", "text"), cleaned=False).select(F.col("row.doc_id").alias("doc_id"), *[F.col(f"quality.{n}").alias(n) for n in names])
