@@ -115,8 +115,9 @@ def fair_next(items: DataFrame, done: DataFrame, group: str, index: str) -> Data
 
 
 def even_sample(df: DataFrame, key: Column, fraction: float, seed: int = 7) -> DataFrame:
-    """A repeatable share of the rows, by a hash of their key."""
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    """A repeatable share of the rows, by a hash of seed and key that any engine has."""
+    digits = F.conv(F.left(F.md5(F.concat_ws(":", F.lit(seed), key)), F.lit(8)), 16, 10).cast("long")
+    return df.where(digits < int(fraction * 2**32))
 
 
 def fixed_order(df: DataFrame, column: str, values: Iterable[str], then: list) -> DataFrame:

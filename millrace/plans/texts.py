@@ -132,7 +132,15 @@ def quote_check(spark, sf_dir):
     return quotes.join(counts, "item_id", "left").select("item_id", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), F.coalesce("first_doc", F.lit(-1)).cast("long").alias("first_doc"))
 
 
-@query()
+_SIGNAL = "(^|[^a-z0-9])(" + "|".join(sorted(SIGNALS, key=lambda t: (-len(t), t))) + ")"
+
+
+@query(rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, trim(regexp_replace(strip_accents(lower(line)), '\s+', ' ', 'g')) AS key FROM l WHERE length(line) >= 60),
+s AS (SELECT doc_id, pos, line, len(regexp_extract_all(key, '{{_VOCAB}}')) AS v, len(regexp_extract_all(key, '{{_SIGNAL}}')) AS g FROM k),
+b AS (SELECT * FROM s WHERE v > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY v + 2 * g DESC, pos) <= 5)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS place, (v + 2 * g)::BIGINT AS score,
+CASE WHEN length(line) <= 500 THEN line WHEN contains(left(line, 500), ' ') THEN regexp_replace(regexp_extract(left(line, 500), '(?s)^(.*) [^ ]*$', 1), '[,;:]+$', '') ELSE regexp_replace(left(line, 500), '[,;:]+$', '') END AS excerpt FROM b""".replace("{_VOCAB}", _VOCAB).replace("{_SIGNAL}", _SIGNAL))
 def excerpts_topk(spark, sf_dir):
     """The five lines of each document with most vocabulary and signals, in their order."""
     lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
