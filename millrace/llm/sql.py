@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontam, linededup, quality
+from millrace.llm import credentials, decontam, linededup, quality
 
 #: Fixed value: the white space of the text contracts, as a RE2 class.
 W = r"[\x20\x09-\x0D]"
@@ -71,7 +71,49 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM folded LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP1 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT k FROM s GROUP BY k HAVING count(*) > 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM (SELECT * FROM s SEMI JOIN shared USING (k)) a JOIN (SELECT * FROM s SEMI JOIN shared USING (k)) b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+paths AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, paths.b FROM reach r JOIN paths ON r.other = paths.a),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+def _kind(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """One kind's spans: gaps and matches alternate, so running sums of their lengths are positions."""
+    p = pattern.replace("(?<![A-Za-z0-9+/_=-])", "").replace("{20,}+", "{20,}").replace("'", "''")
+    test = "AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT regexp_full_match(hit, '[0-9a-f]{24,}')" if kind == "secret" else ""
+    return f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind, stop - length(hit) AS start, stop FROM (
+SELECT doc_id, hit, part, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS stop FROM (
+SELECT doc_id, unnest(h) AS hit, unnest(m) AS part, unnest(g[1:len(h)]) AS gap, unnest(range(len(h))) AS ord FROM (
+SELECT doc_id, regexp_extract_all(t, '{p}', 0) AS h, regexp_extract_all(t, '{p}', {group}) AS m, regexp_split_to_array(t, '{p}') AS g FROM d))) WHERE length(part) >= {least} {test}"""
+
+
+_ROLES = "CASE kind WHEN 'assign' THEN 'secret' WHEN 'hex' THEN 'secret' WHEN 'secret' THEN 'secret' WHEN 'access' THEN 'identifier' WHEN 'identifier' THEN 'identifier' ELSE 'endpoint' END"
+_KINDS = " UNION ALL ".join(_kind(i, *k) for i, k in enumerate(credentials.BASE + credentials.WEAK))
+
+OP8 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({_KINDS}),
+roles AS (SELECT *, {_ROLES} AS role FROM spans),
+linked AS (SELECT DISTINCT a.doc_id, a.rank, a.kind, a.start, a.stop FROM roles a JOIN roles b ON a.doc_id = b.doc_id AND b.start <= a.stop + {credentials.WINDOW} AND b.stop >= a.start - {credentials.WINDOW}
+           WHERE a.rank >= {len(credentials.BASE)} AND CASE a.role WHEN 'secret' THEN b.role IN ('identifier', 'endpoint') ELSE b.role = 'secret' END),
+every AS (SELECT doc_id, rank, kind, start, stop FROM roles WHERE rank < {len(credentials.BASE)} UNION ALL SELECT * FROM linked),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+      string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < {len(credentials.BASE)}) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+      FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+"""
+
 ORACLES = {
+    "op1_minhash_near_dedup": OP1,
+    "op8_secret_scan": OP8,
     "op2_decontamination": OP2,
     "op5_line_dedup": OP5,
     "op10_quality_rules": OP10,
