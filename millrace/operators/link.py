@@ -151,14 +151,26 @@ def recall(reference: DataFrame, run: DataFrame, key: str) -> DataFrame:
     return both.agg(common.alias("common"), F.count_if(F.col("_f").isNull()).alias("missed"), F.count_if(F.col("_r").isNull()).alias("new"), F.round(F.try_divide(common, n), 3).alias("recall"))
 
 
-def similar_elsewhere(items: DataFrame, key: str, owner: str, tokens: str, least: int = 3) -> DataFrame:
-    """(key, others): distinct other owners with an item that shares at least ``least`` tokens.
+def triples(tokens: Column) -> Column:
+    """Hashes of all sets of three different tokens; a sentence has a few hundred at most."""
+    a, n = F.array_sort(F.array_distinct(tokens)), F.size(tokens)
 
-    Pairs meet on tokens, so pairs without a common one never exist; items that
-    share fewer than ``least`` go before owners are counted. A token that a large
-    share of items has should be in the caller's stop list.
+    def from_second(x: Column, rest: Column) -> Column:
+        third = lambda y, j: F.transform(F.slice(rest, j + 2, n), lambda z: F.xxhash64(x, y, z))
+        return F.flatten(F.transform(rest, third))
+
+    first = lambda s: F.flatten(F.transform(s, lambda x, i: from_second(x, F.slice(s, i + 2, n))))
+    return F.transform(F.array(a), first)[0]
+
+
+def similar_elsewhere(items: DataFrame, key: str, owner: str, tokens: str) -> DataFrame:
+    """(key, others): distinct other owners with an item that shares at least three tokens with a key's.
+
+    Two items share three tokens when they share a set of three. An item meets the
+    owners that have one of its sets, never their items, so a set that very many
+    items have costs each of them a row an owner and no more.
     """
-    words = items.select(key, owner, F.explode(F.array_distinct(tokens)).alias("_t"))
-    other = words.select(F.col(key).alias("_k"), F.col(owner).alias("_o"), "_t")
-    shared = words.join(other, "_t").where((F.col(owner) != F.col("_o"))).groupBy(key, "_k", "_o").agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
-    return shared.groupBy(key).agg(F.count_distinct("_o").alias("others"))
+    sets = items.select(key, owner, F.explode(F.array_distinct(triples(F.col(tokens)))).alias("_t"))
+    owners = sets.select("_t", F.col(owner).alias("_o")).distinct()
+    found = sets.join(owners, "_t").where(F.col(owner) != F.col("_o"))
+    return found.groupBy(key).agg(F.count_distinct("_o").alias("others"))

@@ -27,10 +27,13 @@ def violations(df: DataFrame, key: str, rules: Mapping[str, Column]) -> DataFram
 
 
 def duplicated(df: DataFrame, keys: list[str], key: str, rule: str = "duplicate") -> DataFrame:
-    """(key, rule) for every row but the first of those that share ``keys``."""
-    from millrace.operators.rank import ranked
+    """(key, rule) for every row but the first of those that share ``keys``.
 
-    return ranked(df, keys, [F.col(key)], "_rn").where("_rn > 1").select(key, F.lit(rule).alias("rule"))
+    The first one is a minimum, combined before the shuffle, so no task holds all
+    copies of a very common row.
+    """
+    firsts = df.groupBy(*keys).agg(F.min(key).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    return df.join(firsts, keys).where(F.col(key) != F.col("_first")).select(key, F.lit(rule).alias("rule"))
 
 
 def coverage(df: DataFrame, columns: list[str], missing: Column | None = None) -> DataFrame:

@@ -107,10 +107,7 @@ def stem_similarity(spark, sf_dir):
     from millrace.operators.link import similar_elsewhere
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", text.stems(F.get(F.split("text", "\n"), F.lit(0)), generic=["erinorinwh"]).alias("stems"))
-    # lines that many documents share meet once each: documents with equal stems and source are one class
-    classes = docs.groupBy("source", F.array_sort("stems").alias("stems")).agg(F.collect_list("doc_id").alias("ids"), F.min("doc_id").alias("rep"))
-    found = similar_elsewhere(classes, "rep", "source", "stems")
-    return found.join(classes, "rep").select(F.explode("ids").alias("doc_id"), "others")
+    return similar_elsewhere(docs, "doc_id", "source", "stems")
 
 
 @query(r"""WITH p AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS q FROM benchmark),

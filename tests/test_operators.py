@@ -112,3 +112,39 @@ def test_quota_repeats_are_free(spark, tmp_path):
     spark.createDataFrame([("p", i, q) for i, q in enumerate(["a", "b", "a", "c", "d", "b"])], "k string, i int, q string").coalesce(1).write.parquet(str(tmp_path / "landed"))
     out = files.run_to_end(state.within_quota(files.file_stream(spark, str(tmp_path / "landed")), "k", "q", ["i"], 3), str(tmp_path / "out"))
     assert rows(out, "i", "accepted") == [(0, True), (1, True), (2, True), (3, True), (4, False), (5, True)]
+
+
+def test_source_predicates(spark):
+    from millrace.operators import filters
+
+    df = spark.createDataFrame([("Ágil Pesquisas", -16.6, -49.2, "7320-3/00", "1,7320-3/00"), ("Dr. Ana", None, -49.2, "1", "2")], "nome string, lat double, lng double, p string, s string")
+    got = [tuple(r) for r in df.select(
+        filters.is_company(F.col("nome")), filters.in_box(F.col("lat"), F.col("lng"), -17, -50, -16, -49), filters.activity_role(F.col("p"), F.col("s"), "7320-3/00"),
+        filters.activity_role(F.lit("9"), F.col("s"), "7320-3/00"), filters.is_brand(F.col("nome"), "agil", "xyz"), filters.normal_status(F.col("p"), {"1": "valido"}),
+    ).collect()]
+    assert got == [(True, True, "principal", "secundaria", True, "indeterminado"), (False, False, None, None, False, "valido")]
+    assert filters.without_names(df, "nome", ["ANA"]).count() == 1
+    s = spark.createDataFrame([("a", "q1", 1), ("a", "q2", 2), ("a", "q1", 3), ("a", "q3", 4)], "k string, q string, o int")
+    assert rows(filters.within_ceiling(s, ["k"], "q", "o", 2), "q", "o") == [("q1", 1), ("q1", 3), ("q2", 2)]
+    t = filters.expanded_queries(spark.createDataFrame([("x",)], "t string"), "t", ["what is {}", "{} price"])
+    assert rows(t, "ord", "consulta") == [(0, "what is x"), (1, "x price")]
+    c = filters.approved(spark.createDataFrame([("synthetic data platform",), ("platform",), (None,)], "h string"), "h", "platform", "synthetic")
+    assert sorted(map(tuple, c.select("motivo", "aprovada").collect())) == [("", True), ("no offer", False), ("off topic", False)]
+
+
+def test_extraction_takes_pages_in_order(spark):
+    from millrace.operators import extract
+
+    pages = spark.createDataFrame([("a", "u2", 1, "Founded in 2015 by two people in Berlin."), ("a", "u1", 0, "We were founded in 2012, as a company. Nothing else is said here."), ("b", "u3", 0, "No such thing is said on this page.")], "c string, url string, priority int, text string")
+    s = extract.page_sentences(pages, "c", "url", "text", "priority")
+    got = {r["c"]: r for r in extract.first_match(s, "c", {"year": r"founded in (\d{4})", "hq": r"in (Berlin|Paris)"}).collect()}
+    assert (got["a"]["year"]["valor"], got["a"]["year"]["url"], got["a"]["hq"]["valor"], got["b"]["year"]["tipo"]) == ("2012", "u1", "Berlin", "not found")
+    names = spark.createDataFrame([("Acme", 1), ("Acme Labs", 0), ("Be", 2)], "n string, o int")
+    texts = spark.createDataFrame([(1, "By ACME labs, in 2026"), (2, "acmelabs"), (3, "To be or not")], "k int, t string")
+    assert rows(extract.mentions(texts, "k", "t", names, "n", "o"), "k", "n") == [(1, "Acme Labs"), (3, "Be")]
+    assert [r[0] for r in spark.sql("SELECT 'so: [{\"a\": 1}] ok' AS x").select(extract.answered(F.col("x"), "ARRAY<STRUCT<a INT>>")).collect()][0][0]["a"] == 1
+
+
+def test_similar_items_of_other_owners(spark):
+    df = spark.createDataFrame([(1, "o1", ["a", "b", "c", "d"]), (2, "o2", ["b", "c", "d"]), (3, "o3", ["a", "b"]), (4, "o1", ["b", "c", "d", "a"]), (5, "o4", ["d", "c", "b", "z", "b"])], "i int, o string, t array<string>")
+    assert rows(link.similar_elsewhere(df, "i", "o", "t"), "i", "others") == [(1, 2), (2, 2), (4, 2), (5, 2)]
