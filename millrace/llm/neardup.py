@@ -184,7 +184,7 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs that both leave possible come out. One side of a pair is always outside
     its bucket's main component (minor).
     """
-    held = cut_lineage(sets.join(rest.select("id"), "id").select("id", F.explode("set").alias("s")))
+    held = sets.join(rest.select("id"), "id").select("id", F.explode("set").alias("s"))
     rarity = held.groupBy("s").agg(F.count("*").alias("df"))
     ordered = held.join(rarity, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
     n, shared = F.size("o"), F.filter("o", lambda x: x["df"] > 1)

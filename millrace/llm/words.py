@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at a time.
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: Odd constants of the two polynomial hashes of a word.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
