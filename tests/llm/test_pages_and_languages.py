@@ -59,3 +59,17 @@ def test_ngram_counts_ignore_steps(monkeypatch):
     for step in (1, 2, 3, 7):
         monkeypatch.setattr(language, "STEP", step)
         assert (language.counts(text) == whole).all()
+
+
+def test_extraction_of_whole_tables(spark):
+    """Every page of a table against its article's blocks, taken apart by plain patterns."""
+    import html
+    import re
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_text.op6_html_extraction(pages).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        blocks = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br)>", "\0", article)).split("\0")
+        text = "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+        assert got[r["page_id"]] == text, r["page_id"]
