@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import LOWER_BYTES
-from millrace.llm.words import fold_table, hash_words, slices, windows
+from millrace.llm.words import buffers, fold_table, hash_words, slices, windows
 from millrace.session import ship_package
 
 WINDOW = 10
 #: UTF-8 bytes of benchmark text up to which its windows are broadcast; beyond it they are joined.
 MAX_BROADCAST_BYTES = 16 << 20
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+SPAN_DDL = "spans array<struct<start: long, end: long>>"
 #: All ASCII but digits and letters separates words.
 TABLE = fold_table(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
@@ -47,12 +49,28 @@ def item_windows(items: list[str], texts: list[str | None], n: int = WINDOW) ->
     return {s: {h: dict(g) for h, g in v.items()} for s, v in out.items()}
 
 
-def scan_batch(texts: pa.Array, grams: dict, sets: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    """(words, hit words, sorted items) of each row."""
+def spans_of(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, begin: int) -> list[dict[str, int]]:
+    """The runs of hit words (sorted places) as spans of code points of the text that begins at byte ``begin``."""
+    if not len(words):
+        return []
+    cut = np.flatnonzero(np.diff(words) > 1)
+    out, at, chars = [], begin, 0
+    for a, b in zip(words[np.r_[0, cut + 1]], words[np.r_[cut, len(words) - 1]]):
+        chars += len(data[at : starts[a]].tobytes().decode())
+        size = len(data[starts[a] : ends[b]].tobytes().decode())
+        out.append({"start": chars, "end": chars + size})
+        at, chars = ends[b], chars + size
+    return out
+
+
+def scan_batch(texts: pa.Array, grams: dict, sets: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[list[dict]]]:
+    """(words, hit words, sorted items, spans of hit words) of each row."""
     at, (h,), starts, ends, data = hash_words(texts, TABLE)
+    begins = buffers(texts)[1]
     n_words = np.diff(at)
     n_hit = np.zeros(len(texts), np.int64)
     items: list[list[str]] = [[] for _ in range(len(texts))]
+    spans: list[list[dict]] = [[] for _ in range(len(texts))]
     found: dict[int, list[tuple[int, int]]] = defaultdict(list)
     names: dict[int, set[str]] = defaultdict(set)
     for size, known in sets.items():
@@ -67,14 +85,16 @@ def scan_batch(texts: pa.Array, grams: dict, sets: dict[int, np.ndarray]) -> tup
                 if ids:
                     found[row].append((int(i), int(i) + size))
                     names[row].update(ids)
-    for row, spans in found.items():
+    for row, runs in found.items():
         hit = np.zeros(int(n_words[row]) + 1, np.int64)
-        for a, b in spans:
+        for a, b in runs:
             hit[a - at[row]] += 1
             hit[b - at[row]] -= 1
-        n_hit[row] = int((np.cumsum(hit) > 0).sum())
+        places = np.flatnonzero(np.cumsum(hit) > 0)
+        n_hit[row] = len(places)
         items[row] = sorted(names[row])
-    return n_words, n_hit, items
+        spans[row] = spans_of(places + at[row], starts, ends, data, begins[row])
+    return n_words, n_hit, items, spans
 
 
 def _by_broadcast(docs: DataFrame, items: DataFrame, keep: list[str], text: str, n: int) -> DataFrame:
@@ -86,13 +106,13 @@ def _by_broadcast(docs: DataFrame, items: DataFrame, keep: list[str], text: str,
         sets = {s: np.array(sorted(v), dtype=np.uint64) for s, v in grams.value.items()}
         for batch in slices(batches):
             row = batch.column("row")
-            n_words, n_hit, items = scan_batch(row.field(text) if text in keep else batch.column("t"), grams.value, sets)
+            n_words, n_hit, items, spans = scan_batch(row.field(text) if text in keep else batch.column("t"), grams.value, sets)
             yield pa.RecordBatch.from_arrays(
-                [row, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string()))],
-                names=["row", "n_words", "n_hit", "items"],
+                [row, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, SPANS)],
+                names=["row", "n_words", "n_hit", "items", "spans"],
             )
 
-    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL("n_words long, n_hit long, items array<string>").fields])
+    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(f"n_words long, n_hit long, items array<string>, {SPAN_DDL}").fields])
     return rows.mapInArrow(scan, schema)
 
 
@@ -129,26 +149,30 @@ def _by_join(docs: DataFrame, items: DataFrame, keep: list[str], text: str, n: i
     sizes = [r[0] for r in test.select("size").distinct().collect()]  # at most n values
     found = light.mapInArrow(exploded(sizes, ("k1", "k2")), "k1 long, k2 long, pos long, size long, h1 long, h2 long").join(test, ["size", "h1", "h2"])
     covered = found.select("k1", "k2", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("p")).distinct()
-    covered = covered.groupBy("k1", "k2").agg(F.count("*").alias("n_hit"))
+    covered = covered.groupBy("k1", "k2").agg(F.count("*").alias("n_hit"), F.array_sort(F.collect_list("p")).alias("hit"))
     names = found.select("k1", "k2", "item").distinct().groupBy("k1", "k2").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words = pa.array(np.diff(hash_words(batch.column("t"), TABLE)[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), n_words], names=["k1", "k2", "n_words"])
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            at, _, starts, ends, data = hash_words(batch.column("t"), TABLE)
+            begins = buffers(batch.column("t"))[1]
+            hit = (np.array(x.as_py() or [], np.int64) for x in batch.column("hit"))
+            spans = [spans_of(x + at[i], starts, ends, data, begins[i]) for i, x in enumerate(hit)]
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.array(np.diff(at), pa.int64()), pa.array(spans, SPANS)], names=["k1", "k2", "n_words", "spans"])
 
-    counts = light.mapInArrow(counted, "k1 long, k2 long, n_words long").distinct()
+    counts = light.distinct().join(covered, ["k1", "k2"], "left").select("k1", "k2", "t", "hit").mapInArrow(placed, f"k1 long, k2 long, n_words long, {SPAN_DDL}")
     return (
-        rows.drop("t").join(counts, ["k1", "k2"]).join(covered, ["k1", "k2"], "left").join(names, ["k1", "k2"], "left")
-        .select("row", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        rows.drop("t").join(counts, ["k1", "k2"]).join(covered.drop("hit"), ["k1", "k2"], "left").join(names, ["k1", "k2"], "left")
+        .select("row", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans")
     )
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, text: str = "text", window: int = WINDOW, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """(row, n_words, n_hit, items) of every row; ``row`` nests the columns ``keep`` (all by default).
+    """(row, n_words, n_hit, items, spans) of every row; ``row`` nests the columns ``keep`` (all by default).
 
     n_hit counts words inside any occurrence of a benchmark window, items lists the
-    ids of the benchmark's items with occurring windows, sorted as strings. Null
+    ids of the benchmark's items with occurring windows, sorted as strings, spans
+    the runs of hit words as start and end in code points. Null
     text has no words. An item without an id or words has no window; repeated items
     count once. An empty benchmark hits nothing.
     """
@@ -164,6 +188,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     return annotate(docs, benchmark, **options).where("n_hit = 0").select("row.*")
 
 
+def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """All rows of ``docs``, their text without the hit spans; texts without a hit stay as they are."""
+    done = annotate(docs, benchmark, text=text, **options)
+    whole = F.col(f"row.`{text}`")
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
+    starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.char_length(whole).cast("long")))
+    kept = F.zip_with(ends, starts, lambda a, b: F.substring(whole, (a + 1).cast("int"), (b - a).cast("int")))
+    cut = F.when(F.size("spans") > 0, F.array_join(kept, "")).otherwise(whole)
+    return done.select(*[cut.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def op2_decontamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of documents."""
     return annotate(docs, benchmark, ["doc_id"], **options).select(

@@ -144,6 +144,17 @@ def test_odd_benchmarks(spark):
     b = decontam.op2_decontamination(docs, bench, max_broadcast_bytes=0).collect()
     assert sorted(map(str, a)) == sorted(map(str, b))
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"]) for r in a) == [("1", 0, 0, 0), ("2", 3, 3, 1), ("2", 3, 3, 1), ("3", 30003, 3, 1), ("4", 2, 1, 1), ("None", 0, 0, 0)]
+    cut = sorted((str(r["doc_id"]), r["text"]) for r in decontam.remove_spans(docs, bench).collect())
+    assert cut == sorted((str(r["doc_id"]), r["text"]) for r in decontam.remove_spans(docs, bench, max_broadcast_bytes=0).collect())
+    assert cut == [("1", ""), ("2", ""), ("2", ""), ("3", "x " * 30000), ("4", " ÀB"), ("None", None)]
     kept = decontam.decontaminate(docs, bench)
     assert kept.columns == docs.columns and kept.count() == 2
     assert decontam.op2_decontamination(docs.limit(0), bench.limit(0)).count() == 0
+
+
+def test_spans_are_code_points(spark):
+    docs = spark.createDataFrame([(1, "ü 😀x, one TWO three; é one two three one two four")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two three"), (2, "four")], "item_id long, text string")
+    for most in (0, 1 << 20):
+        r = decontam.annotate(docs, bench, window=3, max_broadcast_bytes=most).first()
+        assert [r["row"]["text"][s["start"] : s["end"]] for s in r["spans"]] == ["one TWO three", "one two three", "four"] and r["n_hit"] == 7
