@@ -41,6 +41,8 @@ ROWS = 4
 SKETCH_BITS = 512
 #: Bits of the odd sketch of a full set.
 SET_BITS = 2048
+#: Bits of the map of ids whose sets are wanted (1 MB).
+ID_BITS = 1 << 23
 #: Standard deviations of the similarity estimate by which the sketch may be wrong.
 MARGIN = 6.0
 TABLE = fold_table(WHITE_CHARS.encode())
@@ -131,22 +133,41 @@ def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: S
     return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields]))
 
 
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of the ids' hashes, of fixed size whatever their number; false positives only."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
+    words = ids.select(F.floor(bit / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("m"))
+    got = words.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()  # at most ID_BITS / 64 rows
+    out = np.zeros(ID_BITS // 64, np.int64)
+    out[got["w"].to_numpy()] = got["m"].to_numpy()
+    return out
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     """(id, set, parity) of the documents in ``ids``: each set as hashes, and its own odd sketch.
 
     The XOR of two such sketches has at most as many ones as the sets have
     different members, whatever falls together, so it rules pairs out without error.
+    Texts aren't shuffled: a broadcast bitmap of fixed size lets nearly all others
+    go where they are read, and the sets of the rest meet the ids themselves.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(ids, "id", "left_semi")
+    wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(ID_BITS)).alias("bit")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = list(shingle_sets(batch.column("t"), shingle))
-            odd = [parities(mix(s) % np.uint64(SET_BITS), SET_BITS).view(np.int64) for s in sets]
-            columns = [pa.array(c, pa.list_(pa.int64())) for c in ([s.view(np.int64) for s in sets], odd)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "set", "parity"])
+        bitmap = wanted.value
+        for batch in batches:
+            bit = batch.column("bit").to_numpy()
+            for part in slices([batch.filter(pa.array((bitmap[bit >> 6] >> (bit & 63)) & 1 == 1))]):
+                sets = list(shingle_sets(part.column("t"), shingle))
+                odd = [parities(mix(s) % np.uint64(SET_BITS), SET_BITS).view(np.int64) for s in sets]
+                columns = [pa.array(c, pa.list_(pa.int64())) for c in ([s.view(np.int64) for s in sets], odd)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), *columns], names=["id", "set", "parity"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *T.StructType.fromDDL("set array<long>, parity array<long>").fields]))
+    kinds = T.StructType.fromDDL("set array<long>, parity array<long>")
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields])).join(ids, "id", "left_semi")
 
 
 def _ones(a: str, b: str) -> Column:
@@ -225,7 +246,7 @@ def near_duplicates(
     members = cut_lineage(keys.join(stars, "key").select("key", "id", "hub", "size"))
     spokes = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     likely = cut_lineage(_filtered(spokes, marks, percent, distance))
-    wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(members.where("size > 2 and id <> hub").select("id")).distinct()
+    wanted = cut_lineage(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(members.where("size > 2 and id <> hub").select("id")).distinct())
     sets = cut_lineage(full_sets(docs, wanted, id_col, text, shingle))
     links = cut_lineage(_confirmed(likely, sets, percent).distinct())
     comp = cut_lineage(connected_components(links))
