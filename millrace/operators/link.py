@@ -170,7 +170,9 @@ def similar_elsewhere(items: DataFrame, key: str, owner: str, tokens: str) -> Da
     owners that have one of its sets, never their items, so a set that very many
     items have costs each of them a row an owner and no more.
     """
-    sets = items.select(key, owner, F.explode(F.array_distinct(triples(F.col(tokens)))).alias("_t"))
+    classed = items.select(key, owner, F.array_sort(F.array_distinct(tokens)).alias("_a"))
+    # items of one owner with the same tokens are one class: a repeated sentence is taken apart once
+    sets = classed.select(owner, "_a").distinct().select(owner, "_a", F.explode(triples(F.col("_a"))).alias("_t"))
     owners = sets.select("_t", F.col(owner).alias("_o")).distinct()
-    found = sets.join(owners, "_t").where(F.col(owner) != F.col("_o"))
-    return found.groupBy(key).agg(F.count_distinct("_o").alias("others"))
+    found = sets.join(owners, "_t").where(F.col(owner) != F.col("_o")).groupBy(owner, "_a").agg(F.count_distinct("_o").alias("others"))
+    return classed.join(found, [owner, "_a"]).select(key, "others")
