@@ -41,6 +41,8 @@ UNLIKELY = frozenset(
     "popup promo promoted recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "topbar widget widgets".split()
 )
+#: First words of names that say what a part lacks or goes with.
+NEGATED = frozenset("no not non has with without".split())
 #: What a word of UNLIKELY can't take away, and what ends a dropped part that was never closed.
 TRUSTED = frozenset("html body main article h1".split())
 COMMENTS = frozenset("comment comments respond disqus".split())
@@ -62,9 +64,13 @@ def _unlikely(tag: str, attrs: str) -> str:
         if name == "hidden" or (name == "aria-hidden" and value == "true" and tag in BLOCKS):
             return "hidden"
         if name != "aria-hidden":
-            for word in NAME.findall(value):
-                if word in UNLIKELY and (tag not in TRUSTED or (tag == "article" and word in COMMENTS)):
-                    return word
+            for name in value.split():
+                words = NAME.findall(name)
+                if words and words[0] in NEGATED:
+                    continue
+                for word in words:
+                    if word in UNLIKELY and (tag not in TRUSTED or (tag == "article" and word in COMMENTS)):
+                        return word
     return ""
 
 

@@ -10,6 +10,7 @@ PAGES = [
     (None, ""), ("", ""), ("plain < text &amp; more", "plain < text & more"),
     ("<nav><ul><li>menu</nav><article><h1>T&eacute;</h1><p>a&nbsp;b  c,\n d<p>e<br>f</article><footer>f</footer>", "Té\na b c, d\ne\nf"),
     ("<body class='has-sidebar'><header>Site</header><div class=cookie-notice>We use</div><main><p>One, two. Long enough text it is.</p><form><p>Name</p></form><div id=comments><p>nice, really</p></div></main>", "One, two. Long enough text it is."),
+    ("<div class='content no-ads'><p>Kept, as it has none.</p><div class='ad-box'>Buy</div></div>", "Kept, as it has none."),
     ("<nav><a href=x>never closed<article><p>body text</article>", "body text"),
     ("<p>ok<script>var a='</p>'</script> go<style>p{}</style><!-- no --> on</p>", "ok go on"),
     ("<div><p>First paragraph, with commas, and with length to win.</p></div><div class='ad'>Buy</div><p>After it, a sibling that reads like text and is long enough to stay.</p>",
