@@ -8,6 +8,9 @@ is a projection of one row: no shuffle, no Python, whatever the size of the tabl
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,17 +84,18 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), count)
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line is navigation, symbols or boilerplate. Blank lines pass; they weigh nothing."""
-    size = solid(line)
-    words = F.size(words_of(line))
-    return (
-        (F.regexp_count(line, F.lit(f"[{SEPARATORS}]")) * 5 >= F.greatest(words, F.lit(10)))
-        | (F.regexp_count(line, F.lit(r"[#*$%&|<>{}\\^~=_]")) * 100 > size * MAX_SYMBOL_PERCENT)
-        | (F.regexp_count(line, F.lit("!!")) * 5 >= F.greatest(words, F.lit(10)))
-        | (F.char_length(F.regexp_replace(line, r"[^\p{L}]+", "")) * 100 < size * 40)
-        | F.lower(line).rlike("|".join(BOILERPLATE))
-    )
+def line_fails(line: Column, size: Column) -> Column:
+    """Whether a line is navigation, symbols or boilerplate. Blank lines pass; they weigh nothing.
+
+    ``size`` is :func:`solid` of the line. Two of a mark are the least that can fail a line, so lines are cut into words
+    only when they have two.
+    """
+    crowded = lambda n: (n >= 2) & (n * 5 >= F.greatest(F.size(words_of(line)), F.lit(10)))
+    out = crowded(F.regexp_count(line, F.lit(f"[{SEPARATORS}]"))) | crowded(F.regexp_count(line, F.lit("!!")))
+    out = out | (F.regexp_count(line, F.lit(r"[#*$%&|<>{}\\^~=_]")) * 100 > size * MAX_SYMBOL_PERCENT)
+    out = out | (F.char_length(F.regexp_replace(line, r"[^\p{L}]+", "")) * 100 < size * 40)
+    listed = lambda low: reduce(or_, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE])
+    return out | let(F.lower(line), listed)
 
 
 def verdict(text: Column, max_lost_percent: int = MAX_LOST_PERCENT, cleaned: bool = True) -> Column:
@@ -129,7 +133,8 @@ def verdict(text: Column, max_lost_percent: int = MAX_LOST_PERCENT, cleaned: boo
         return F.struct(*named, *([x["text"].alias("clean_text")] if cleaned else []))
 
     text = F.coalesce(text, F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), solid(x).alias("size"), line_fails(x).alias("bad")))
+    judged = lambda x: let(solid(x), lambda n: F.struct(x.alias("line"), n.alias("size"), line_fails(x, n).alias("bad")))
+    lines = F.transform(F.split(text, "\n"), judged)
     symbols = F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long")
     return let(F.struct(let(words_of(text), of_words).alias("w"), let(lines, of_lines).alias("x"), symbols.alias("symbols")), judge)
 
