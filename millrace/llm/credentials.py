@@ -83,10 +83,13 @@ def linked(spans: DataFrame, window: int = WINDOW) -> DataFrame:
     parts = spans.select("k1", "k2", role.alias("role"), "start", "end")
     # A part is put into the bins that its span covers and one on either side, kept as the
     # ends that matter to a candidate there: the nearest on the left and on the right.
-    near = F.sequence(F.floor(F.col("start") / window) - 1, F.floor(F.col("end") / window) + 1)
-    reach = parts.select("k1", "k2", "role", "start", "end", F.explode(near).alias("bin"))
+    # A candidate looks into every bin that its own span covers.
+    def bins(more: int) -> Column:
+        return F.explode(F.sequence(F.floor(F.col("start") / window) - more, F.floor(F.col("end") / window) + more)).alias("bin")
+
+    reach = parts.select("k1", "k2", "role", "start", "end", bins(1))
     reach = reach.groupBy("k1", "k2", "bin", "role").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("at"))
-    weak = spans.where(F.col("kind").isin(*COMPLETES)).withColumn("bin", F.floor(F.col("start") / window))
+    weak = spans.where(F.col("kind").isin(*COMPLETES)).select("*", bins(0))
     need = F.create_map(*[x for k, v in COMPLETES.items() for x in (F.lit(k), F.array(*[F.lit(r) for r in v]))])[F.col("kind")]
     weak = weak.withColumn("role", F.explode(need))
     close = F.exists("at", lambda x: (x["start"] <= F.col("end") + window) & (x["end"] >= F.col("start") - window))

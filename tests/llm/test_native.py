@@ -40,9 +40,13 @@ def test_weak_parts_only_together(spark):
     far = "x " * 400
     key = "Q1w2e3r4t5y6u7i8o9p0Aa"
     rows = [(0, key), (1, f"user: bobby {key}"), (2, f"user: bobby {far} {key}"), (3, f"see https://a.example/b {key}"), (4, "https://a.example/b user: bobby")]
+    rows += [(5, f"{key * 60} user: bobby"), (6, f"user: bobby {key * 60}"), (7, f"{key * 60}{' ' * 190}user: bobby"), (8, f"{key * 60}{' ' * 201}user: bobby")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["spans"] for r in credentials.op8_secret_scan(df).collect()}
-    assert got == {0: "", 1: "identifier:0:11,secret:12:34", 2: "", 3: "endpoint:4:23,secret:24:46", 4: ""}
+    assert got == {
+        0: "", 1: "identifier:0:11,secret:12:34", 2: "", 3: "endpoint:4:23,secret:24:46", 4: "", 5: "secret:0:1320,identifier:1321:1332",
+        6: "identifier:0:11,secret:12:1332", 7: "secret:0:1320,identifier:1510:1521", 8: "",
+    }
 
 
 def test_odd_documents(spark):
