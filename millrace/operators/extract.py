@@ -62,13 +62,14 @@ def basis_of(status: Column) -> Column:
 def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, name: str, order: str) -> DataFrame:
     """(key, name): the first of some names, in their own order, that a text has as whole words.
 
-    Text and name meet on the name's first word, so only likely pairs are compared.
+    Text and name meet on the name's first word, so only likely pairs are compared;
+    words travel without their text, which joins the pairs that met.
     """
     low = lambda c: F.concat(F.lit(" "), F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     words = texts.select(key, low(F.col(text)).alias("_t"))
     keyed = names.select(name, order, F.trim(low(F.col(name))).alias("_n")).where("_n <> ''").withColumn("_w", F.substring_index("_n", " ", 1))
-    met = words.select(key, "_t", F.explode(F.array_distinct(F.split(F.trim("_t"), " "))).alias("_w")).join(keyed, "_w")
-    return met.where(F.contains("_t", F.concat(F.lit(" "), F.col("_n"), F.lit(" ")))).groupBy(key).agg(F.min_by(name, order).alias(name))
+    met = words.select(key, F.explode(F.array_distinct(F.split(F.trim("_t"), " "))).alias("_w")).join(keyed, "_w").drop("_w")
+    return met.join(words, key).where(F.contains("_t", F.concat(F.lit(" "), F.col("_n"), F.lit(" ")))).groupBy(key).agg(F.min_by(name, order).alias(name))
 
 
 def answered(answer: Column, schema: str) -> Column:

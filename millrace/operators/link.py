@@ -85,9 +85,19 @@ def with_best(left: DataFrame, right: DataFrame, key: str, order: list, item: Co
 
 
 def prefix_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: int = 3) -> DataFrame:
-    """Pairs where one name begins with the other, met on their first ``least`` letters."""
-    x, y = left.where(F.length(a) >= least).withColumn("_block", F.left(a, F.lit(least))), right.where(F.length(b) >= least).withColumn("_block", F.left(b, F.lit(least)))
-    return x.join(y, "_block").where(F.col(a).startswith(F.col(b)) | F.col(b).startswith(F.col(a))).drop("_block")
+    """Pairs where one name begins with the other, both of at least ``least`` letters.
+
+    Each distinct name looks its own beginnings up by equality, so only pairs that
+    hold are made, however many names share their first letters.
+    """
+
+    def begins(long: DataFrame, name: str, short: DataFrame, other: str) -> DataFrame:
+        names = long.select(name).distinct().where(F.length(name) >= least)
+        starts = names.select(name, F.explode(F.transform(F.sequence(F.lit(least), F.length(name)), lambda n: F.left(F.col(name), n))).alias(other))
+        return starts.join(short.select(other).distinct(), other).select(a, b)
+
+    pairs = begins(left, a, right, b).unionByName(begins(right, b, left, a)).distinct()
+    return left.join(pairs, a).join(right, b)
 
 
 def token_pairs(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
@@ -112,28 +122,58 @@ def token_pairs(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     return b_in_a.unionByName(a_in_b).distinct()
 
 
-def cascade(candidates: list[DataFrame], new: str, old: str, order: str) -> DataFrame:
-    """(new, old, priority): the best of several kinds of match, earlier kinds first, then the smallest ``order``."""
-    every = union_sources([c.select(new, old, order) for c in candidates], "priority")
-    return every.withColumn("_rn", F.row_number().over(W.partitionBy(new).orderBy("priority", order, old))).where("_rn = 1").select(new, old, "priority")
+def cascade(left: DataFrame, right: DataFrame, group: str, kinds: list[tuple[Column, Column]], new: str, old: str) -> DataFrame:
+    """(new, old, priority): the best of several kinds of match inside a group, earlier kinds first, then the smallest ``old``.
+
+    A kind is a pair of expressions, one a side, that must be equal. Only the
+    smallest ``old`` of a group and key can win, so the right side is reduced to it
+    before it is joined: every left row meets one row a kind, whatever the groups' sizes.
+    """
+    matches = []
+    for mine, theirs in kinds:
+        best = right.select(group, theirs.alias("_k"), old).groupBy(group, "_k").agg(F.min(old).alias(old))
+        matches.append(left.select(group, mine.alias("_k"), new).join(best, [group, "_k"]).select(new, old))
+    every = union_sources(matches, "priority")
+    return every.groupBy(new).agg(F.min(F.struct("priority", old)).alias("_best")).select(new, f"_best.{old}", "_best.priority")
 
 
 def longest_suffix(df: DataFrame, text: Column, dim: DataFrame, suffix: str, value: str, name: str) -> DataFrame:
-    """``name``: the value of the longest suffix of a small dimension that a text ends with, else null.
+    """``name``: the value of the longest suffix of a dimension that a text ends with, else null.
 
-    Each row looks its own suffixes up by equality: the distinct lengths of the
-    dimension are few, so a text has few candidates.
+    Each distinct text looks its own suffixes up by equality: the distinct lengths
+    of the dimension are few, so a text has few candidates. Whether the dimension is
+    broadcast is left to Spark, which knows its size. Empty suffixes fit nothing.
     """
-    lengths = sorted({len(r[0]) for r in dim.select(suffix).distinct().collect()}, reverse=True)  # a small dimension
-    keyed = df.withColumn("_key", F.xxhash64(F.struct(*df.columns)))
-    ends = keyed.select("_key", F.explode(F.array_distinct(F.array(*[F.right(text, F.lit(n)) for n in lengths]))).alias(suffix)).distinct()
-    hits = ends.join(F.broadcast(dim.select(suffix, value)), suffix).groupBy("_key").agg(F.max_by(value, F.length(suffix)).alias(name))
-    return keyed.join(hits, "_key", "left").drop("_key")
+    dim = dim.where(F.length(suffix) > 0)
+    lengths = [r[0] for r in dim.select(F.length(suffix)).distinct().collect()]  # one number a length
+    texts = df.select(text.alias("_text")).distinct()
+    ends = texts.select("_text", F.explode(F.array_distinct(F.array(*[F.right(F.col("_text"), F.lit(n)) for n in lengths]))).alias(suffix)) if lengths else texts.select("_text", F.lit("").alias(suffix))
+    hits = ends.join(dim.select(suffix, value), suffix).groupBy("_text").agg(F.max_by(value, F.length(suffix)).alias(name))
+    return df.withColumn("_text", text).join(hits, "_text", "left").drop("_text")
+
+
+#: Most ranges that are sent whole to every executor.
+MAX_BROADCAST_RANGES = 10_000
 
 
-def in_ranges(df: DataFrame, column: str, ranges: DataFrame) -> DataFrame:
-    """Left join with a small table of ranges [lo, hi]; one that is too large for memory belongs in bins instead."""
-    return df.join(F.broadcast(ranges), F.col(column).between(F.col("lo"), F.col("hi")), "left")
+def in_ranges(df: DataFrame, column: str, ranges: DataFrame, most: int = MAX_BROADCAST_RANGES) -> DataFrame:
+    """Left join with ranges [lo, hi], which may overlap and have finite ends.
+
+    Up to ``most`` ranges are broadcast. Beyond that they meet the distinct values by
+    equality: a range lies in at most two bins of the power of two next to its
+    width, and a value looks into one bin of each width that occurs.
+    """
+    if ranges.limit(most + 1).count() <= most:
+        return df.join(F.broadcast(ranges), F.col(column).between(F.col("lo"), F.col("hi")), "left")
+    bin_of = lambda x, level: F.floor(x / F.pow(F.lit(2.0), level))
+    level = F.ceil(F.log2(F.greatest(F.col("hi") - F.col("lo"), F.lit(1)))).cast("int")
+    binned = ranges.where("lo <= hi").withColumn("_level", level)
+    levels = [r[0] for r in binned.select("_level").distinct().collect()]  # at most one for each power of two
+    binned = binned.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("lo"), F.col("_level")), bin_of(F.col("hi"), F.col("_level")))))
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    values = values.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))).withColumn("_bin", bin_of(F.col(column), F.col("_level")))
+    met = values.join(binned, ["_level", "_bin"]).where(F.col(column).between(F.col("lo"), F.col("hi"))).drop("_level", "_bin")
+    return df.join(met, column, "left")
 
 
 def reconcile(declared: DataFrame, obtained: DataFrame, key: str) -> DataFrame:

@@ -96,9 +96,8 @@ def cascade_match(spark, sf_dir):
     """The best of three kinds of match for every customer, stricter kinds first."""
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("new"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("cb"))
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("old"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("sb"))
-    both = c.join(s, "nation").withColumn("o", F.col("old"))
-    kinds = [both.where("new = old"), both.where(F.floor(F.col("cb") / 1000) == F.floor(F.col("sb") / 1000)), both.where(F.col("new") % 10 == F.col("old") % 10)]
-    return link.cascade(kinds, "new", "old", "o")
+    kinds = [(F.col("new"), F.col("old")), (F.floor(F.col("cb") / 1000), F.floor(F.col("sb") / 1000)), (F.col("new") % 10, F.col("old") % 10)]
+    return link.cascade(c, s, "nation", kinds, "new", "old")
 
 
 @query("SELECT o_orderkey FROM orders ANTI JOIN (SELECT l_orderkey AS o_orderkey FROM lineitem WHERE l_quantity > 10) USING (o_orderkey)")

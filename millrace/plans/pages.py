@@ -157,7 +157,7 @@ def publisher_of_url(spark, sf_dir):
     names = spark.createDataFrame([("example.com", "Com Press"), ("example.org", "Org Press")], "domain string, publisher string")
     pages = table(spark, sf_dir, "pages").withColumn("domain", urls.registrable(F.col("url")))
     own = link.some(F.regexp_extract("html", '(?i)og:site_name" content="([^"]*)"', 1))
-    return pages.join(F.broadcast(names), "domain", "left").select("page_id", F.coalesce("publisher", own, urls.host(F.col("url"))).alias("publisher"))
+    return pages.join(names, "domain", "left").select("page_id", F.coalesce("publisher", own, urls.host(F.col("url"))).alias("publisher"))
 
 
 @query(f"""WITH {SQL_PARTS}, mail AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}')) AS email FROM documents),

@@ -38,6 +38,27 @@ def test_token_and_prefix_pairs(spark):
     assert rows(link.prefix_pairs(a, b, "a", "b"), "a", "b") == [("beta", "beta max")]
 
 
+@pytest.mark.parametrize("most", [100, 0])
+def test_ranges_overlap_and_leave_gaps(spark, most):
+    r = spark.createDataFrame([(0.0, 9.5, "a"), (5.0, 5.0, "b"), (-3000.0, 70000.0, "c"), (80000.0, 80001.5, "d"), (9.0, 1.0, "none")], "lo double, hi double, n string")
+    v = spark.createDataFrame([(1, 5.0), (2, 9.5), (3, -3000.0), (4, 75000.0), (5, 80001.5), (6, None), (7, 5.0)], "i int, x double")
+    got = [(i, n or "") for i, n in ((r["i"], r["n"]) for r in link.in_ranges(v, "x", r, most).collect())]
+    assert sorted(got) == [(1, "a"), (1, "b"), (1, "c"), (2, "a"), (2, "c"), (3, "c"), (4, ""), (5, "d"), (6, ""), (7, "a"), (7, "b"), (7, "c")]
+
+
+def test_longest_suffix(spark):
+    df = spark.createDataFrame([(1, "a.example.com"), (2, "b.com"), (2, "b.com"), (3, "c.br"), (4, None), (5, "")], "i int, h string")
+    dim = spark.createDataFrame([("com", "C"), ("example.com", "E"), ("", "none")], "s string, v string")
+    assert rows(link.longest_suffix(df, F.col("h"), dim, "s", "v", "z").fillna("", ["z"]), "i", "z") == [(1, "E"), (2, "C"), (2, "C"), (3, ""), (4, ""), (5, "")]
+
+
+def test_cascade_takes_the_strictest_kind(spark):
+    new = spark.createDataFrame([(1, "g", "x"), (2, "g", "y"), (3, "h", "x"), (4, "g", None)], "new int, g string, k string")
+    old = spark.createDataFrame([(9, "g", "x"), (2, "g", "x"), (5, "g", "y")], "old int, g string, k2 string")
+    kinds = [(F.col("new"), F.col("old")), (F.col("k"), F.col("k2"))]
+    assert rows(link.cascade(new, old, "g", kinds, "new", "old"), "new", "old", "priority") == [(1, 2, 1), (2, 2, 0)]
+
+
 @pytest.mark.parametrize("total", [4, 10, 17, 30, 99])
 def test_apportionment_sums_up(spark, total):
     base = {"P1": 10, "P2": 8, "P3": 6, "P4": 6}
