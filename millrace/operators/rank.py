@@ -52,6 +52,7 @@ def interleave(df: DataFrame, group: list[str], order: list[str], limit: int | N
     Spark takes from the partitions without sorting everything.
     """
     turns = ranked(df, group, by(*order), "turn")
+    turns = turns.where(F.col("turn") <= limit) if limit is not None else turns  # no later turn can come out
     names = [n for n, _ in order_spec(order)]
     lead = turns.where("turn = 1").select(*group, *[F.col(n).alias(f"_l{i}") for i, n in enumerate(names)])
     keys = [F.col(f"_l{i}").desc() if d else F.col(f"_l{i}").asc() for i, (_, d) in enumerate(order_spec(order))]
@@ -85,9 +86,18 @@ def nested_caps(df: DataFrame, inner: list[str], outer: list[str], order: list,
     return top_k(top_k(df, [*outer, *inner], order, per_inner), outer, order, per_outer)
 
 
-def numbered_ids(df: DataFrame, key: str, order: list, name: str = "id", pattern: str = "%s-%03d") -> DataFrame:
-    """``key-001`` and so on inside each key."""
-    return ranked(df, [key], order, "_rn").withColumn(name, F.format_string(pattern, F.col(key), F.col("_rn"))).drop("_rn")
+def numbered_ids(df: DataFrame, key: str, order: list[str], name: str = "id", pattern: str = "%s-%03d") -> DataFrame:
+    """``key-001`` and so on inside each key; ``order`` has names, ``-name`` for descending.
+
+    Rows are numbered inside each value of the first name, on top of the summed counts
+    of the values before it, so no task has to number all rows of a common key.
+    """
+    lead = order_spec(order)[0][0]
+    before = W.partitionBy("_k").orderBy(*[c for c in by(order[0].replace(lead, "_l"))]).rowsBetween(W.unboundedPreceding, -1)
+    counts = df.groupBy(F.col(key).alias("_k"), F.col(lead).alias("_l")).agg(F.count("*").alias("_n"))
+    base = counts.select("_k", "_l", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = ranked(df, [key, lead], by(*order), "_rn").join(base, F.col(key).eqNullSafe(F.col("_k")) & F.col(lead).eqNullSafe(F.col("_l")))
+    return inside.withColumn(name, F.format_string(pattern, F.col(key), F.col("_rn") + F.col("_base"))).drop("_rn", "_k", "_l", "_base")
 
 
 def runs(df: DataFrame, keys: list[str], flag: Column, order: list) -> DataFrame:

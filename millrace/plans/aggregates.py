@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import peaks
+from millrace.operators import peaks, rank
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -86,14 +86,16 @@ def capped_score(spark, sf_dir):
 
 
 @query("""WITH d AS (SELECT p, s FROM (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW'), ('6-NONE')) a(p), (VALUES ('F'), ('O'), ('P')) b(s)),
-g AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*) AS n, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) FILTER (o_orderkey < 100) AS firsts FROM orders GROUP BY 1, 2)
+r AS (SELECT o_orderpriority AS p, o_orderstatus AS s, o_orderkey AS k, row_number() OVER (PARTITION BY p, s ORDER BY k) AS rn FROM orders),
+g AS (SELECT p, s, count(*) AS n, string_agg(k::VARCHAR, ',' ORDER BY k) FILTER (rn <= 10) AS firsts FROM r GROUP BY 1, 2)
 SELECT p, s, coalesce(n, 0) AS n, coalesce(firsts, '') AS firsts FROM d LEFT JOIN g USING (p, s)""")
 def grid(spark, sf_dir):
-    """Every cell of a grid, the empty ones too, with its items in order."""
+    """Every cell of a grid, the empty ones too, with its first ten items in order."""
     cells = spark.createDataFrame([(p, s) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-NONE") for s in "FOP"], "p string, s string")
-    few = F.array_sort(F.collect_list(F.when(F.col("o_orderkey") < 100, F.col("o_orderkey"))))
-    g = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s")).agg(F.count("*").alias("n"), F.array_join(few.cast("array<string>"), ",").alias("firsts"))
-    return F.broadcast(cells).join(g, ["p", "s"], "left").select("p", "s", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("firsts", F.lit("")).alias("firsts"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"), "o_orderkey")
+    counts = o.groupBy("p", "s").agg(F.count("*").alias("n"))
+    firsts = rank.top_k(o, ["p", "s"], ["o_orderkey"], 10).groupBy("p", "s").agg(F.array_join(F.array_sort(F.collect_list("o_orderkey")).cast("array<string>"), ",").alias("firsts"))
+    return cells.join(counts.join(firsts, ["p", "s"]), ["p", "s"], "left").select("p", "s", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("firsts", F.lit("")).alias("firsts"))
 
 
 @query("""WITH f AS (SELECT l_partkey, l_returnflag AS m FROM lineitem WHERE l_quantity > 49 UNION SELECT l_partkey, l_linestatus FROM lineitem WHERE l_discount > 0.09)

@@ -17,9 +17,11 @@ def window_lookback(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", dates.in_window(day, today, 10).alias("dated_only"), dates.since_or_unknown(day, F.lit("2024-01-05").cast("date")).alias("undated_kept"))
 
 
-@query("SELECT o_orderkey, round_even(date_diff('day', o_orderdate, TIMESTAMP '2003-01-01') / 30.4::DOUBLE, 1) AS months, strftime(o_orderdate, '%Y-%m') AS bucket FROM orders WHERE date_diff('day', o_orderdate, TIMESTAMP '2003-01-01') % 38 > 0")
+@query("""WITH d AS (SELECT o_orderkey, date_diff('day', o_orderdate, TIMESTAMP '2003-01-01') * 25 AS n, strftime(o_orderdate, '%Y-%m') AS bucket FROM orders)
+SELECT o_orderkey, (n // 76 + CASE WHEN n % 76 > 38 OR (n % 76 = 38 AND n // 76 % 2 = 1) THEN 1 ELSE 0 END) / 10 AS months, bucket FROM d""")
 def recency_months(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where(F.datediff(F.lit("2003-01-01").cast("date"), "o_orderdate") % 38 > 0)
+    """Months of 30.4 days to one place, ties to even; the SQL counts in whole numbers, 10 / 30.4 being 25 / 76."""
+    o = table(spark, sf_dir, "orders")
     return o.select("o_orderkey", dates.months_since(F.to_date("o_orderdate"), F.lit("2003-01-01").cast("date")).alias("months"), F.date_format("o_orderdate", "yyyy-MM").alias("bucket"))
 
 

@@ -80,9 +80,9 @@ def label_value_pairs(spark, sf_dir):
     return rank.label_values(table(spark, sf_dir, "conversations"), ["conv_id"], F.col("role") == "user", "text", ["turn"]).select("conv_id", F.col("ord").cast("long").alias("ord"), "label", "value")
 
 
-@query("SELECT o_orderpriority || '-' || lpad(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey)::VARCHAR, 3, '0') AS id, o_orderkey FROM orders WHERE o_orderkey < 500")
+@query("SELECT printf('%s-%03d', o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey)) AS id, o_orderkey FROM orders")
 def sequential_ids(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 500").select("o_orderpriority", "o_orderkey", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_orderdate")
     return rank.numbered_ids(o, "o_orderpriority", ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")
 
 
@@ -101,8 +101,10 @@ def top_ranking(spark, sf_dir):
 @query("""SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM') QUALIFY place <= 5""")
 def fixed_order(spark, sf_dir):
     """The five best of each listed category in the list's order; other categories go."""
-    o = rank.fixed_order(table(spark, sf_dir, "orders"), "o_orderpriority", ["3-MEDIUM", "1-URGENT"], [F.desc("o_totalprice"), "o_orderkey"])
-    return rank.ranked(o, ["o_orderpriority"], rank.by("-o_totalprice", "o_orderkey"), "place").where("place <= 5").select("o_orderkey", "o_orderpriority", "place")
+    listed = ["3-MEDIUM", "1-URGENT"]
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin(listed)).select("o_orderkey", "o_orderpriority", "o_totalprice")
+    best = rank.ranked(o, ["o_orderpriority"], rank.by("-o_totalprice", "o_orderkey"), "place").where("place <= 5")
+    return rank.fixed_order(best, "o_orderpriority", listed, ["place"]).select("o_orderkey", "o_orderpriority", "place")
 
 
 @query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey) AS rn FROM lineitem)

@@ -229,4 +229,4 @@ def mined_sentences(spark, sf_dir):
     fit = lines.withColumn("score", F.char_length("line")).where(F.col("score").between(50, 120))
     unique = rank.keep_first(fit, ["line"], ["doc_id", "pos"])
     capped = rank.nested_caps(unique, ["doc_id"], ["source"], rank.by("-score", "doc_id", "pos"), 3, 40)
-    return rank.numbered_ids(capped, "source", rank.by("-score", "doc_id", "pos")).select("id", "doc_id", "line")
+    return rank.numbered_ids(capped, "source", ["-score", "doc_id", "pos"]).select("id", "doc_id", "line")
