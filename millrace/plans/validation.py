@@ -34,16 +34,19 @@ def style_rules(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(quality.style_faults(F.col("text"), ["idiot", "token"]), ",").alias("faults"))
 
 
-@query("""SELECT item_id, count(*) FILTER (contains(trim(regexp_replace(lower(d.text), '\\s+', ' ', 'g')), trim(regexp_replace(lower(left(b.text, 40)), '\\s+', ' ', 'g')))) AS n FROM benchmark b, (SELECT text FROM documents WHERE n_chars < 300) d GROUP BY item_id""".replace("\\\\", "\\"))
+@query(r"""WITH d AS (SELECT trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS t FROM documents), b AS (SELECT item_id, trim(regexp_replace(lower(left(text, 40)), '\s+', ' ', 'g')) AS q FROM benchmark)
+SELECT item_id, count(*) FILTER (contains(t, q)) AS n FROM b, d GROUP BY item_id""")
 def citation_form(spark, sf_dir):
-    """Short documents that hold the beginning of a passage, case and spacing aside: a stated set of short texts against few passages."""
-    docs = table(spark, sf_dir, "documents").where("n_chars < 300").select(quality.normal_form(F.col("text")).alias("t"))
+    """Documents that hold the beginning of a passage, case and spacing aside.
+
+    They meet on the beginning's second word; words travel without their text.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", quality.normal_form(F.col("text")).alias("t"))
     items = table(spark, sf_dir, "benchmark").select("item_id", quality.normal_form(F.left("text", F.lit(40))).alias("q"))
-    keyed = items.withColumn("w", F.get(F.filter(F.split("q", " "), lambda w: F.length(w) >= 1), F.lit(1)))
-    words = docs.distinct().select("t", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
-    repeats = docs.groupBy("t").agg(F.count("*").alias("k"))
-    found = words.join(keyed, "w").where(F.contains("t", F.col("q"))).select("item_id", "t").distinct().join(repeats, "t")
-    counts = found.groupBy("item_id").agg(F.sum("k").alias("n"))
+    keyed = items.withColumn("w", F.get(F.split("q", " "), F.lit(1)))
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
+    likely = words.join(keyed, "w").select("item_id", "q", "doc_id").distinct()
+    counts = likely.join(docs, "doc_id").where(F.contains("t", F.col("q"))).groupBy("item_id").agg(F.count("*").alias("n"))
     return items.select("item_id").join(counts, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
