@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,12 @@ def largest_distance(percent: int, bands: int = BANDS, rows: int = ROWS, bits: i
     return math.ceil(min(d, bits / 2 * (1 - math.exp(-2 * d / bits)) + margin * math.sqrt(d) / 2))
 
 
+def fingerprint(s: np.ndarray) -> tuple[np.int64, np.int64]:
+    """A 128-bit hash of a set of shingles."""
+    f = mix(s ^ np.uint64(0x5851F42D4C957F2D))
+    return f.sum().astype(np.int64), mix(f).sum().astype(np.int64)
+
+
 def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: Sampler) -> DataFrame:
     """(id, n, f1, f2, bands, sketch) of every row: set size, set hash, band keys and odd sketch."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -120,8 +126,7 @@ def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: S
                 if len(s):
                     m = sampler.samples(s)
                     keys, sketch = sampler.band_keys(m).view(np.int64), sampler.sketch(m).view(np.int64)
-                f = mix(s ^ np.uint64(0x5851F42D4C957F2D))
-                for column, value in zip(out, (len(s), f.sum().astype(np.int64), mix(f).sum().astype(np.int64), keys, sketch)):
+                for column, value in zip(out, (len(s), *fingerprint(s), keys, sketch)):
                     column.append(value)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -144,7 +149,10 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
-    """(id, set, parity) of the documents in ``ids``: each set as hashes, and its own odd sketch.
+    """(id, v, set, parity) of the documents in ``ids``: each set as hashes, and its own odd sketch.
+
+    A row is one set of one id, whatever number of rows repeats it; the different
+    sets of an id are numbered by v from 1. Tasks drop what they have seen before.
 
     The XOR of two such sketches has at most as many ones as the sets have
     different members, whatever falls together, so it rules pairs out without error.
@@ -157,17 +165,27 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = wanted.value
+        bitmap, seen = wanted.value, set()
         for batch in batches:
             bit = batch.column("bit").to_numpy()
             for part in slices([batch.filter(pa.array((bitmap[bit >> 6] >> (bit & 63)) & 1 == 1))]):
-                sets = list(shingle_sets(part.column("t"), shingle))
+                at, sets, marks = [], [], []
+                for i, (key, s) in enumerate(zip(part.column("id").to_pylist(), shingle_sets(part.column("t"), shingle))):
+                    mark = fingerprint(s)
+                    if (key, *mark) not in seen:
+                        seen.add((key, *mark))
+                        at.append(i)
+                        sets.append(s)
+                        marks.append(mark)
                 odd = [parities(mix(s) % np.uint64(SET_BITS), SET_BITS).view(np.int64) for s in sets]
                 columns = [pa.array(c, pa.list_(pa.int64())) for c in ([s.view(np.int64) for s in sets], odd)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), *columns], names=["id", "set", "parity"])
+                hashes = [pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(at, pa.int64())), *hashes, *columns], names=["id", "f1", "f2", "set", "parity"])
 
-    kinds = T.StructType.fromDDL("set array<long>, parity array<long>")
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields])).join(ids, "id", "left_semi")
+    kinds = T.StructType.fromDDL("f1 long, f2 long, set array<long>, parity array<long>")
+    found = rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields])).join(ids, "id", "left_semi")
+    once = found.groupBy("id", "f1", "f2").agg(F.first("set").alias("set"), F.first("parity").alias("parity"))
+    return once.select("id", F.row_number().over(Window.partitionBy("id").orderBy("f1", "f2")).alias("v"), "set", "parity")
 
 
 def _ones(a: str, b: str) -> Column:
@@ -205,14 +223,14 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs that both leave possible come out. One side of a pair is always outside
     its bucket's main component (minor).
     """
-    held = sets.join(rest.select("id"), "id").select("id", F.explode("set").alias("s"))
+    held = sets.join(rest.select("id").distinct(), "id").select("id", "v", F.explode("set").alias("s"))
     rarity = held.groupBy("s").agg(F.count("*").alias("df"))
-    ordered = held.join(rarity, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
+    ordered = held.join(rarity, "s").groupBy("id", "v").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
     n, shared = F.size("o"), F.filter("o", lambda x: x["df"] > 1)
     first = F.filter(F.slice("o", 1, n - F.ceil(n * percent / F.lit(100)).cast("int") + 1), lambda x: x["df"] > 1)
-    kept = ordered.select("id", n.alias("n"), F.size(shared).alias("m"), first.alias("first"))
+    kept = ordered.select("id", "v", n.alias("n"), F.size(shared).alias("m"), first.alias("first"))
     # no partner at all can reach the threshold with what a document shares
-    kept = kept.where(F.col("m") * 100 >= F.col("n") * percent).join(rest, "id").join(sets.select("id", "parity"), "id")
+    kept = kept.where(F.col("m") * 100 >= F.col("n") * percent).join(rest, "id").join(sets.select("id", "v", "parity"), ["id", "v"])
     prefix = cut_lineage(kept.select("id", "n", "m", "comp", "minor", "parity", F.explode("first.s").alias("s")))
     side = lambda d, x: d.select("s", *[F.col(c).alias(x if c == "id" else x + c) for c in ("id", "n", "m", "comp", "minor", "parity")])
     most = F.least("am", "bm")

@@ -70,6 +70,29 @@ def test_loosely_similar_group_is_resolved_exactly(spark):
     assert got == by_hand(rows, 3, 85)
 
 
+def test_repeated_rows_in_a_loosely_similar_group(spark):
+    """Rows of one id count once in the prefix join, other texts of the id on their own."""
+    rng = random.Random(9)
+    base = [rng.choice(WORDS) + str(i) for i in range(120)]
+    rows = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.randint(0, 8)):
+            copy[rng.randrange(len(copy))] = f"new{i}{rng.random()}"
+        rows.append((1000 - i, " ".join(copy)))
+    df = spark.createDataFrame(rows + rows[::2], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: tuple(r)[1:] for r in neardup.op1_minhash_near_dedup(df).collect()}
+    assert got == by_hand(rows, 3, 85)
+
+    sets = neardup.full_sets(spark.createDataFrame([(1, "a b c d"), (1, "A b c d"), (1, "x y z"), (2, "x y z")] * 3, "doc_id long, text string").repartition(4), spark.createDataFrame([(1,)], "id long"), "doc_id", "text", 3)
+    assert sorted((r["id"], r["v"], len(r["set"])) for r in sets.collect()) in ([(1, 1, 1), (1, 2, 2)], [(1, 1, 2), (1, 2, 1)])
+
+    pair = [base[:60], [*base[:59], "other"]]
+    rest = spark.createDataFrame([(i, i, True) for i in (1, 2)], "id long, comp long, minor boolean")
+    twice = spark.createDataFrame([(i + 1, " ".join(t)) for i, t in enumerate(pair) for _ in range(2 - i)], "doc_id long, text string")
+    assert [tuple(r) for r in neardup._prefix_pairs(rest, neardup.full_sets(twice, rest.select("id"), "doc_id", "text", 3), 85).collect()] == [(1, 2)]
+
+
 def test_odd_rows(spark):
     rows = [(5, None, 1, "f"), (4, "", 1, "f"), (3, "one", 1, "f"), (2, "ONE", 1, "f"), (None, "one", 1, "f"), (9, "a\x00b c d", 1, "f"), (9, "a\x00b c d", 1, "f"), (8, "a b c d", 1, "f"), (7, "w " * 90000, 1, "f")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n int, f1 string")
