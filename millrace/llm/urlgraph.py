@@ -4,11 +4,14 @@ A few rules decide the pages they fit. Every other page is judged by its host:
 trust flows from hosts with allowed pages along links, distrust flows from hosts
 with blocked pages against links, to whoever links to them. Both are personalised
 PageRank, run together as one set of joins over (direction, host) and scaled so
-that a host without links keeps exactly its own share of evidence.
+that a host without links keeps exactly its own share of evidence. A host's distrust
+is what walks along its own links find: the mean of its targets', damped, however
+many others link to them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,9 +27,11 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 DAMPING = 0.85
+#: Rounds of the plain computation that tests hold ranks against; here only the tolerance ends them.
 ROUNDS = 24
 #: Rounds between checkpoints and tests for the end.
 BATCH = 4
+#: What may be missing of any host's rank at the end.
 TOLERANCE = 1e-4
 #: A host is blocked when its distrust exceeds its trust by more than this.
 THRESHOLD = 0.5
@@ -64,17 +69,18 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) of every host that gets some.
 
     ``edges`` is (a, b, n); ``seeds`` is (host, trust, distrust). The arcs of both
-    directions are weighted and written once; a round is one join and one sum.
-    Rounds end early when nothing moves by more than ``tolerance``.
+    directions are weighted by the links of the linking host and written once; a
+    round is one join and one sum. A round damps the sum of what moves forward and
+    the most that moves backward, so what the last batch moved bounds all that is
+    left out; rounds end when that is no more than ``tolerance``.
     """
     out = edges.groupBy("a").agg(F.sum("n").alias("w"))
-    into = edges.groupBy("b").agg(F.sum("n").alias("w"))
     forward = edges.join(out, "a").select(F.lit(True).alias("fwd"), F.col("a").alias("host"), F.col("b").alias("to"), (F.col("n") / F.col("w")).alias("p"))
-    backward = edges.join(into, "b").select(F.lit(False).alias("fwd"), F.col("b").alias("host"), F.col("a").alias("to"), (F.col("n") / F.col("w")).alias("p"))
+    backward = edges.join(out, "a").select(F.lit(False).alias("fwd"), F.col("b").alias("host"), F.col("a").alias("to"), (F.col("n") / F.col("w")).alias("p"))
     arcs = cut_lineage(forward.unionByName(backward))
     start = cut_lineage(
         seeds.select(F.explode(F.array(F.struct(F.lit(True).alias("fwd"), "host", F.col("trust").alias("r")), F.struct(F.lit(False).alias("fwd"), "host", F.col("distrust").alias("r")))).alias("s"))
@@ -82,15 +88,15 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     )
     rank = start
     if not arcs.isEmpty():
-        for _ in range(0, rounds, BATCH):
+        left, rest = math.inf, damping**BATCH / (1 - damping**BATCH)
+        while left * rest > tolerance:
             before = rank
             for _ in range(BATCH):
                 moved = rank.join(arcs, ["fwd", "host"]).select("fwd", F.col("to").alias("host"), (F.col("r") * F.col("p") * damping).alias("r"))
                 rank = start.unionByName(moved).groupBy("fwd", "host").agg(F.sum("r").alias("r"))
             rank = cut_lineage(rank)
-            step = rank.join(before.withColumnRenamed("r", "old"), ["fwd", "host"], "left")
-            if (step.agg(F.max(F.col("r") - F.coalesce("old", F.lit(0.0)))).first()[0] or 0.0) <= tolerance:
-                break
+            step = rank.join(before.withColumnRenamed("r", "old"), ["fwd", "host"], "left").select("fwd", (F.col("r") - F.coalesce("old", F.lit(0.0))).alias("d"))
+            left = step.agg(F.greatest(F.sum(F.when(F.col("fwd"), F.col("d"))), F.max(F.when(~F.col("fwd"), F.col("d"))))).first()[0] or 0.0
     share = lambda fwd: F.coalesce(F.sum(F.when(F.col("fwd") == fwd, F.col("r"))), F.lit(0.0))
     return rank.groupBy("host").agg(share(True).alias("trust"), share(False).alias("distrust"))
 

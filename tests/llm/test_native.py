@@ -79,6 +79,21 @@ def rank_by_hand(edges, seeds, forward):
     return r
 
 
+def test_distrust_does_not_shrink_with_linking_hosts_and_converges(spark):
+    link = lambda *hosts: "".join(f'<a href="http://{h}/x">' for h in hosts)
+    pages = [(0, "http://bad.net/a", None), (1, "http://mixed.com/x", link("bad.net", "a.org", "b.org", "c.org"))]
+    pages += [(i, f"http://farm{i}.com/x", link("bad.net")) for i in range(2, 22)]
+    got = {r["page_id"]: r for r in urlgraph.op3_url_filter(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {r["verdict"] for k, r in got.items() if k > 1} == {"block"} and got[1]["verdict"] == "allow"
+    assert all(abs(r["distrust"] - 0.85) < 1e-3 for k, r in got.items() if k > 1)
+
+    seeds = spark.createDataFrame([("a", 1.0, 1.0)], "host string, trust double, distrust double")
+    cycle = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "a string, b string, n long")
+    for r in urlgraph.propagate(cycle, seeds).collect():
+        exact = (1.0 if r["host"] == "a" else 0.85) / (1 - 0.85**2)
+        assert abs(r["trust"] - exact) <= urlgraph.TOLERANCE and abs(r["distrust"] - exact) <= urlgraph.TOLERANCE
+
+
 def test_trust_and_distrust_follow_links(spark):
     link = lambda *hosts: "".join(f'<a href="http://{h}/x">' for h in hosts)
     pages = [
