@@ -50,6 +50,8 @@ COMMENTS = frozenset("comment comments respond disqus".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 #: Elements that pass their points to the parent and do not hold them.
 PARAGRAPHS = frozenset("p pre li td th dd dt blockquote h1 h2 h3 h4 h5 h6 figcaption caption summary address center".split())
+#: Elements that stay beside the best container by their own text and link density.
+READS = PARAGRAPHS | frozenset("ul ol dl table section figure hgroup details".split())
 SEMANTIC = {"article": 25.0, "main": 15.0}
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/][^a-zA-Z>][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)(?:>|\Z)""", re.S)
@@ -189,7 +191,7 @@ class Page:
                 kept[i] = True
             elif best and self.parent[i] == self.parent[best] and i != best and chars[i]:
                 density = links[i] / chars[i]
-                reads = self.tags[i] == "p" and ((chars[i] > 80 and density < 0.25) or not density)
+                reads = self.tags[i] in READS and ((chars[i] > 80 and density < 0.25) or not density)
                 kept[i] = worth(i) >= least or reads
         return [text for node, text, _ in self.blocks if kept[node]]
 

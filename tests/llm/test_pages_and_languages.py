@@ -23,6 +23,18 @@ def test_main_text(source, text):
     assert html_text.main_text(source) == text
 
 
+def test_pieces_beside_the_best_container_stay():
+    """Pages without article or main: all that reads like text beside the container, and no link lists."""
+    line = "A paragraph of the article, with commas, and long enough to count as text, it is."
+    text = f"<div class=text>{f'<p>{line}' * 5}</div>"
+    for piece, said in (
+        ("<ul><li>one<li>two<li>three</ul>", "one\ntwo\nthree"), ("<section><p>Short end.</section>", "Short end."), ("<blockquote>Quoted.</blockquote>", "Quoted."),
+        ("<pre>x = 1</pre>", "x = 1"), ("<table><tr><td>1<td>2</table>", "1\n2"), ("<dl><dt>a<dd>b</dl>", "a\nb"), ("<figure><figcaption>Fig. 1</figcaption></figure>", "Fig. 1"),
+        ("<ul><li><a href=x>menu</a><li><a href=y>more</a></ul>", ""),
+    ):
+        assert html_text.main_text(f"<div id=c><h1>T</h1>{text}{piece}</div>") == "\n".join(["T", *[line] * 5, *([said] if said else [])]), piece
+
+
 def test_deep_and_long_pages_finish():
     assert html_text.main_text("<div>" * 30000 + "deep") == "deep"
     assert html_text.main_text("<p>" * 30000 + "x <a href='") == "x"
