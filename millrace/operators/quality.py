@@ -8,12 +8,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Characters by which passages without a whole word meet texts.
+GRAM = 8
+
+
+def fragments(quote: Column) -> Column:
+    """The parts of a quote between ``...``, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(quote, r"\s*(?:\.\.\.|…)\s*"), lambda p: F.trim(p)), lambda p: p != "")
+
+
+def likely_holders(quotes: DataFrame, docs: DataFrame, item: str, quote: str, parts: Column, doc: str, text: str) -> DataFrame:
+    """(item, quote, doc) with every pair in which a text holds all of ``parts``, and few others.
+
+    A part's words but its first and last are whole words of any text that holds it,
+    so pairs meet on the longest of these. Where there is none, they meet on the
+    first characters of the longest part. Words and characters travel without texts.
+    """
+    inner = F.flatten(F.transform(parts, lambda p: F.slice(F.split(p, " "), 2, F.greatest(F.size(F.split(p, " ")) - 2, F.lit(0)))))
+    longest = lambda a: F.array_max(F.transform(a, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
+    keyed = quotes.select(item, quote, longest(inner).alias("_w"), F.left(longest(parts), F.lit(GRAM)).alias("_g"))
+    words = docs.select(doc, F.explode(F.array_distinct(F.split(text, " "))).alias("_w"))
+    out = words.join(keyed, "_w").select(item, quote, doc)
+    short = keyed.where("_w is null and _g is not null").select(item, quote, "_g", F.char_length("_g").alias("_n"))
+    for (n,) in short.select("_n").distinct().collect():  # at most GRAM + 1 lengths
+        grams = F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda i: F.substring(F.col(text), i, F.lit(n)))
+        held = docs.where(F.char_length(text) >= n).select(doc, F.explode(F.array_distinct(grams)).alias("_g"))
+        out = out.unionByName(held.join(short.where(F.col("_n") == n), "_g").select(item, quote, doc))
+    return out.distinct()
+
+
 def quote_holds(quote: Column, text: Column) -> Column:
     """Whether all fragments of a quote stand in a text in order; ``...`` parts fragments. Both in quote form.
 
     No fragment, or a null on either side, is false.
     """
-    parts = F.filter(F.transform(F.split(quote, r"\s*(?:\.\.\.|…)\s*"), lambda p: F.trim(p)), lambda p: p != "")
+    parts = fragments(quote)
     step = lambda at, p: F.when(at == 0, F.lit(0)).otherwise(
         F.when(F.position(p, text, at) > 0, F.position(p, text, at) + F.char_length(p)).otherwise(0)
     )

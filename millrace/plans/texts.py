@@ -117,16 +117,13 @@ SELECT item_id, count(doc_id) AS n_docs, coalesce(min(doc_id), -1) AS first_doc
 def quote_check(spark, sf_dir):
     """Documents that hold each benchmark passage word for word.
 
-    A quote and a text that holds it share the quote's longest word, so they meet on
-    words, which travel without their text; only those pairs are compared, by the
-    quote check itself.
+    A quote and a text that holds it share the quote's longest inner word, or its
+    first characters where it has none; only pairs that meet so are compared, by
+    the quote check itself.
     """
     quotes = table(spark, sf_dir, "benchmark").select("item_id", text.quote_form(F.col("text"), False).alias("q"))
     docs = table(spark, sf_dir, "documents").select("doc_id", text.quote_form(F.col("text"), False).alias("t"))
-    inner = F.slice(F.split("q", " "), 2, F.greatest(F.size(F.split("q", " ")) - 2, F.lit(1)))
-    keyed = quotes.withColumn("w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
-    likely = words.join(keyed, "w").select("item_id", "q", "doc_id").distinct()
+    likely = quality.likely_holders(quotes, docs, "item_id", "q", quality.fragments(F.col("q")), "doc_id", "t")
     found = likely.join(docs, "doc_id").where(quality.quote_holds(F.col("q"), F.col("t"))).select("item_id", "doc_id").distinct()
     counts = found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
     return quotes.join(counts, "item_id", "left").select("item_id", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), F.coalesce("first_doc", F.lit(-1)).cast("long").alias("first_doc"))

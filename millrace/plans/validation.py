@@ -39,13 +39,11 @@ SELECT item_id, count(*) FILTER (contains(t, q)) AS n FROM b, d GROUP BY item_id
 def citation_form(spark, sf_dir):
     """Documents that hold the beginning of a passage, case and spacing aside.
 
-    They meet on the beginning's second word; words travel without their text.
+    They meet on a word that the beginning holds whole, or on its first characters.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", quality.normal_form(F.col("text")).alias("t"))
     items = table(spark, sf_dir, "benchmark").select("item_id", quality.normal_form(F.left("text", F.lit(40))).alias("q"))
-    keyed = items.withColumn("w", F.get(F.split("q", " "), F.lit(1)))
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
-    likely = words.join(keyed, "w").select("item_id", "q", "doc_id").distinct()
+    likely = quality.likely_holders(items, docs, "item_id", "q", F.array("q"), "doc_id", "t")
     counts = likely.join(docs, "doc_id").where(F.contains("t", F.col("q"))).groupBy("item_id").agg(F.count("*").alias("n"))
     return items.select("item_id").join(counts, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
