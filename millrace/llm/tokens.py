@@ -9,6 +9,7 @@ token across a boundary goes where an explicit rule says.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,6 +25,9 @@ from millrace.session import ship_package
 
 #: How a vocabulary of this family cuts a text before merging. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of white space from this size on are cut out before the pattern sees them: its look-ahead backtracks over them.
+#: Fixed value: the characters are those that the pattern takes for white space.
+LONG_WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 #: A token that crosses a boundary belongs to the section of its first byte, of its
 #: last byte, or of most of its bytes (the first one in a tie).
 RULES = ("first", "last", "most")
@@ -61,16 +65,33 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.bpe = tiktoken.Encoding("millrace", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        self.allowed = set(self.special)
+        #: The same merges for a text that is one piece, however long.
+        self.whole = tiktoken.Encoding("millrace-whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.size = np.zeros(max([*ranks.values(), *self.special.values()]) + 1, np.int64)
         self.size[list(ranks.values())] = [len(b) for b in ranks]
         for token, i in self.special.items():
             self.size[i] = len(token.encode())
 
+    def _pieces(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a text without special tokens.
+
+        A run of white space is one piece but for its last character, which goes
+        with the word after it, if there is one.
+        """
+        at = 0
+        for run in LONG_WHITE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            yield self.bpe.encode_to_numpy(text[at : run.start()])
+            yield self.whole.encode_to_numpy(text[run.start() : end])
+            at = end
+        yield self.bpe.encode_to_numpy(text[at:])
+
     def ids(self, text: str) -> np.ndarray:
-        if any(token in text for token in self.special):
-            return np.array(self.bpe.encode(text, allowed_special=self.allowed, disallowed_special=()), dtype=np.uint32)
-        return self.bpe.encode_to_numpy(text)
+        parts: list[np.ndarray] = []
+        for piece in self.cut.split(text) if self.cut else [text]:
+            parts += [np.array([self.special[piece]], np.uint32)] if piece in self.special else self._pieces(piece)
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
 
 @lru_cache(maxsize=2)
@@ -102,6 +123,14 @@ def attribute(sizes: np.ndarray, bounds: np.ndarray, rule: str = "first") -> tup
     return np.bincount(owner, minlength=len(bounds)), int((last > first).sum())
 
 
+def char_spans(sizes: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of every token in code points; a token of part of a character spans the character."""
+    first = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
+    place = np.cumsum(first, dtype=np.uint32) - 1  # the character of each byte
+    end = np.cumsum(sizes)
+    return place[end - sizes].astype(np.int64), place[end - 1].astype(np.int64) + 1
+
+
 def section_bounds(text: bytes, mark: bytes = b"\n") -> np.ndarray:
     """First bytes of the lines of a text; a line break belongs to the line it ends."""
     at = np.flatnonzero(np.frombuffer(text, np.uint8) == mark[0]) + 1
@@ -146,6 +175,28 @@ def token_counts(docs: DataFrame, fields: list[str], id_col: str = "doc_id", sep
     return rows.mapInArrow(count, T.StructType([rows.schema["id"], *kinds.fields])).withColumnRenamed("id", id_col)
 
 
+def token_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """(id, tokens, starts, ends) of every row: the ids of the whole text and their spans in code points.
+
+    Null and empty texts have empty arrays; repeated rows are encoded one by one.
+    """
+    shared = broadcast_vocabulary(docs.sparkSession, vocabulary)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(shared)
+        for batch in slices(batches):
+            out: list[list] = [[], [], []]
+            for value in batch.column("t").to_pylist():
+                ids = encoder.ids(value)
+                for column, x in zip(out, (ids.astype(np.int64), *char_spans(encoder.size[ids], value.encode()))):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(c, pa.list_(pa.int64())) for c in out]], names=["id", "tokens", "starts", "ends"])
+
+    kinds = T.StructType.fromDDL("tokens array<long>, starts array<long>, ends array<long>")
+    return rows.mapInArrow(encode, T.StructType([rows.schema["id"], *kinds.fields])).withColumnRenamed("id", id_col)
+
+
 def op4_token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_source, n_text, n_sections, section_tokens, n_crossing) of every document.
 

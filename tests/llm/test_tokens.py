@@ -48,6 +48,34 @@ def test_pieces_round_trip(spark, library):
     assert packing.op7_best_fit_packing(df.limit(0)).count() == 0
 
 
+def test_long_runs_are_encoded_as_the_library_does(library):
+    """Runs of white space that the pattern can't look over, alone and between words, and other long pieces."""
+    with open(tokens.vocabulary_path(), "rb") as file:
+        encoder = tokens.Encoder(file.read())
+    runs = [" " * 10**6, "\n" * 600000, "\t " * 30000, "\r\n\u3000" * 20000, " " * 4096, "\n" * 4095, "\x1c" * 5000, "\u2003" * 5000 + "\x85" * 5000]
+    for run in runs:
+        for text in (run, f"word{run}word", f"a{run}", f"{run}é", f"x{run}<|endoftext|>{run}y", f"{run}'s{run}12"):
+            assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, (run[:3], len(run), text[:2])
+    for text in ("a" * 10**5, "=-" * 30000):
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder.ids("x" + " " * 10**7 + "y").tolist() == [*encoder.ids("x"), *[encoder.ids(" ")[0]] * (10**7 - 1), *encoder.ids(" y")]
+
+
+def test_a_document_of_white_space_is_counted_and_packed(spark):
+    df = spark.createDataFrame([(1, "s", "a" + " " * 10**6 + "b"), (2, "s", "\n" * 10**6)], "doc_id long, source string, text string")
+    counted = {r["doc_id"]: r["n_tokens"] for r in tokens.op4_token_counts(df).select("doc_id", "n_tokens").collect()}
+    packed = {r["doc_id"]: r["n"] for r in packing.op7_best_fit_packing(df).groupBy("doc_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    assert set(counted) == set(packed) == {1, 2} and all(n >= 10**5 for n in [*counted.values(), *packed.values()])
+
+
+def test_spans_equal_offsets(spark, library):
+    texts = ["plain text, two words", "", None, "naïve 日本語 😀 end\n\n x", "word " * 500]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in tokens.token_spans(df).collect():
+        want = library.encode(texts[r["doc_id"]] or "", add_special_tokens=False)
+        assert r["tokens"] == want.ids and list(zip(r["starts"], r["ends"])) == want.offsets, r["doc_id"]
+
+
 def fewest(items, capacity):
     best = [len(items)]
 
