@@ -35,6 +35,40 @@ def test_pieces_beside_the_best_container_stay():
         assert html_text.main_text(f"<div id=c><h1>T</h1>{text}{piece}</div>") == "\n".join(["T", *[line] * 5, *([said] if said else [])]), piece
 
 
+PROSE = "A paragraph of the article, with commas, and long enough to count as text, it is."
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<article><h1>Head</h1><p title=don't>First it is.</p><p>It's second.</p></article>", "Head\nFirst it is.\nIt's second."),
+    ('<article><p class="x"">one</p><p id="y">two</p></article>', "one\ntwo"),
+    ("<article><p a='unclosed>one</p><p>two</article>", "one\ntwo"),
+    ('<article><p data-x = "a > b">one</p><p data-y=a"b>two</p><br/><p / >three</article>', "one\ntwo\nthree"),
+    ("<!--><article><p>one</p><!-- x --!>two</article><!-- open <p>three", "one\ntwo"),
+    ("<article></section></div></p></b>one</li><p>two</nav></article>", "one\ntwo"),
+    ('<article><div class="share-price"><p>one</p></div><div class="social-science"><p>two</p></div><div class="share-buttons">x</div><div id="related-posts">y</div></article>', "one\ntwo"),
+    (f'<article><div class="article-header"><h1>T</h1></div><header><p>by me</p></header><p>{PROSE}</p><div class="ad-box">Buy</div></article>', f"T\nby me\n{PROSE}"),
+    (f'<form id=f><h1>T</h1><div>{f"<p>{PROSE}</p>" * 3}</div></form>', "\n".join(["T", PROSE, PROSE, PROSE])),
+    (f'<div class="modal-wrapper">{f"<p>{PROSE}</p>" * 3}</div><p>x</p>', "\n".join([PROSE] * 3 + ["x"])),
+    (f'<article><p>one, it is</p></article><div class=comments>{f"<p>{PROSE}</p>" * 9}</div>', "one, it is"),
+    (f"<div class=row><article><p>{PROSE}</p></article></div><div class=row><article><p>{PROSE[::-1]}</p></article></div><div><article><a href=x>teaser, and a link</a></article></div>", f"{PROSE}\n{PROSE[::-1]}"),
+    (f"<div><div class=head><h1>T</h1></div><div><div>{f'<p>{PROSE}</p>' * 4}</div></div></div>", "\n".join(["T"] + [PROSE] * 4)),
+    (f"<article><header><h1>T</h1></header><div>{f'<p>{PROSE}</p>' * 60}</div></article>", "\n".join(["T"] + [PROSE] * 60)),
+])
+def test_malformed_and_misleading_markup(source, text):
+    assert html_text.main_text(source) == text
+
+
+def test_work_grows_with_the_page_only():
+    import time
+
+    n = 100_000
+    pages = ["<div>" * n + "</section>" * n + "x", "<dl><dd><ul>" + "<div>" * n + "<dt>a</dt>" * n, "<center>" * n + "<p>a</p>" * n, "<p a=\"" * n, "<p a='x" * n, "<" * n, "<!--" * n, "<article>" * n + "x", "<div class=share>" * n + "x"]
+    for page in pages:
+        start = time.time()
+        html_text.main_text(page)
+        assert time.time() - start < 10, page[:30]
+
+
 def test_deep_and_long_pages_finish():
     assert html_text.main_text("<div>" * 30000 + "deep") == "deep"
     assert html_text.main_text("<p>" * 30000 + "x <a href='") == "x"
