@@ -5,35 +5,41 @@ everything but letters a blank), hashed into a fixed number of dimensions, weigh
 by TF-IDF and brought to unit length. Every language has several centroids, found by
 spherical k-means; a text gets the language of the centroid with the largest cosine.
 A text farther from its centroid than nearly all that the centroid was made from is
-rejected: flagged and scored lower, never dropped.
+rejected: it keeps its language, is flagged, and its score is halved.
 
-Document frequencies cover every labelled training text. The k-means works on a
-sample whose size is a parameter. Model and frequencies are a few hundred KB
+Document frequencies cover every labelled training text, and every label that one of
+them has is learned. The k-means of a language works on a sample of its texts whose
+size is a parameter: those with letters that have the smallest hashes of id and
+text, each text once. Languages are fitted apart from one another, in parallel.
+Model and frequencies are a few hundred KB for a few languages (some 64 KB each),
 whatever the corpus, and are broadcast; prediction is one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import cut_lineage
 from millrace.llm.words import slices
 from millrace.session import ship_package
 
 DIMENSIONS = 4096
-#: Most labelled texts that k-means sees, shared evenly among the languages.
-MAX_SAMPLE = 4000
+#: Most labelled texts of a language that its k-means sees.
+MAX_SAMPLE = 1000
 CENTROIDS = 4
-#: Most labels that are learned; the commonest ones if there are more.
-MAX_LANGUAGES = 400
 #: Quantile of the training cosines of a centroid below which a text is rejected.
 REJECT = 0.001
+#: What rejection leaves of a score.
+REJECTED_SHARE = 0.5
 UNDETERMINED = "und"
 #: Code points of a text handled at a time.
 STEP = 1 << 18
@@ -44,7 +50,7 @@ _ODD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 def _letters() -> np.ndarray:
     """Code point -> its lower-case code point if it's a letter, else a blank."""
     out = np.full(0x110000, 32, dtype=np.uint32)
-    for c in range(0x30000):
+    for c in range(0x110000):
         ch = chr(c)
         if ch.isalpha():
             low = ch.lower()
@@ -99,24 +105,35 @@ def k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def document_frequencies(train: DataFrame, dimensions: int) -> np.ndarray:
-    """Texts that hold each dimension, and at the end all texts, over every training text."""
+def survey(train: DataFrame, dimensions: int, most: int) -> DataFrame:
+    """(lang, h, dim, n): what one pass over ``train`` (lang, h, text) finds, a task's share a row.
+
+    Rows with a dim say how many texts hold that dimension, those of dim
+    ``dimensions`` how many have letters at all. Rows with a lang name the ``most``
+    smallest hashes of its texts with letters; a task keeps no more of them.
+    """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(dimensions + 1, np.int64)
+        least: dict[str, np.ndarray] = {}
         for batch in slices(batches):
-            for value in batch.column(0):
+            new = defaultdict(list)
+            for lang, h, value in zip(batch.column("lang").to_pylist(), batch.column("h").to_pylist(), batch.column("text")):
                 n = counts(value.as_py(), dimensions)
                 if n is not None:
                     df[:-1] += n > 0
                     df[-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dimensions + 1)), pa.array(df)], names=["dim", "n"])
+                    new[lang].append(h)
+            for lang, hashes in new.items():
+                least[lang] = np.unique(np.concatenate([least.get(lang, np.zeros(0, np.int64)), np.array(hashes, np.int64)]))[:most]
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.int64()), pa.array(at), pa.array(df[at])], names=names)
+        for lang, hashes in least.items():
+            k = len(hashes)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array(hashes), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
 
-    sums = train.select("text").mapInArrow(partial, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n"))
-    out = np.zeros(dimensions + 1, np.int64)
-    for r in sums.collect():  # one row a dimension
-        out[r["dim"]] = r["n"]
-    return out
+    names = ["lang", "h", "dim", "n"]
+    return train.select("lang", "h", "text").mapInArrow(partial, "lang string, h long, dim long, n long")
 
 
 class Model:
@@ -132,45 +149,60 @@ class Model:
             return UNDETERMINED, 0.0, True
         cosine = self.centroids @ weigh(n, self.idf)
         best = int(np.argmax(cosine))
-        score = float(min(1.0, max(0.0, cosine[best])))
-        return self.languages[best], score, bool(cosine[best] < self.floors[best])
+        rejected = bool(cosine[best] < self.floors[best])
+        score = float(min(1.0, max(0.0, cosine[best]))) * (REJECTED_SHARE if rejected else 1.0)
+        return self.languages[best], score, rejected
+
+
+def idf_of(df: np.ndarray) -> np.ndarray:
+    """Inverse document frequencies; the last entry of ``df`` is the number of texts."""
+    return (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
 
 
 def fit(train: DataFrame, dimensions: int = DIMENSIONS, max_sample: int = MAX_SAMPLE, k: int = CENTROIDS) -> Model:
-    """A model of ``train`` (key, text, lang), all of them not null."""
-    spark = train.sparkSession
-    ship_package(spark)
-    df = document_frequencies(train, dimensions)
-    idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
-    sizes = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    share = max(1, max_sample // max(1, len(sizes)))
-    # an even sample by hash of the key: each language keeps about ``share`` texts, all of them if it has fewer
-    rate = spark.createDataFrame([(r["lang"], min(1.0, share / r["n"])) for r in sizes], "lang string, rate double")
-    drawn = train.join(F.broadcast(rate), "lang").where(F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 30)) < F.col("rate") * (1 << 30))
+    """A model of ``train`` (key, text, lang), texts and langs not null.
+
+    ``max_sample`` bounds the texts a language's k-means sees; rows of one key and
+    text count once there. A label whose texts have no letters is not learned.
+    """
+    ship_package(train.sparkSession)
+    train = train.select("lang", "text", F.xxhash64(F.lit(11), "key", "text").alias("h"))
+    found = cut_lineage(survey(train, dimensions, max_sample))
+    df = np.zeros(dimensions + 1, np.int64)
+    for r in found.where("dim is not null").groupBy("dim").agg(F.sum("n").alias("n")).collect():  # one row a dimension
+        df[r["dim"]] = r["n"]
+    idf = idf_of(df)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = cut_lineage(found.where("lang is not null").select("lang", "h").distinct().withColumn("at", place).where(F.col("at") <= max_sample).drop("at"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            lang, vec = [], []
-            for at, value in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            at, vec = [], []
+            for i, value in enumerate(batch.column("text")):
                 n = counts(value.as_py(), dimensions)
                 if n is not None:
-                    lang.append(at)
+                    at.append(i)
                     vec.append(weigh(n, idf).astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(vec, pa.binary())], names=["lang", "vec"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("lang").take(rows), batch.column("h").take(rows), pa.array(vec, pa.binary())], names=["lang", "h", "vec"])
 
-    sample = drawn.select("lang", "text").mapInArrow(vectors, "lang string, vec binary").collect()  # about ``max_sample`` rows
-    centroids, languages, floors = [], [], []
-    for lang in sorted({r["lang"] for r in sample}):
-        x = np.stack([np.frombuffer(r["vec"], np.float16) for r in sample if r["lang"] == lang]).astype(np.float32)
+    def cluster(lang: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack([np.frombuffer(v, np.float16) for v in rows.sort_values("h")["vec"]]).astype(np.float32)
         c = k_means(x, k)
         cosine = x @ c.T
         own = np.argmax(cosine, axis=1)
-        for i in range(len(c)):
-            if (own == i).any():
-                centroids.append(c[i])
-                languages.append(lang)
-                floors.append(float(np.quantile(cosine[own == i, i], REJECT)))
-    return Model(idf, np.array(centroids, np.float32).reshape(-1, dimensions), languages, np.array(floors))
+        used = [i for i in range(len(c)) if (own == i).any()]
+        return pd.DataFrame({
+            "lang": [lang[0]] * len(used), "at": used, "centroid": [c[i].tobytes() for i in used],
+            "floor": [float(np.quantile(cosine[own == i, i], REJECT)) for i in used],
+        })
+
+    sample = train.join(chosen, ["lang", "h"], "left_semi").mapInArrow(vectors, "lang string, h long, vec binary").dropDuplicates(["lang", "h"])
+    # a group holds ``max_sample`` vectors at most
+    fitted = sample.groupBy("lang").applyInPandas(cluster, "lang string, at int, centroid binary, floor double")
+    rows = sorted(fitted.collect(), key=lambda r: (r["lang"], r["at"]))  # ``k`` rows a language
+    centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in rows], np.float32).reshape(-1, dimensions)
+    return Model(idf, centroids, [r["lang"] for r in rows], np.array([r["floor"] for r in rows]))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
@@ -198,7 +230,7 @@ def op9_language_id(docs: DataFrame) -> DataFrame:
 
     Rows whose crc32(doc_id) mod 5 is 0, or without an id, are held out; rows with
     a null text or lang teach nothing. Null texts and texts without a letter are
-    ``und``, as is everything when nothing was learned.
+    ``und`` with a score of 0, as is everything when nothing was learned.
     """
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
     rows = docs.select("doc_id", "text", "lang", fold.alias("held_out"))

@@ -100,6 +100,64 @@ def test_odd_texts(spark):
     assert language.op9_language_id(df.limit(0)).count() == 0
 
 
+def test_every_label_is_learned_and_repeats_count_once(spark):
+    """Many labels, a rare one, one without letters, and one row repeated many times."""
+    letters = [chr(0x4E00 + 40 * i) + chr(0x4E01 + 40 * i) for i in range(500)]
+    rows = [(10 * i + 1, f"{w} {w[::-1]} {w}", f"l{i:03}") for i, w in enumerate(letters)]
+    rows += [(7, "same text", "rep")] * 3000 + [(6, "other text", "rep"), (8, "123", "none"), (9, "\U00030010\U00030011", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = {(r["doc_id"], r["lang_pred"], r["held_out"]) for r in language.op9_language_id(df).collect()}
+    taught = [i for i in range(500) if (10 * i + 1, f"l{i:03}", False) in got]
+    assert len(taught) > 350 and all(p == f"l{i // 10:03}" for i, p, held in got if i % 10 == 1 and not held)
+    assert {p for i, p, _ in got if i == 9} != {"und"} and {p for i, p, _ in got if i == 8} == {"und"}
+    train = df.where("lang = 'rep'").select("doc_id", "text", "lang").withColumnRenamed("doc_id", "key")
+    model = language.fit(train, max_sample=2)
+    assert len(model.languages) == 2 and set(model.languages) == {"rep"}
+
+
+def test_model_by_hand(spark):
+    """Counts, document frequencies, weights and the nearest centroid, all by plain Python."""
+    import math
+    import random
+
+    rng = random.Random(3)
+    words = {"x": "kala mira sano veli".split(), "y": "brot grux schnel wolk".split()}
+    rows = [(i, " ".join(rng.choice(words[g]) for _ in range(rng.randint(1, 9))) + rng.choice([".", "!", " 12"]), g) for i in range(60) for g in "xy"[i % 2]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language.op9_language_id(df).collect()}
+
+    def grams(text):
+        clean = " " + "".join(c.lower() if c.isalpha() else " " for c in text)
+        while "  " in clean:
+            clean = clean.replace("  ", " ")
+        return [clean[i : i + n] for n in (1, 2, 3) for i in range(len(clean) - n + 1)]
+
+    def count(text):
+        out = {}
+        for g in grams(text):
+            out[g] = out.get(g, 0) + 1
+        return out
+
+    for _, text, _ in rows[:20]:  # hashing only merges n-grams: totals and single counts agree
+        n, c = language.counts(text), count(text)
+        assert n.sum() == sum(c.values()) and (n > 0).sum() <= len(c) and n.max() >= max(c.values())
+    train = [r for r in rows if not got[r[0]]["held_out"]]
+    model = language.fit(spark.createDataFrame(train, "key long, text string, lang string"))
+    seen = [language.counts(t) > 0 for _, t, _ in train]
+    for d in range(0, 4096, 7):
+        assert abs(model.idf[d] - (math.log((1 + len(train)) / (1 + sum(bool(s[d]) for s in seen))) + 1)) < 1e-5
+    for i, text, _ in rows:
+        n = language.counts(text)
+        v = [math.log1p(x) * float(w) for x, w in zip(n, model.idf)]
+        norm = math.sqrt(sum(x * x for x in v))
+        cosine = [sum(float(c) * x for c, x in zip(row, v)) / norm for row in model.centroids]
+        k = max(range(len(cosine)), key=lambda j: cosine[j])
+        assert got[i]["lang_pred"] == model.languages[k] and got[i]["rejected"] == (cosine[k] < model.floors[k] - 1e-6 or got[i]["rejected"] and cosine[k] < model.floors[k] + 1e-6)
+        assert abs(got[i]["score"] - max(0, cosine[k]) * (0.5 if got[i]["rejected"] else 1)) < 1e-3
+    far = model.predict("zzzz qqqq zzzz")
+    assert far[2] and far[0] in ("x", "y") and far[1] < 0.3
+
+
 def test_ngram_counts_ignore_steps(monkeypatch):
     text = "Hello, wörld  of  n-grams! " * 20
     whole = language.counts(text)
