@@ -3,9 +3,10 @@
 Identifiers, secrets and endpoints are found as spans of code points. Strong kinds
 are reported as they are. Weak candidates (a long mixed run, an identifier, a URL)
 are reported only when a complementary part lies within a window in the same
-document. That interval join runs over bins of the window's width: per bin and role
-only the smallest start and the largest end travel, so no pairs are made however
-many parts a document has.
+document. That interval join runs over bins of the window's width: every part is
+put into the bins that it covers and one on either side, and the parts of one role
+in a bin of a document are one row. A bin is as wide as the window, so such a row is
+small, and the row of a bin meets its candidates without making pairs.
 """
 
 from __future__ import annotations
@@ -81,9 +82,8 @@ def linked(spans: DataFrame, window: int = WINDOW) -> DataFrame:
     """The weak spans with a complementary part at most ``window`` away in their document."""
     role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])[F.col("kind")]
     parts = spans.select("k1", "k2", role.alias("role"), "start", "end")
-    # A part is put into the bins that its span covers and one on either side, kept as the
-    # ends that matter to a candidate there: the nearest on the left and on the right.
-    # A candidate looks into every bin that its own span covers.
+    # A part is put into the bins that its span covers and one on either side; a candidate
+    # looks into every bin that its own span covers.
     def bins(more: int) -> Column:
         return F.explode(F.sequence(F.floor(F.col("start") / window) - more, F.floor(F.col("end") / window) + more)).alias("bin")
 
@@ -96,28 +96,28 @@ def linked(spans: DataFrame, window: int = WINDOW) -> DataFrame:
     return weak.join(reach, ["k1", "k2", "bin", "role"]).where(close).select("k1", "k2", "kind", "start", "end").distinct()
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(row, spans) for every input row: sorted array<struct<start,rank,kind,end>>.
+def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+    """(row, spans) for every input row: sorted array<struct<start,rank,kind,end>>; ``row`` nests the columns ``keep`` (all by default).
 
     A row is known by a 128-bit hash of its id and text, so null ids do no harm.
     Null text has no spans. Repeated rows get the same spans each. Very long texts
-    are scanned whole.
+    are scanned whole. Texts are shuffled only if ``keep`` has them.
     """
+    kept = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row")
     key = [F.col(id_col), F.coalesce(F.col(text), F.lit(""))]
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(*key).alias("k1"), F.xxhash64(F.lit(7), *key).alias("k2"), key[1].alias("t"))
+    keys = [F.xxhash64(*key).alias("k1"), F.xxhash64(F.lit(7), *key).alias("k2")]
     # few rows, used three times below: the texts are scanned once
-    spans = cut_lineage(spans_of(rows.select("k1", "k2", "t")))
+    spans = cut_lineage(spans_of(docs.select(*keys, key[1].alias("t"))))
     base = spans.where(F.col("kind").isin(*[k for k, *_ in BASE]))
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])[F.col("kind")]
     found = (
         base.unionByName(linked(spans, window))
         .groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end"))).alias("spans"))
     )
+    # written first: both sides of the join are then plain exchanges, which AQE splits where one text is very common
+    found = cut_lineage(found)
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
-    return (
-        rows.drop("t").join(found, ["k1", "k2"], "left")
-        .select("row", F.coalesce("spans", none).alias("spans"))
-    )
+    return docs.select(kept, *keys).join(found, ["k1", "k2"], "left").select("row", F.coalesce("spans", none).alias("spans"))
 
 
 def _text_of(spans: Column) -> Column:
@@ -126,7 +126,7 @@ def _text_of(spans: Column) -> Column:
 
 def op8_secret_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every row of documents."""
-    found = scan(docs.select("doc_id", "text"))
+    found = scan(docs, keep=["doc_id"])
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("spans", lambda s: s["rank"] < len(BASE))
     return found.select(
