@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the text contracts: tab to carriage return, and the space.
@@ -37,13 +37,15 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the cluster's shared folder (``spark.checkpoint.dir``).
 
-    The folder is set here only where the session names none, as in local tests.
+    The folder is set here only where a local session names none, as in tests.
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -54,35 +56,46 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _digest(links: DataFrame) -> Row:
+    """The number of edges and two sums of their hashes, in which equal sets of edges agree."""
+    sums = [F.sum(h.cast("decimal(38,0)")).alias(n) for n, h in zip("xy", hash128(F.struct("u", "v")))]
+    return links.agg(F.count("*").alias("n"), *sums).first()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component) with the smallest node reachable, for every node with an edge.
 
     Alternates the large-star and small-star steps, which shrink any path to a
     star in a number of rounds logarithmic in its length; every round is a
-    shuffle of the edges that are left. A round's state is checkpointed, so that
-    lost executors cost one round at most. Self-loops and null ends are ignored.
+    shuffle of the edges that are left. Minima are written before they are joined,
+    so the join has plain exchanges, which AQE splits where a node has very many
+    neighbours. What a round leaves is checkpointed, so that lost executors cost one
+    step at most. It ends when no edge changes, and raises if ``rounds`` don't do.
+    Self-loops and null ends are ignored.
     """
     links = cut_lineage(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     )
-    before = None
+    before = _digest(links)
     for _ in range(rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         # large star: every larger neighbour goes to the smallest of the neighbourhood
-        large = (
+        large = cut_lineage(
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
         # small star: every smaller neighbour, and the node, go to the smallest neighbour
-        nearest = large.groupBy("u").agg(F.min("v").alias("m"))
+        nearest = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(nearest, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         )
         links = cut_lineage(small.select("e.*").where("u <> v").distinct())
-        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        now = _digest(links)
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component"))
     ).distinct()

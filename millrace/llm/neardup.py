@@ -41,8 +41,9 @@ ROWS = 4
 SKETCH_BITS = 512
 #: Bits of the odd sketch of a full set.
 SET_BITS = 2048
-#: Bits of the map of ids whose sets are wanted (1 MB).
-ID_BITS = 1 << 23
+#: Bits a wanted id in the map of ids whose sets are wanted, and the most bits of the map (16 MB); more ids than that serves are joined.
+BITS_AN_ID = 10
+MAX_ID_BITS = 1 << 27
 #: Standard deviations of the similarity estimate by which the sketch may be wrong.
 MARGIN = 6.0
 TABLE = fold_table(WHITE_CHARS.encode())
@@ -138,12 +139,18 @@ def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: S
     return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields]))
 
 
-def id_bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of the ids' hashes, of fixed size whatever their number; false positives only."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
+def id_bits(wanted: int) -> int:
+    """The bits of the map for so many ids, a power of two; 0 when they are too many for one."""
+    bits = 1 << max(16, (wanted * BITS_AN_ID - 1).bit_length())
+    return bits if bits <= MAX_ID_BITS else 0
+
+
+def id_bitmap(ids: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the ids' hashes; false positives only."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(bits))
     words = ids.select(F.floor(bit / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("m"))
-    got = words.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()  # at most ID_BITS / 64 rows
-    out = np.zeros(ID_BITS // 64, np.int64)
+    got = words.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()  # at most MAX_ID_BITS / 64 rows
+    out = np.zeros(bits // 64, np.int64)
     out[got["w"].to_numpy()] = got["m"].to_numpy()
     return out
 
@@ -156,19 +163,24 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle:
 
     The XOR of two such sketches has at most as many ones as the sets have
     different members, whatever falls together, so it rules pairs out without error.
-    Texts aren't shuffled: a broadcast bitmap of fixed size lets nearly all others
-    go where they are read, and the sets of the rest meet the ids themselves.
+    While the ids are few enough for a bitmap, texts aren't shuffled: it lets nearly
+    all others go where they are read, and the sets of the rest meet the ids
+    themselves. Beyond that the texts meet the ids.
     """
-    wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+    bits = id_bits(ids.count())
+    wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, bits)) if bits else None
     rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(ID_BITS)).alias("bit")
+        F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(bits or 1)).alias("bit")
     )
+    rows = rows if bits else rows.join(ids, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = wanted.value, set()
+        seen: set = set()
         for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            for part in slices([batch.filter(pa.array((bitmap[bit >> 6] >> (bit & 63)) & 1 == 1))]):
+            if wanted is not None:
+                bitmap, bit = wanted.value, batch.column("bit").to_numpy()
+                batch = batch.filter(pa.array((bitmap[bit >> 6] >> (bit & 63)) & 1 == 1))
+            for part in slices([batch]):
                 at, sets, marks = [], [], []
                 for i, (key, s) in enumerate(zip(part.column("id").to_pylist(), shingle_sets(part.column("t"), shingle))):
                     mark = fingerprint(s)
@@ -222,6 +234,12 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     bound and the odd sketches of the full sets are tested inside the join, and only
     pairs that both leave possible come out. One side of a pair is always outside
     its bucket's main component (minor).
+
+    The join looks at no more pairs than there are of documents that are apart and
+    whose common shingles could still make them alike: for sets of equal size that
+    differ in less than 2 * (100 - percent) of 100 members. A bucket of n documents
+    that are all that close to each other and yet not linked costs n^2 / 2 tests of
+    two bitmaps, spread over the shingles they meet on.
     """
     held = sets.join(rest.select("id").distinct(), "id").select("id", "v", F.explode("set").alias("s"))
     rarity = held.groupBy("s").agg(F.count("*").alias("df"))
@@ -294,7 +312,7 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` but those of documents that aren't kept, columns unchanged."""
     gone = near_duplicates(docs, id_col, **options).where("not kept").select(F.col(id_col)).distinct()
-    return docs.join(cut_lineage(gone), id_col, "left_anti").select(*docs.columns)
+    return docs.join(cut_lineage(gone), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_minhash_near_dedup(docs: DataFrame) -> DataFrame:

@@ -103,6 +103,35 @@ def test_odd_rows(spark):
     assert neardup.op1_minhash_near_dedup(df.limit(0)).count() == 0
 
 
+def test_ids_beyond_the_bitmap_are_joined(spark, monkeypatch):
+    assert [neardup.id_bits(n) for n in (0, 1, 10**4, 10**7, 10**8)] == [1 << 16, 1 << 16, 1 << 17, 1 << 27, 0]
+    rows = corpus(3, groups=6)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(neardup, "MAX_ID_BITS", 1)
+    got = {r["doc_id"]: tuple(r)[1:] for r in neardup.op1_minhash_near_dedup(df).collect()}
+    assert got == by_hand(rows, 3, 85)
+
+
+def test_a_hub_of_many_near_copies(spark):
+    """One text and many copies of it with a word of their own: one component, and other columns, dots in names too, stay."""
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base, f"own{i}"]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int").repartition(6)
+    got = neardup.op1_minhash_near_dedup(df)
+    assert {(r["component_id"], r["kept"]) for r in got.where("doc_id > 0").collect()} == {(0, False)}
+    left = neardup.drop_near_duplicates(df)
+    assert left.columns == df.columns and [r["doc_id"] for r in left.collect()] == [0]
+
+
+def test_components_of_a_star_and_of_too_few_rounds(spark):
+    n = 200_000
+    star = spark.range(1, n + 1).selectExpr("id AS a", "0 AS b")
+    got = connected_components(star)
+    assert got.count() == n + 1 and got.where("component <> 0").count() == 0
+    with pytest.raises(RuntimeError):
+        connected_components(spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long"), rounds=1)
+
+
 def test_odd_sketch_estimates_high_similarity():
     sampler = neardup.Sampler()
     rng = np.random.default_rng(4)
