@@ -180,9 +180,35 @@ def test_odd_benchmarks(spark):
     assert decontam.op2_decontamination(docs.limit(0), bench.limit(0)).count() == 0
 
 
+def test_both_ways_agree_at_the_bound(spark):
+    """A benchmark just within and just beyond the bound, with repeats inside and between items, and its size in memory."""
+    import pickle
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    bench = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 2, 3, 9, 10, 11, 40])))) for i in range(300)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(20)) + " " + bench[rng.randrange(300)][1].upper()) for i in range(200)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    size = decontam.broadcast_bytes(b.select(b["item_id"].cast("string").alias("item"), b["text"].alias("t")))
+    one, other = (sorted(map(str, decontam.annotate(d, b, max_broadcast_bytes=most).collect())) for most in (size, size - 1))
+    assert one == other
+    many = [" ".join(str(rng.random()) for _ in range(1000)) for _ in range(100)]
+    built = decontam.item_windows([str(i) for i in range(100)], many)
+    bound = sum(len(t) + 2 * 1000 * decontam.WINDOW_BYTES for t in many)
+    assert len(pickle.dumps(built)) < bound and sum(len(g.h) for g in built.sizes.values()) > 10**5
+
+
+def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontam, "windows", lambda h, n: np.zeros(max(0, len(h) - n + 1), np.uint64))
+    known = decontam.item_windows(["a", "b", "c", "b"], ["one two", "three four", "one two", "one two"], 2)
+    g = known.sizes[2]
+    name = lambda gram: [known.names[i] for i in known.items_of(g, np.uint64(0), gram)]
+    assert (name(b"one two"), name(b"three four"), name(b"five six")) == (["a", "b", "c"], ["b"], [])
+
+
 def test_spans_are_code_points(spark):
     docs = spark.createDataFrame([(1, "ü 😀x, one TWO three; é one two three one two four")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "one two three"), (2, "four")], "item_id long, text string")
-    for most in (0, 1 << 20):
+    for most in (0, 1 << 24):
         r = decontam.annotate(docs, bench, window=3, max_broadcast_bytes=most).first()
         assert [r["row"]["text"][s["start"] : s["end"]] for s in r["spans"]] == ["one TWO three", "one two three", "four"] and r["n_hit"] == 7
