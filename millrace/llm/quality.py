@@ -1,9 +1,13 @@
 """Quality rules: line-first cleaning with native functions only.
 
-Every line is judged on its own (punctuation, navigation, boilerplate). Lines that
-fail are taken out, and a document that loses too much of its text that way is
-rejected. Repetition and length rules over the whole text come before. All of it
-is a projection of one row: no shuffle, no Python, whatever the size of the table.
+Every line is judged on its own and by its neighbours. Punctuation: crowded
+exclamation marks, too many symbols, too few letters, a long line without any mark
+of a sentence, a line cut off by an ellipsis. Navigation: crowded separators, a run
+of short lines. Boilerplate: phrases that sites repeat, in the languages of the
+corpus. Lines that fail are taken out, and a document that loses too much of its
+text that way is rejected. Repetition and length rules over the whole text come
+before. All of it is a projection of one row: no shuffle, no Python, whatever the
+size of the table; lines that documents share are the business of line dedup.
 """
 
 from __future__ import annotations
@@ -20,13 +24,27 @@ from millrace.llm.common import WHITE, let
 SYMBOLS = "#*$%&|<>"
 #: Characters between the items of a menu or trail.
 SEPARATORS = "|»›•·"
-#: Phrases of lines that sites repeat. Lower case, as substrings.
+#: Marks that a sentence has, and those it ends with.
+SENTENCE = ".!?:;…。！？؟"
+ENDS = ".!?…。！？؟"
+#: Phrases of lines that sites repeat, in English, French, German and Spanish. Lower case, as substrings.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service",
     "privacy policy", "cookie policy", "accept cookies", "use of cookies", "enable javascript", "subscribe to our",
     "sign up for our", "click here", "read more", "share this", "follow us", "back to top", "skip to content",
+    "tous droits réservés", "conditions d'utilisation", "politique de confidentialité", "mentions légales", "accepter les cookies",
+    "utilise des cookies", "activer javascript", "lire la suite", "cliquez ici", "suivez-nous", "inscrivez-vous à notre", "retour en haut", "aller au contenu",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "impressum", "cookies akzeptieren",
+    "verwendet cookies", "javascript aktivieren", "weiterlesen", "klicken sie hier", "hier klicken", "folgen sie uns", "newsletter abonnieren", "zum inhalt springen",
+    "todos los derechos reservados", "términos de uso", "condiciones de uso", "política de privacidad", "política de cookies",
+    "aceptar cookies", "utiliza cookies", "habilitar javascript", "leer más", "haga clic aquí", "haz clic aquí", "síguenos en", "suscríbete a", "volver arriba", "ir al contenido",
 )
 
+#: A line of so many words has a mark of a sentence; a menu is so many short lines in a row, of so many words and characters.
+UNMARKED_WORDS = 12
+MENU_LINES = 5
+MENU_WORDS = 3
+MENU_CHARS = 40
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
@@ -85,19 +103,37 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def line_fails(line: Column, size: Column) -> Column:
-    """Whether a line is navigation, symbols or boilerplate. Blank lines pass; they weigh nothing.
+    """Whether a line by itself is navigation, badly punctuated or boilerplate. Blank lines pass; they weigh nothing.
 
-    ``size`` is :func:`solid` of the line. Two of a mark are the least that can fail a line, so lines are cut into words
-    only when they have two.
+    ``size`` is :func:`solid` of the line. Two of a mark are the least that can fail a line, and most lines have a mark
+    of a sentence, so few lines are cut into words.
     """
     crowded = lambda n: (n >= 2) & (n * 5 >= F.greatest(F.size(words_of(line)), F.lit(10)))
     out = crowded(F.regexp_count(line, F.lit(f"[{SEPARATORS}]"))) | crowded(F.regexp_count(line, F.lit("!!")))
     out = out | (F.regexp_count(line, F.lit(r"[#*$%&|<>{}\\^~=_]")) * 100 > size * MAX_SYMBOL_PERCENT)
     out = out | (F.char_length(F.regexp_replace(line, r"[^\p{L}]+", "")) * 100 < size * 40)
+    out = out | line.rlike(rf"(?:\.\.\.|…)[{WHITE}]*$")
+    out = out | ((size >= UNMARKED_WORDS) & ~line.rlike(f"[{SENTENCE}]") & (F.size(words_of(line)) >= UNMARKED_WORDS))
     listed = lambda low: reduce(or_, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE])
     return out | let(F.lower(line), listed)
 
 
+def line_is_short(line: Column, size: Column) -> Column:
+    """Whether a line could be an entry of a menu: a few words that don't end like a sentence."""
+    return size.between(1, MENU_CHARS) & ~line.rlike(rf"[{ENDS}][{WHITE}]*$") & (F.size(words_of(line)) <= MENU_WORDS)
+
+
+def with_menus(lines: Column) -> Column:
+    """``lines`` with those bad, too, that stand in a run of short ones."""
+
+    def in_run(i: Column) -> Column:
+        at = lambda k: F.coalesce(F.get(lines, i + k)["short"], F.lit(False))
+        return F.exists(F.sequence(F.lit(1 - MENU_LINES), F.lit(0)), lambda k: F.forall(F.sequence(F.lit(0), F.lit(MENU_LINES - 1)), lambda j: at(k + j)))
+
+    marked = F.transform(lines, lambda x, i: F.struct(x["line"].alias("line"), x["size"].alias("size"), (x["bad"] | (x["short"] & in_run(i))).alias("bad"), x["short"].alias("short")))
+    return F.when(F.size(F.filter(lines, lambda x: x["short"])) >= MENU_LINES, marked).otherwise(lines)
+
+
 def verdict(text: Column, max_lost_percent: int = MAX_LOST_PERCENT, cleaned: bool = True) -> Column:
     """One struct with the counts and verdict of a text; each part of it is computed once a row, in filters too.
 
@@ -133,8 +169,8 @@ def verdict(text: Column, max_lost_percent: int = MAX_LOST_PERCENT, cleaned: boo
         return F.struct(*named, *([x["text"].alias("clean_text")] if cleaned else []))
 
     text = F.coalesce(text, F.lit(""))
-    judged = lambda x: let(solid(x), lambda n: F.struct(x.alias("line"), n.alias("size"), line_fails(x, n).alias("bad")))
-    lines = F.transform(F.split(text, "\n"), judged)
+    judged = lambda x: let(solid(x), lambda n: F.struct(x.alias("line"), n.alias("size"), line_fails(x, n).alias("bad"), line_is_short(x, n).alias("short")))
+    lines = let(F.transform(F.split(text, "\n"), judged), with_menus)
     symbols = F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long")
     return let(F.struct(let(words_of(text), of_words).alias("w"), let(lines, of_lines).alias("x"), symbols.alias("symbols")), judge)
 

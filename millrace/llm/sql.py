@@ -15,15 +15,20 @@ win AS (SELECT doc_id, i, ws[i:i + {quality.WINDOW - 1}] AS k
 twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
         FROM (SELECT doc_id, unnest(range(i, i + {quality.WINDOW})) AS p FROM twice) GROUP BY doc_id),
-lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-sized AS (SELECT doc_id, line, length(regexp_replace(line, '{W}+', '', 'g')) AS size,
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
+sized AS (SELECT doc_id, pos, line, length(regexp_replace(line, '{W}+', '', 'g')) AS size,
                  len(list_filter(regexp_split_to_array(line, '{W}+'), lambda x: x <> '')) AS n FROM lines),
-judged AS (SELECT doc_id, line, size,
-      length(regexp_replace(line, '[^{quality.SEPARATORS}]', '', 'g')) * 5 >= greatest(n, 10)
+flat AS (SELECT *, size BETWEEN 1 AND {quality.MENU_CHARS} AND n <= {quality.MENU_WORDS} AND NOT regexp_matches(line, '[{quality.ENDS}]{W}*$') AS short FROM sized),
+island AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, short ORDER BY pos) AS run FROM flat),
+menus AS (SELECT *, short AND count(*) OVER (PARTITION BY doc_id, short, run) >= {quality.MENU_LINES} AS menu FROM island),
+judged AS (SELECT doc_id, line, size, menu
+   OR length(regexp_replace(line, '[^{quality.SEPARATORS}]', '', 'g')) * 5 >= greatest(n, 10)
    OR length(regexp_replace(line, '[^#*$%&|<>{{}}\\^~=_]', '', 'g')) * 100 > size * {quality.MAX_SYMBOL_PERCENT}
    OR (length(line) - length(replace(line, '!!', ''))) / 2 * 5 >= greatest(n, 10)
    OR length(regexp_replace(line, '\P{{L}}', '', 'g')) * 100 < size * 40
-   OR regexp_matches(lower(line), '{"|".join(quality.BOILERPLATE)}') AS bad FROM sized),
+   OR regexp_matches(line, '(\.\.\.|…){W}*$')
+   OR (n >= {quality.UNMARKED_WORDS} AND NOT regexp_matches(line, '[{quality.SENTENCE}]'))
+   OR regexp_matches(lower(line), '{"|".join(quality.BOILERPLATE).replace("'", "''")}') AS bad FROM menus),
 agg AS (SELECT doc_id, sum(size)::BIGINT AS word_chars,
                (count(*) FILTER (size > 0) - count(DISTINCT line) FILTER (size > 0))::BIGINT AS n_dup_lines,
                coalesce(sum(size) FILTER (bad), 0)::BIGINT AS lost_chars,

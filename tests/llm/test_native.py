@@ -64,6 +64,20 @@ def test_odd_documents(spark):
         assert f(empty).count() == 0
 
 
+def test_lines_that_fail(spark):
+    prose = "This line is a sentence of plain words, and it stays."
+    bad = [
+        "one two three four five six seven eight nine ten eleven twelve", "It was cut off here...", "and here … ", "Alle Rechte vorbehalten.", "Suivez-nous sur le web.", "Lea nuestra Política de Privacidad.",
+        "Home | News | Sport | More", "BUY!! NOW!! CHEAP!! PRICES!!", "#### $$$$ %%%%", "12 34 56 78",
+    ]
+    menu = ["Home", "About us", "Our work", "Contact", "Help"]
+    rows = [(i, "\n".join([prose, x, prose])) for i, x in enumerate(bad)]
+    rows += [(100, "\n".join([prose, *menu, prose])), (101, "\n".join([prose, *menu[:4], prose])), (102, "\n".join([*menu, "", *menu[1:], prose] + [prose[:-3] + str(i) + "." for i in range(9)]))]
+    got = {r["row"]["doc_id"]: r["quality"] for r in quality.with_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["n_failed_lines"] == 1 and got[i]["clean_text"] == f"{prose}\n{prose}" for i in range(len(bad))), {i: got[i]["n_failed_lines"] for i in range(len(bad))}
+    assert [got[k]["n_failed_lines"] for k in (100, 101, 102)] == [5, 0, 5] and got[100]["clean_text"] == f"{prose}\n{prose}"
+
+
 def rank_by_hand(edges, seeds, forward):
     w = {}
     for a, b, n in edges:
