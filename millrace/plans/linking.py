@@ -69,12 +69,12 @@ def range_join(spark, sf_dir):
     return joined.groupBy("band").agg(F.count("*").alias("n"), F.min("l_extendedprice").alias("least"))
 
 
-@query("""WITH a AS (SELECT DISTINCT p_name AS a FROM part WHERE length(p_name) >= 3), b AS (SELECT DISTINCT string_split(p_name, ' ')[1] AS b FROM part WHERE p_size < 25)
+@query("""WITH a AS (SELECT DISTINCT p_name AS a FROM part WHERE length(p_name) >= 3), b AS (SELECT DISTINCT string_split(p_name, ' ')[1] AS b FROM part)
 SELECT a, b FROM a JOIN b ON length(b) >= 3 AND (starts_with(a, b) OR starts_with(b, a))""")
 def prefix_join(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     a = p.select(F.col("p_name").alias("a")).distinct()
-    b = p.where("p_size < 25").select(F.substring_index("p_name", " ", 1).alias("b")).distinct()
+    b = p.select(F.substring_index("p_name", " ", 1).alias("b")).distinct()
     return link.prefix_pairs(a, b, "a", "b")
 
 
@@ -113,22 +113,23 @@ def semi_join_keys(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").join(keys, "l_orderkey", "left_semi")
 
 
-@query("""WITH m AS (SELECT o_custkey AS c_custkey, max_by(o_orderstatus, o_orderkey) AS status FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), t AS (SELECT o_custkey AS c_custkey, max_by(o_orderpriority, o_orderkey) AS smtp FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+@query("""WITH m AS (SELECT o_custkey AS c_custkey, max_by(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY 1), t AS (SELECT o_custkey AS c_custkey, max_by(o_orderpriority, o_orderkey) AS smtp FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
 SELECT c_custkey, status, coalesce(smtp, '') AS smtp FROM customer LEFT JOIN m USING (c_custkey) LEFT JOIN t USING (c_custkey)""")
 def last_write_lookups(spark, sf_dir):
-    """Two lookups by key whose last write counts."""
+    """Two lookups by key whose last write counts: every order's status, and the priority of finished ones."""
     o = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    m = link.last_write(o.where("o_orderkey % 2 = 0"), "c_custkey", "o_orderstatus", "o_orderkey").withColumnRenamed("o_orderstatus", "status")
-    t = link.last_write(o.where("o_orderkey % 3 = 0"), "c_custkey", "o_orderpriority", "o_orderkey").withColumnRenamed("o_orderpriority", "smtp")
+    m = link.last_write(o, "c_custkey", "o_orderstatus", "o_orderkey").withColumnRenamed("o_orderstatus", "status")
+    t = link.last_write(o.where("o_orderstatus = 'F'"), "c_custkey", "o_orderpriority", "o_orderkey").withColumnRenamed("o_orderpriority", "smtp")
     return table(spark, sf_dir, "customer").select("c_custkey").join(m, "c_custkey", "left").join(t, "c_custkey", "left").select("c_custkey", "status", F.coalesce("smtp", F.lit("")).alias("smtp"))
 
 
-@query("""SELECT coalesce(s_suppkey, l_suppkey) AS suppkey, CASE WHEN s_suppkey IS NULL THEN 'only in lines' WHEN l_suppkey IS NULL THEN 'only in suppliers' ELSE '' END AS note
-FROM (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 > 0) FULL JOIN (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey % 5 > 0) ON s_suppkey = l_suppkey""")
+@query("""SELECT coalesce(s_suppkey, l_suppkey) AS suppkey, CASE WHEN s_suppkey IS NULL THEN 'only in returns' WHEN l_suppkey IS NULL THEN 'only in creditors' ELSE '' END AS note
+FROM (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) FULL JOIN (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45) ON s_suppkey = l_suppkey""")
 def orphan_accounting(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 > 0").select("s_suppkey")
-    l = table(spark, sf_dir, "lineitem").where("l_suppkey % 5 > 0").select("l_suppkey").distinct()
-    note = F.when(F.col("s_suppkey").isNull(), "only in lines").when(F.col("l_suppkey").isNull(), "only in suppliers").otherwise("")
+    """Suppliers with a positive balance against suppliers of large returns, and who is on one side only."""
+    s = table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select("s_suppkey")
+    l = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_quantity >= 45").select("l_suppkey").distinct()
+    note = F.when(F.col("s_suppkey").isNull(), "only in returns").when(F.col("l_suppkey").isNull(), "only in creditors").otherwise("")
     return s.join(l, F.col("s_suppkey") == F.col("l_suppkey"), "full_outer").select(F.coalesce("s_suppkey", "l_suppkey").alias("suppkey"), note.alias("note"))
 
 
@@ -141,12 +142,12 @@ def inherited_value(spark, sf_dir):
     return c.join(lender, "c_nationkey", "left").select("c_custkey", link.first_filled("segment", "lent").alias("segment"))
 
 
-@query("""WITH m AS (SELECT o_orderkey % 200 AS k, 1 AS prio, o_orderstatus AS v, o_orderkey AS seq FROM orders UNION ALL SELECT o_orderkey % 200, 0, o_orderpriority, o_orderkey FROM orders WHERE o_orderkey % 400 < 100)
+@query("""WITH m AS (SELECT o_custkey AS k, 1 AS prio, o_orderstatus AS v, o_orderkey AS seq FROM orders UNION ALL SELECT o_custkey, 0, o_orderpriority, o_orderkey FROM orders WHERE o_orderstatus = 'F')
 SELECT k, v FROM m QUALIFY row_number() OVER (PARTITION BY k ORDER BY prio, seq) = 1""")
 def override_lookup(spark, sf_dir):
-    """One map from two, the second overriding the first."""
-    o = table(spark, sf_dir, "orders").withColumn("k", F.col("o_orderkey") % 200)
-    done, queue = o.where("o_orderkey % 400 < 100").select("k", F.col("o_orderpriority").alias("v"), "o_orderkey"), o.select("k", F.col("o_orderstatus").alias("v"), "o_orderkey")
+    """One map from two: what is done overrides what is queued."""
+    o = table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey"))
+    done, queue = o.where("o_orderstatus = 'F'").select("k", F.col("o_orderpriority").alias("v"), "o_orderkey"), o.select("k", F.col("o_orderstatus").alias("v"), "o_orderkey")
     return rank.keep_first(link.union_sources([done, queue]), ["k"], ["source_seq", "o_orderkey"]).select("k", "v")
 
 
