@@ -40,6 +40,12 @@ POLISH = ("łŁ", "lL")
 TURKISH = ("ıİşŞğĞçÇöÖüÜ", "iIsSgGcCoOuU")
 #: Greek letters that look like Latin ones, and their look-alikes.
 GREEK_LOOKALIKES = ("ABEZHIKMNOPTYXo", "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο")
+#: How a sentence ends, how an open line doesn't, how a line that goes on begins; a short line, and a long paragraph.
+SENTENCE_ENDS = (".", "!", "?", '"', "”", "'", ")", "…")
+OPEN_ENDS = (*SENTENCE_ENDS, ":")
+GOES_ON = ",;:.)%"
+SHORT_LINE = 25
+LONG_PARAGRAPH = 1500
 #: A word of five letters or more in the languages of the radar.
 LONG_WORD = r"[\wáéíóúãõâêôçñü]{5,}"
 #: Words too common in the subject to tell texts apart.
@@ -143,6 +149,46 @@ def sentences(text: Column, least: int = 25) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.char_length(s) >= least)
 
 
+def paragraphs(text: Column, short: int = SHORT_LINE, most: int | None = LONG_PARAGRAPH) -> Column:
+    """Paragraphs of a text whose lines break at every inline element.
+
+    A line starts a paragraph unless it begins like the middle of one (a small
+    letter or a mark of ``GOES_ON``), or is short after a line that has no end. What
+    exceeds ``most`` characters takes no further line. Paragraphs that don't end
+    like a sentence are left out, and those of four lines or more that are short in
+    their majority. Null and empty texts have none. All of it stays in one row.
+    """
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))), lambda x: x != "")
+    marks = lambda chars: F.array(*[F.lit(c) for c in chars])
+    ends = lambda x, chars: F.array_contains(marks(chars), F.right(x, F.lit(1)))
+
+    def starts(ls: Column) -> Column:
+        first = lambda x: F.left(x, F.lit(1))
+        middle = lambda x: F.array_contains(marks(GOES_ON), first(x)) | first(x).rlike(r"^\p{Ll}")
+        stub = lambda x, before: (F.char_length(x) < short) & ~ends(before, OPEN_ENDS)
+        at = F.filter(F.transform(ls, lambda x, i: F.when((i == 0) | ~(middle(x) | stub(x, F.get(ls, i - 1))), i)), lambda i: i.isNotNull())
+        return F.array_append(at, F.size(ls))
+
+    def cut(stretch: Column) -> Column:
+        """A stretch in parts, none of which was over ``most`` before its last line."""
+        fresh = lambda done, x: F.struct(done.alias("done"), F.array(x).alias("open"), F.char_length(x).alias("n"))
+        grown = lambda a, x: F.struct(a["done"].alias("done"), F.array_append(a["open"], x).alias("open"), (a["n"] + 1 + F.char_length(x)).alias("n"))
+        step = lambda a, x: F.when(a["n"] > most, fresh(F.array_append(a["done"], a["open"]), x)).otherwise(grown(a, x))
+        none = F.array().cast("array<array<string>>")
+        return F.aggregate(F.slice(stretch, 2, F.size(stretch)), fresh(none, F.element_at(stretch, 1)), step, lambda a: F.array_append(a["done"], a["open"]))
+
+    def stretches(ls: Column) -> Column:
+        parts = F.transform(F.array(starts(ls)), lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda a, i: F.slice(ls, a + 1, F.get(s, i + 1) - a)))[0]
+        if most is None:
+            return parts
+        size = lambda p: F.aggregate(p, F.lit(-1), lambda a, x: a + 1 + F.char_length(x))
+        return F.flatten(F.transform(parts, lambda p: F.when(size(p) > most, cut(p)).otherwise(F.array(p))))
+
+    prose = lambda p: (F.size(p) < 4) | (2 * F.size(F.filter(p, lambda x: F.char_length(x) < short)) <= F.size(p))
+    joined = F.transform(F.array(lines), lambda ls: F.transform(F.filter(stretches(ls), prose), lambda p: collapse(F.array_join(p, " "))))[0]
+    return F.filter(joined, lambda x: ends(x, SENTENCE_ENDS))
+
+
 def guess_language(text: Column, stop: Mapping[str, list[str]] = STOP_WORDS, default: str = "en", least: int = 3, most: int = 6000) -> Column:
     """The language with most stop words, the first in the table in a tie, the default under ``least``."""
     words = F.regexp_extract_all(F.lower(F.left(F.coalesce(text, F.lit("")), F.lit(most))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
@@ -160,7 +206,9 @@ def guess_language(text: Column, stop: Mapping[str, list[str]] = STOP_WORDS, def
 def stems(text: Column, size: int = 6, generic: Iterable[str] = GENERIC_WORDS) -> Column:
     """Distinct first letters of the long words of a text that aren't generic."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]{5,}"), F.lit(0))
-    return F.array_distinct(F.transform(F.filter(words, lambda w: ~w.isin(*generic)), lambda w: F.left(w, F.lit(size))))
+    generic = list(generic)
+    kept = F.filter(words, lambda w: ~w.isin(*generic)) if generic else words
+    return F.array_distinct(F.transform(kept, lambda w: F.left(w, F.lit(size))))
 
 
 def repaired(text: str) -> str:

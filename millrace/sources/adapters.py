@@ -1,8 +1,8 @@
 """Source adapters as data: how a listing gives keys, and how a landed page gives a typed record.
 
-Every source of the base is read in the same two steps from the ``pages`` table: keys
-by one pattern over listing pages, fields by patterns over the record's page. An
-adapter is that pair of patterns; adding a source adds an entry, not code.
+A source is read in two steps from landed pages: keys by one pattern over listing
+pages, fields by patterns over the record's page. An adapter is that pair of
+patterns; adding a source adds an entry, not code.
 """
 
 from __future__ import annotations
@@ -53,29 +53,3 @@ def by_labels(name: str, country: str, listing: str, labels: Mapping[str, tuple[
     """An adapter for pages whose fields stand behind labels, in whatever languages."""
     fields = {"nome": (title,)} | {n: tuple(labelled(x) for x in words) for n, words in labels.items()}
     return Adapter(name, country, listing, fields)
-
-
-#: Field labels by language group, as directory pages write them.
-LABELS = {
-    "en": {"telefone": ("phone", "telephone", "tel"), "endereco": ("address",), "site": ("website", "web"), "contatos": ("contact",)},
-    "pt": {"telefone": ("telefone", "fone"), "endereco": ("endere[çc]o",), "site": ("site", "website"), "contatos": ("contato",)},
-    "es": {"telefone": ("tel[ée]fono",), "endereco": ("direcci[óo]n",), "site": ("sitio web", "web"), "contatos": ("contacto",)},
-    "de": {"telefone": ("telefon",), "endereco": ("adresse", "anschrift"), "site": ("webseite", "internet"), "contatos": ("ansprechpartner",)},
-    "fr": {"telefone": ("t[ée]l[ée]phone",), "endereco": ("adresse",), "site": ("site web", "site internet"), "contatos": ("contact",)},
-    "it": {"telefone": ("telefono",), "endereco": ("indirizzo",), "site": ("sito web", "sito"), "contatos": ("referente",)},
-    "nl": {"telefone": ("telefoon",), "endereco": ("adres",), "site": ("website",), "contatos": ("contactpersoon",)},
-    "pl": {"telefone": ("telefon",), "endereco": ("adres",), "site": ("strona", "www"), "contatos": ("kontakt",)},
-    "tr": {"telefone": ("telefon",), "endereco": ("adres",), "site": ("web",), "contatos": ("ileti[şs]im",)},
-    "el": {"telefone": ("τηλ[έε]φωνο",), "endereco": ("διε[ύυ]θυνση",), "site": ("ιστοσελ[ίι]δα",), "contatos": ("επικοινων[ίι]α",)},
-    "ja": {"telefone": ("電話",), "endereco": ("住所", "所在地"), "site": ("URL", "ホームページ"), "contatos": ("代表者",)},
-    "ko": {"telefone": ("전화",), "endereco": ("주소",), "site": ("홈페이지",), "contatos": ("대표",)},
-}
-#: Sources of company records: name, country and the language of their labels.
-DIRECTORIES = (
-    ("abep", "Brazil", "pt"), ("adm", "Germany", "de"), ("aim", "Chile", "es"), ("argentina", "Argentina", "es"), ("assirm", "Italy", "it"), ("bvm", "Germany", "de"),
-    ("colombia", "Colombia", "es"), ("cric", "Canada", "en"), ("cube", "Belgium", "fr"), ("din", "Netherlands", "nl"), ("esomar", "", "en"), ("greenbook", "", "en"),
-    ("ia_espana", "Spain", "es"), ("jmra", "Japan", "ja"), ("kora", "South Korea", "ko"), ("mexico", "Mexico", "es"), ("mrs", "United Kingdom", "en"), ("mrsi", "India", "en"),
-    ("ofbor", "Poland", "pl"), ("peru", "Peru", "es"), ("ptbrio", "Poland", "pl"), ("quirks", "United States", "en"), ("sedea", "Greece", "el"), ("swiss_insights", "Switzerland", "de"),
-    ("syntec", "France", "fr"), ("tuad", "Turkey", "tr"), ("vmoe", "Austria", "de"),
-)
-ADAPTERS = {name: by_labels(name, country, r'(?i)href="([^"#]+)"[^>]*class="[^"]*(?:member|company|card)', LABELS[lang]) for name, country, lang in DIRECTORIES}

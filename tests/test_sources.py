@@ -57,11 +57,22 @@ def test_quotes(spark):
     assert got == [e for *_, e in cases]
 
 
-def test_paragraphs():
-    body = "Menu\nHome\nAbout\nContact\nThis is a paragraph that\ngoes on here, and\nends well.\nA title without an end"
-    assert markup.paragraphs(body) == []  # the menu runs into it: four short lines, not a paragraph
-    assert markup.paragraphs("This is a paragraph that has\ngone on here, and\nends well.\n\nAnother sentence that stands on its own.") == [
-        "This is a paragraph that has gone on here, and ends well.", "Another sentence that stands on its own."]
+def test_paragraphs(spark):
+    line = "Some words of a long paragraph, and"
+    long = "\n".join([line.capitalize() + ","] + ["and " + line.lower() + ","] * 60 + ["end."])
+    cases = {
+        # the menu runs into it: four short lines, not a paragraph
+        "Menu\nHome\nAbout\nContact\nThis is a paragraph that\ngoes on here, and\nends well.\nA title without an end": [],
+        "This is a paragraph that has\ngone on here, and\nends well.\n\nAnother sentence that stands on its own.": ["This is a paragraph that has gone on here, and ends well.", "Another sentence that stands on its own."],
+        "He said:\nShort one.\nAn open line\nStub.\n, and  more  marks\u00a0here (yes)": ["Short one.", "An open line Stub. , and more marks here (yes)"],
+        "": [], "\n \n": [], "only a title": [], None: [],
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*cases, long])], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(text.paragraphs(F.col("t"))).collect()]
+    assert got[:-1] == list(cases.values())
+    assert got[-1] == [got[-1][0]] and got[-1][0].endswith("end.") and len(got[-1][0]) < 1600  # what is over the limit is cut before this one
+    whole = df.where(F.col("i") == len(cases)).select(text.paragraphs(F.col("t"), most=None)).first()[0]
+    assert whole == [" ".join(long.split())]
 
 
 def test_files(spark, tmp_path):
@@ -95,7 +106,8 @@ def test_files(spark, tmp_path):
 def test_adapter_records(spark):
     page = "<h1>Acme <b>Pesquisas</b></h1><table><tr><th>Telefone:</th><td>11 3456-7890</td></tr><tr><td><b>Endereço</b></td><td>Rua A, 1</td></tr></table><p>contato (at) acme.com.br</p>"
     listing = '<a href="/m/1" class="member-card">x</a><a href="/m/2" class="company">y</a><a href="/m/1" class="member">x</a>'
-    a = adapters.ADAPTERS["abep"]
+    labels = {"telefone": ("telefone", "fone"), "endereco": ("endere[çc]o",), "site": ("site", "website")}
+    a = adapters.by_labels("abep", "Brazil", r'(?i)href="([^"#]+)"[^>]*class="[^"]*(?:member|company)', labels)
     keys = a.keys(spark.createDataFrame([(listing,)], "html string")).collect()
     assert sorted(r["key"] for r in keys) == ["/m/1", "/m/2"]
     rows = a.records(spark.createDataFrame([("u1", page), ("u2", "<p>no name</p>"), ("u3", None)], "url string, html string")).collect()
