@@ -72,7 +72,9 @@ def excerpts(blocks: DataFrame, key: str, position: str, text: str, terms: Itera
     """(key, place, score, excerpt): the k blocks with most vocabulary and signals, in the order in which they stand."""
     from millrace.operators.rank import top_k_in_order
 
-    folded = search_key(F.col(text), compatible=False)
-    scored = blocks.where(F.char_length(text) >= least).withColumn("_v", hits(folded, terms, True)).where("_v > 0")
-    scored = scored.withColumn("score", F.col("_v") + hits(folded, signals, True) * 2)
+    # folded once a block, and only blocks with vocabulary come out
+    counts = lambda key: F.struct(hits(key, terms, True).alias("v"), hits(key, signals, True).alias("g"))
+    found = F.filter(F.transform(F.array(search_key(F.col(text), compatible=False)), counts), lambda s: s["v"] > 0)
+    scored = blocks.where(F.char_length(text) >= least).select(key, position, text, F.explode(found).alias("_s"))
+    scored = scored.withColumn("score", F.col("_s.v") + F.col("_s.g") * 2)
     return top_k_in_order(scored, [key], F.col("score"), position, k).select(key, "place", "score", shorten(F.col(text), most).alias("excerpt"))

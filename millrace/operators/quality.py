@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Characters by which passages without a whole word meet texts.
 GRAM = 8
+#: Most quotes whose keys are sent whole to every executor; with more, the words of the texts are shuffled to meet them.
+MAX_BROADCAST_QUOTES = 10_000
 
 
 def fragments(quote: Column) -> Column:
@@ -22,19 +24,22 @@ def likely_holders(quotes: DataFrame, docs: DataFrame, item: str, quote: str, pa
 
     A part's words but its first and last are whole words of any text that holds it,
     so pairs meet on the longest of these. Where there is none, they meet on the
-    first characters of the longest part. Words and characters travel without texts.
+    first characters of the longest part. Words and characters travel without texts,
+    and while the quotes are few, only those that meet one travel at all.
     """
+    few = quotes.limit(MAX_BROADCAST_QUOTES + 1).count() <= MAX_BROADCAST_QUOTES
+    small = F.broadcast if few else (lambda df: df)
     inner = F.flatten(F.transform(parts, lambda p: F.slice(F.split(p, " "), 2, F.greatest(F.size(F.split(p, " ")) - 2, F.lit(0)))))
     longest = lambda a: F.array_max(F.transform(a, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
-    keyed = quotes.select(item, quote, longest(inner).alias("_w"), F.left(longest(parts), F.lit(GRAM)).alias("_g"))
+    keyed = quotes.select(item, longest(inner).alias("_w"), F.left(longest(parts), F.lit(GRAM)).alias("_g"))
     words = docs.select(doc, F.explode(F.array_distinct(F.split(text, " "))).alias("_w"))
-    out = words.join(keyed, "_w").select(item, quote, doc)
-    short = keyed.where("_w is null and _g is not null").select(item, quote, "_g", F.char_length("_g").alias("_n"))
+    out = words.join(small(keyed.where("_w is not null").select(item, "_w")), "_w").select(item, doc)
+    short = keyed.where("_w is null and _g is not null").select(item, "_g", F.char_length("_g").alias("_n"))
     for (n,) in short.select("_n").distinct().collect():  # at most GRAM + 1 lengths
         grams = F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda i: F.substring(F.col(text), i, F.lit(n)))
         held = docs.where(F.char_length(text) >= n).select(doc, F.explode(F.array_distinct(grams)).alias("_g"))
-        out = out.unionByName(held.join(short.where(F.col("_n") == n), "_g").select(item, quote, doc))
-    return out.distinct()
+        out = out.unionByName(held.join(small(short.where(F.col("_n") == n).select(item, "_g")), "_g").select(item, doc))
+    return out.distinct().join(small(quotes.select(item, quote)), item).select(item, quote, doc)
 
 
 def quote_holds(quote: Column, text: Column) -> Column:

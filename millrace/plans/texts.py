@@ -98,17 +98,15 @@ def chunk_filter(spark, sf_dir):
     return blocks.select("doc_id", "n", block.alias("b")).select("doc_id", F.col("n").cast("long").alias("block"), count.cast("long").alias("hits")).where("hits >= 2")
 
 
-@query(r"""WITH l AS (SELECT doc_id, source, string_split(text, chr(10))[1] AS line FROM documents WHERE length(string_split(text, chr(10))[1]) BETWEEN 25 AND 300),
-t AS (SELECT DISTINCT doc_id, source, left(w, 6) AS stem FROM (SELECT doc_id, source, unnest(regexp_extract_all(lower(line), '[\p{L}\p{N}_]{5,}')) AS w FROM l) WHERE w NOT IN ('erinorinwh')),
-s AS (SELECT a.doc_id, b.doc_id AS other, b.source AS o FROM t a JOIN t b ON a.stem = b.stem AND a.source <> b.source GROUP BY ALL HAVING count(*) >= 3)
-SELECT doc_id, count(DISTINCT o) AS others FROM s GROUP BY doc_id""")
+@query(r"""WITH t AS (SELECT DISTINCT item_id, left(w, 6) AS stem FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{5,}')) AS w FROM benchmark)),
+s AS (SELECT a.item_id, b.item_id AS other FROM t a JOIN t b ON a.stem = b.stem AND a.item_id <> b.item_id GROUP BY ALL HAVING count(*) >= 3)
+SELECT item_id, count(DISTINCT other) AS others FROM s GROUP BY item_id""")
 def stem_similarity(spark, sf_dir):
-    """In how many other sources a document's opening sentence (25 to 300 characters, as findings are) shares three stems with one."""
+    """In how many other items a finding shares three stems with one; every item is a finding, whole."""
     from millrace.operators.link import similar_elsewhere
 
-    opening = table(spark, sf_dir, "documents").select("doc_id", "source", F.get(F.split("text", "\n"), F.lit(0)).alias("line"))
-    found = opening.where(F.char_length("line").between(25, 300)).select("doc_id", "source", text.stems(F.col("line"), generic=["erinorinwh"]).alias("stems"))
-    return similar_elsewhere(found, "doc_id", "source", "stems")
+    found = table(spark, sf_dir, "benchmark").select("item_id", F.col("item_id").alias("owner"), text.stems(F.col("text"), generic=[]).alias("stems"))
+    return similar_elsewhere(found, "item_id", "owner", "stems")
 
 
 @query(r"""WITH p AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS q FROM benchmark),

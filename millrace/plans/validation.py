@@ -34,15 +34,15 @@ def style_rules(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(quality.style_faults(F.col("text"), ["idiot", "token"]), ",").alias("faults"))
 
 
-@query(r"""WITH d AS (SELECT trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS t FROM documents), b AS (SELECT item_id, trim(regexp_replace(lower(left(text, 40)), '\s+', ' ', 'g')) AS q FROM benchmark)
+@query(r"""WITH d AS (SELECT trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS t FROM documents), b AS (SELECT item_id, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS q FROM benchmark)
 SELECT item_id, count(*) FILTER (contains(t, q)) AS n FROM b, d GROUP BY item_id""")
 def citation_form(spark, sf_dir):
-    """Documents that hold the beginning of a passage, case and spacing aside.
+    """Documents that hold a whole passage, case and spacing aside.
 
-    They meet on a word that the beginning holds whole, or on its first characters.
+    They meet on a word that the passage holds whole, or on its first characters.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", quality.normal_form(F.col("text")).alias("t"))
-    items = table(spark, sf_dir, "benchmark").select("item_id", quality.normal_form(F.left("text", F.lit(40))).alias("q"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", quality.normal_form(F.col("text")).alias("q"))
     likely = quality.likely_holders(items, docs, "item_id", "q", F.array("q"), "doc_id", "t")
     counts = likely.join(docs, "doc_id").where(F.contains("t", F.col("q"))).groupBy("item_id").agg(F.count("*").alias("n"))
     return items.select("item_id").join(counts, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))

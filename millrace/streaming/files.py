@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where results and checkpoints may lie: the cluster's checkpoint folder, or a local one where none is set."""
+    """Where results and checkpoints may lie: the cluster's checkpoint folder, or a local one where a local session names none."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
     return context.getCheckpointDir().rstrip("/")
 
