@@ -72,6 +72,32 @@ def mentions(texts: DataFrame, key: str, text: str, names: DataFrame, name: str,
     return met.join(words, key).where(F.contains("_t", F.concat(F.lit(" "), F.col("_n"), F.lit(" ")))).groupBy(key).agg(F.min_by(name, order).alias(name))
 
 
+def longest_mention(texts: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
+    """(key, name): the longest of some names that a text has as whole words; the first in the alphabet of equally long ones."""
+    ordered = names.select(name, F.struct((-F.char_length(name)).alias("n"), F.col(name).alias("x")).alias("_order"))
+    return mentions(texts, key, text, ordered, name, "_order")
+
+
+#: Titles of people who decide on research, and words of those who work in it.
+DECIDES = (
+    "ceo", "chief executive", "founder", "co-?founder", "fundador", "s[oó]cio", "owner", "propriet[aá]ri", "president", "presidente", "managing director", "diretor", "director",
+    "vp\\b", "vice[- ]president", "head of", "partner", "general manager", "country manager", "managing partner", "cmo", "cio", "coo", "cfo",
+)
+WORKS_IN = (
+    "insight", "research", "pesquisa", "market intelligence", "intelig[eê]ncia", "consumer", "shopper", "analytics", "data", "estrat[eé]gi", "strategy", "cx", "ux",
+)
+
+
+def decision_maker(title: Column) -> Column:
+    """Whether a job title is one that decides; a word of the list must stand whole."""
+    return F.coalesce(title.rlike(r"(?iu)\b(" + "|".join(DECIDES) + r")\b"), F.lit(False))
+
+
+def in_area(title: Column) -> Column:
+    """Whether a job title is one of the trade."""
+    return F.coalesce(title.rlike(r"(?iu)\b(" + "|".join(WORKS_IN) + r")\b"), F.lit(False))
+
+
 def answered(answer: Column, schema: str) -> Column:
     """The JSON that a model's answer holds, read with a schema; null when it holds none."""
     return F.from_json(F.regexp_extract(answer, r"(?s)(\[.*\]|\{.*\})", 1), schema)

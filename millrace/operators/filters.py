@@ -71,6 +71,14 @@ def approved(df: DataFrame, head: str, offer: str, topic: str) -> DataFrame:
     return df.withColumn("motivo", reason).withColumn("aprovada", reason == "")
 
 
+def not_contradicted(items: DataFrame, day: str, page_day: str, today: Column, days: int) -> DataFrame:
+    """Items whose date, the page's own where it gives a whole one, is in the window or unknown: a page that says it's old wins over a listing."""
+    from millrace.functions.dates import in_window
+
+    known = F.coalesce(page_day, day)
+    return items.where(known.isNull() | in_window(known, today, days))
+
+
 def normal_status(status: Column, meanings: Mapping[str, str], default: str = "indeterminado") -> Column:
     """A vendor's status in the one vocabulary; what isn't known stays undetermined."""
     by = F.create_map(*[F.lit(x) for kv in meanings.items() for x in kv])

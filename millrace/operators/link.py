@@ -122,6 +122,26 @@ def token_pairs(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     return b_in_a.unionByName(a_in_b).distinct()
 
 
+def name_index(rows: DataFrame, key: str, least: int = 5) -> DataFrame:
+    """The rows that a name may be looked up in: those whose key is long enough to tell companies apart."""
+    return rows.where(F.char_length(key) >= least)
+
+
+def merge_by_tokens(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
+    """(b, a, n, error) of every distinct right name: merged with the one left name that it contains or is part of.
+
+    With several such names or none, it is a row of its own; several are an error
+    for somebody to look at, listed up to 200 characters.
+    """
+    pairs = token_pairs(left, right, a, b)
+    found = pairs.groupBy(b).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(a)).alias("_all"))
+    n = F.coalesce("n", F.lit(0)).cast("long")
+    return right.select(b).distinct().join(found, b, "left").select(
+        b, F.when(n == 1, F.col("_all")[0]).alias(a), n.alias("n"),
+        F.when(n > 1, F.left(F.concat(F.lit("several: "), F.array_join("_all", " / ")), F.lit(200))).otherwise("").alias("error"),
+    )
+
+
 def cascade(left: DataFrame, right: DataFrame, group: str, kinds: list[tuple[Column, Column]], new: str, old: str) -> DataFrame:
     """(new, old, priority): the best of several kinds of match inside a group, earlier kinds first, then the smallest ``old``.
 

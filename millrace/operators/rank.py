@@ -134,3 +134,24 @@ def fixed_order(df: DataFrame, column: str, values: Iterable[str], then: list) -
     """Rows in a given order of one column, then by others; values that aren't listed are left out."""
     place = F.create_map(*[F.lit(x) for i, v in enumerate(values) for x in (v, i)])[F.col(column)]
     return df.withColumn("_place", place).where("_place is not null").orderBy("_place", *then).drop("_place")
+
+
+def queue_after(queue: DataFrame, outcomes: DataFrame, key: list[str], item: str, position: str, lot: int) -> DataFrame:
+    """(key, item, position, state) of every queued item after one lot of each queue.
+
+    A lot is the first ``lot`` items. Items of it move to done or outside by their
+    outcome; the first that meets a limit goes to the end of its queue and ends the
+    lot, so what comes after it stays queued where it was. ``outcomes`` has key, item
+    and result (done, outside or limit); an item without one stays queued.
+    """
+    places = ranked(queue, key, [F.col(position)], "_at").join(outcomes.select(*key, item, "result"), [*key, item], "left")
+    taken = F.col("_at") <= lot
+    ends = places.groupBy(*key).agg(F.min(F.when(taken & (F.col("result") == "limit"), F.col("_at"))).alias("_stop"), F.max(position).alias("_last"))
+    stop = F.coalesce("_stop", F.lit(lot + 1))
+    done = taken & (F.col("_at") < stop) & F.col("result").isin("done", "outside")
+    moved = F.col("_at") == F.col("_stop")
+    joined = places.join(ends, key)
+    return joined.select(
+        *key, item, F.when(F.coalesce(moved, F.lit(False)), F.col("_last") + 1).otherwise(F.col(position)).alias(position),
+        F.when(F.coalesce(done, F.lit(False)), F.col("result")).otherwise("queued").alias("state"),
+    )

@@ -66,6 +66,19 @@ def digest(df: DataFrame, category: str, order: Iterable[str], line: Column, new
     return packed.select(category, "place", F.transform("_l", lambda x: x["line"]).alias("lines"))
 
 
-def document(df: DataFrame) -> str:
-    """A small table as one JSON array; meant for reports, whose rows are few."""
-    return "[" + ",".join(r[0] for r in df.select(F.to_json(F.struct("*"))).collect()) + "]"
+def markdown(lines: DataFrame, title: str) -> DataFrame:
+    """(place, text): a section of a Markdown report for every category of a :func:`digest`, its lines as a list."""
+    text = F.concat(F.lit("## "), F.col(title), F.lit("\n\n"), F.array_join(F.transform("lines", lambda x: F.concat(F.lit("- "), x)), "\n"), F.lit("\n"))
+    return lines.select("place", text.alias("text"))
+
+
+#: Most rows of a report that becomes one string.
+MAX_DOCUMENT_ROWS = 100_000
+
+
+def document(df: DataFrame, most: int = MAX_DOCUMENT_ROWS) -> str:
+    """A report's table as one JSON array; larger tables are an error, for them there is :func:`write_json`."""
+    rows = df.select(F.to_json(F.struct("*"))).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    return "[" + ",".join(r[0] for r in rows) + "]"
