@@ -36,6 +36,10 @@ DIMENSIONS = 4096
 #: Most labelled texts of a language that its k-means sees.
 MAX_SAMPLE = 1000
 CENTROIDS = 4
+#: Most sampled hashes that are sent to every executor; more are joined.
+MAX_BROADCAST_ROWS = 200_000
+#: Leading bits of a hash by which samples are counted.
+BIN_BITS = 12
 #: Quantile of the training cosines of a centroid below which a text is rejected.
 REJECT = 0.001
 #: What rejection leaves of a score.
@@ -154,6 +158,20 @@ class Model:
         return self.languages[best], score, rejected
 
 
+def smallest(hashes: DataFrame, most: int) -> DataFrame:
+    """The ``most`` smallest hashes h of every lang, written.
+
+    Hashes are counted by their leading bits first; only those before the limit are
+    ranked, a stretch of leading bits at a time, so no task holds all of a language.
+    """
+    binned = cut_lineage(hashes.withColumn("bin", F.shiftright("h", 64 - BIN_BITS)))
+    counts = binned.groupBy("lang", "bin").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    near = cut_lineage(counts.withColumn("before", before).where(F.col("before") < most).drop("n"))  # 2^BIN_BITS rows a language at most
+    place = F.row_number().over(Window.partitionBy("lang", "bin").orderBy("h"))
+    return cut_lineage(binned.join(near, ["lang", "bin"]).withColumn("at", place + F.col("before")).where(F.col("at") <= most).select("lang", "h"))
+
+
 def idf_of(df: np.ndarray) -> np.ndarray:
     """Inverse document frequencies; the last entry of ``df`` is the number of texts."""
     return (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
@@ -172,8 +190,8 @@ def fit(train: DataFrame, dimensions: int = DIMENSIONS, max_sample: int = MAX_SA
     for r in found.where("dim is not null").groupBy("dim").agg(F.sum("n").alias("n")).collect():  # one row a dimension
         df[r["dim"]] = r["n"]
     idf = idf_of(df)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = cut_lineage(found.where("lang is not null").select("lang", "h").distinct().withColumn("at", place).where(F.col("at") <= max_sample).drop("at"))
+    chosen = smallest(found.where("lang is not null").select("lang", "h").distinct(), max_sample)
+    small = F.broadcast if chosen.count() <= MAX_BROADCAST_ROWS else (lambda df: df)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -197,7 +215,7 @@ def fit(train: DataFrame, dimensions: int = DIMENSIONS, max_sample: int = MAX_SA
             "floor": [float(np.quantile(cosine[own == i, i], REJECT)) for i in used],
         })
 
-    sample = train.join(chosen, ["lang", "h"], "left_semi").mapInArrow(vectors, "lang string, h long, vec binary").dropDuplicates(["lang", "h"])
+    sample = train.join(small(chosen), ["lang", "h"], "left_semi").mapInArrow(vectors, "lang string, h long, vec binary").dropDuplicates(["lang", "h"])
     # a group holds ``max_sample`` vectors at most
     fitted = sample.groupBy("lang").applyInPandas(cluster, "lang string, at int, centroid binary, floor double")
     rows = sorted(fitted.collect(), key=lambda r: (r["lang"], r["at"]))  # ``k`` rows a language

@@ -115,6 +115,14 @@ def test_every_label_is_learned_and_repeats_count_once(spark):
     assert len(model.languages) == 2 and set(model.languages) == {"rep"}
 
 
+def test_the_smallest_hashes_of_each_label(spark):
+    rows = spark.range(0, 4000).selectExpr("IF(id % 10 = 0, 'b', 'a') AS lang", "xxhash64(id) AS h")
+    got = {(r["lang"], r["h"]) for r in language.smallest(rows, 70).collect()}
+    by = {x: sorted(r["h"] for r in rows.where(f"lang = '{x}'").collect())[:70] for x in "ab"}
+    assert got == {(x, h) for x, hs in by.items() for h in hs}
+    assert language.smallest(rows, 10**6).count() == 4000
+
+
 def test_model_by_hand(spark):
     """Counts, document frequencies, weights and the nearest centroid, all by plain Python."""
     import math
