@@ -56,6 +56,10 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Edges beyond which minima are written before they are joined; no node has more neighbours than there are edges.
+MANY_EDGES = 5_000_000
+
+
 def _digest(links: DataFrame) -> Row:
     """The number of edges and two sums of their hashes, in which equal sets of edges agree."""
     sums = [F.sum(h.cast("decimal(38,0)")).alias(n) for n, h in zip("xy", hash128(F.struct("u", "v")))]
@@ -67,25 +71,27 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
 
     Alternates the large-star and small-star steps, which shrink any path to a
     star in a number of rounds logarithmic in its length; every round is a
-    shuffle of the edges that are left. Minima are written before they are joined,
-    so the join has plain exchanges, which AQE splits where a node has very many
-    neighbours. What a round leaves is checkpointed, so that lost executors cost one
-    step at most. It ends when no edge changes, and raises if ``rounds`` don't do.
-    Self-loops and null ends are ignored.
+    shuffle of the edges that are left. Where they are so many that a node's
+    neighbours could be too much for one task, minima are written before they are
+    joined: the join then has plain exchanges, which AQE splits. What a round leaves
+    is checkpointed, so that lost executors cost one round at most. It ends when no
+    edge changes, and raises if ``rounds`` don't do. Self-loops and null ends are
+    ignored.
     """
     links = cut_lineage(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     )
     before = _digest(links)
     for _ in range(rounds):
+        apart = cut_lineage if before["n"] > MANY_EDGES else (lambda df: df)
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = apart(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         # large star: every larger neighbour goes to the smallest of the neighbourhood
-        large = cut_lineage(
+        large = apart(
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
         # small star: every smaller neighbour, and the node, go to the smallest neighbour
-        nearest = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
+        nearest = apart(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(nearest, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         )

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from millrace.llm import neardup
+from millrace.llm import common, neardup
 from millrace.llm.common import connected_components
 
 WORDS = [a + b for a in "ka lo mi ne ru sa to vi".split() for b in "x y z q w".split()]
@@ -123,11 +123,13 @@ def test_a_hub_of_many_near_copies(spark):
     assert left.columns == df.columns and [r["doc_id"] for r in left.collect()] == [0]
 
 
-def test_components_of_a_star_and_of_too_few_rounds(spark):
+def test_components_of_a_star_and_of_too_few_rounds(spark, monkeypatch):
     n = 200_000
     star = spark.range(1, n + 1).selectExpr("id AS a", "0 AS b")
-    got = connected_components(star)
-    assert got.count() == n + 1 and got.where("component <> 0").count() == 0
+    for most in (common.MANY_EDGES, 0):  # both ways to join the minima
+        monkeypatch.setattr(common, "MANY_EDGES", most)
+        got = connected_components(star)
+        assert got.count() == n + 1 and got.where("component <> 0").count() == 0
     with pytest.raises(RuntimeError):
         connected_components(spark.createDataFrame([(i, i + 1) for i in range(100)], "a long, b long"), rounds=1)
 
