@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import credentials, decontam, html_text, language, linededup, neardup, packing, quality, sql, tokens, urlgraph
+from millrace.llm import credentials, decontam, divergence, html_text, language, licenses, linededup, neardup, packing, quality, runs, sql, tokens, urlgraph
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,18 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.op8_secret_scan(_read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.op11_periodic_runs(_read(spark, sf_dir, "documents"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op12_license_scan(_read(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.op13_source_divergence(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "pipeline": corpus_pipeline.run,
@@ -65,6 +77,9 @@ def queries() -> dict:
         "op8_secret_scan": op8_secret_scan,
         "op9_language_id": op9_language_id,
         "op10_quality_rules": op10_quality_rules,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_license_scan": op12_license_scan,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 

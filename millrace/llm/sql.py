@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import credentials, decontam, linededup, quality
+from millrace.llm import credentials, decontam, divergence, licenses, linededup, quality
 
 #: Fixed value: the white space of the text contracts, as a RE2 class.
 W = r"[\x20\x09-\x0D]"
@@ -116,7 +116,55 @@ g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FIL
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
 """
 
+_QUOTED = ", ".join(f"({i}, '{label}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+_WORDS = r"""regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_PHRASES = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES)
+
+OP12 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t, {_WORDS.format("text")} AS ws FROM documents),
+base AS (SELECT rid, label, i - 1 AS place FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) x, (VALUES {_PHRASES}) p(phrase, label)
+         WHERE array_to_string(ws[i:i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+tmpl AS (SELECT tid, label, {_WORDS.format("t")} AS ws FROM (VALUES {_QUOTED}) v(tid, label, t)),
+tp AS (SELECT DISTINCT tid, label, ws[i] || ' ' || ws[i + 1] AS k FROM (SELECT tid, label, ws, unnest(range(1, len(ws))) AS i FROM tmpl)),
+size AS (SELECT tid, count(*) AS n FROM tp GROUP BY tid),
+blocks AS (SELECT rid, bno, {_WORDS.format("b")} AS ws FROM (SELECT rid, unnest(bs) AS b, generate_subscripts(bs, 1) AS bno
+           FROM (SELECT rid, regexp_split_to_array(t, '\n[\x09-\x0D\x20]*\n') AS bs FROM d))),
+bp AS (SELECT DISTINCT rid, bno, ws[i] || ' ' || ws[i + 1] AS k FROM (SELECT rid, bno, ws, unnest(range(1, len(ws))) AS i FROM blocks)),
+found AS (SELECT rid, bno, label, count(*) / n AS c FROM bp JOIN tp USING (k) JOIN size USING (tid) GROUP BY rid, bno, tid, label, n HAVING count(*) * 100 >= n * {licenses.PERCENT}),
+b AS (SELECT rid, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM base GROUP BY rid),
+names AS (SELECT rid, string_agg(label, ',' ORDER BY label) AS labels, string_agg(label, ',' ORDER BY label) FILTER (isbase) AS base_labels
+          FROM (SELECT rid, label, max(isbase) AS isbase FROM (SELECT rid, label, true AS isbase FROM base UNION ALL SELECT rid, label, false FROM found) GROUP BY ALL) GROUP BY rid),
+best AS (SELECT rid, max(c) AS c FROM found GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0)::DOUBLE END AS score
+FROM d LEFT JOIN b USING (rid) LEFT JOIN names USING (rid) LEFT JOIN best USING (rid)
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT rid, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.MIN_DOCS}),
+grp AS (SELECT DISTINCT lang, source FROM d),
+seen AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(s.c, 0)::HUGEINT AS c FROM grp g JOIN kept k USING (lang) LEFT JOIN seen s USING (lang, source, term)),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+n AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM dense GROUP BY ALL),
+p AS (SELECT lang, source, term, c, 1 + ({divergence.SCALE} * (c + 2)) // (n + 2 * v) AS p FROM dense JOIN n USING (lang, source) JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + ({divergence.SCALE} * (sum(c)::HUGEINT + 2)) // (max(total) + 2 * max(v)) AS q
+      FROM dense JOIN (SELECT lang, sum(n)::HUGEINT AS total FROM n GROUP BY lang) USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+                     FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p.p - q.q) * (p.p - q.q)) // (p.p + q.q) AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p.p > q.q),
+every AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
 ORACLES = {
+    "op12_license_scan": OP12,
+    "op13_source_divergence": OP13,
     "op1_minhash_near_dedup": OP1,
     "op8_secret_scan": OP8,
     "op2_decontamination": OP2,

@@ -29,6 +29,13 @@ def fold_table(separators: bytes) -> np.ndarray:
     return table
 
 
+def cut_table(separators: bytes) -> np.ndarray:
+    """The same without folding."""
+    table = fold_table(separators)
+    table[65:91] = np.where(table[65:91], np.arange(65, 91), 0)
+    return table
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every bit of 64-bit words; returns a new array."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -117,3 +124,36 @@ def slices(batches: Iterable[pa.RecordBatch], most: int = 8 << 20) -> Iterator[p
             yield batch if rows >= batch.num_rows else pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([c.slice(i, rows)]) for c in batch.columns], schema=batch.schema
             )
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of the stretches of ``data`` that begin at ``starts``, one behind the other."""
+    at = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=at[1:])
+    return at, data[np.arange(at[-1]) + np.repeat(starts - at[:-1], sizes)]
+
+
+def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Numbers that are equal where the words' bytes are, and the different words by number."""
+    at, flat = _gathered(data, starts, ends - starts)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(flat)])
+    encoded = words.dictionary_encode()
+    return encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+
+
+def join_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The words of each row joined by one blank; ``at[i]:at[i + 1]`` are those of row i."""
+    if not len(starts):
+        return pa.array([""] * (len(at) - 1), pa.string())
+    sizes = ends - starts
+    sizes[:-1] += 1  # and the byte behind it, which becomes the blank
+    offsets, flat = _gathered(data, starts, sizes)
+    flat[offsets[1:-1] - 1] = 32
+    last = np.zeros(len(starts), bool)
+    last[at[1:][at[1:] > at[:-1]] - 1] = True
+    last[-1] = False  # has no byte behind it
+    keep = np.ones(len(flat), bool)
+    keep[offsets[1:][last] - 1] = False
+    sizes -= last
+    ends_at = np.r_[0, np.cumsum(sizes)][at]
+    return pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends_at)), pa.py_buffer(flat[keep])]).cast(pa.string())
