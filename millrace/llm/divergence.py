@@ -1,8 +1,8 @@
 """How sources differ from each other and from their language, by mergeable radix tries of terms.
 
 1. Every task counts the terms of its documents in byte tries, one a language, with
-   a counter a source and one of documents at the leaves. A trie that has grown to
-   its bound is written out leaf by leaf and begun anew.
+   a counter a source and one of documents at the leaves. Tries that have grown to
+   their bound are written out leaf by leaf and begun anew.
 2. Leaves are dealt by ranges of (language, term), so a task gets all tries' leaves
    of its prefixes, merges them into tries again and walks those in UTF-8 order.
    Terms of too few documents end here; what is left is written once.
@@ -17,7 +17,7 @@ of bounded size; every two blocks are one pass.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,11 @@ from millrace.session import ship_package
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
+#: Terms that a leaf of a trie holds before it branches, and the place of a term that ends at a branching.
+BURST = 1024
+END = -1
 #: Counters that a task's tries hold before they are written out, and the bytes of their terms.
-MAX_COUNTERS = 1 << 17
+MAX_COUNTERS = 1 << 19
 MAX_TERM_BYTES = 32 << 20
 #: Leaves that a merging task gets on average.
 LEAVES = 250_000
@@ -41,66 +44,95 @@ MAX_GROUPS = 2048
 #: Terms times sources handled at a time.
 CELLS = 1 << 20
 #: Bytes of text handled at a time.
-SLICE = 4 << 20
+SLICE = 8 << 20
 #: All ASCII but letters separates terms.
 TABLE = fold_table(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 LEAF = pa.struct([("source", pa.string()), ("n", pa.int64())])
-LEAF_DDL = "lang string, term string, docs long, counts array<struct<source: string, n: long>>"
+LEAF_DDL = "lang string, term binary, counts array<struct<source: string, n: long>>"
 SUMS_DDL = "lang string, source string, part string, item string, value long, top boolean"
 #: Counts up to this keep ``SCALE * (count + 2)`` within 64 bits.
 EXACT = 9_000_000_000
 
 
+class Node:
+    """A branching of a trie: what all terms below begin with, and what follows by its first byte (END where nothing does)."""
+
+    __slots__ = ("prefix", "below")
+
+    def __init__(self, prefix: bytes) -> None:
+        self.prefix = prefix
+        self.below: dict[int, Node | dict] = {}
+
+
 class Trie:
-    """A radix trie of byte strings. Edges are found by their first byte; a leaf counts documents and, by source, occurrences."""
+    """A radix trie of byte strings with counters at its leaves.
 
-    __slots__ = ("edges", "docs", "counts")
+    Branchings skip what all their terms share. A leaf is a container of up to
+    ``BURST`` terms, which then becomes a branching. A term's counters are its
+    occurrences by source, and its documents under None.
+    """
 
     def __init__(self) -> None:
-        self.edges: dict[int, tuple[bytes, Trie]] = {}
-        self.docs = 0
-        self.counts: dict[str, int] | None = None
-
-    def leaf(self, term: bytes) -> Trie:
-        """The node of ``term``, made if there is none."""
-        node, at = self, 0
-        while at < len(term):
-            edge = node.edges.get(term[at])
-            if edge is None:
-                fresh = Trie()
-                node.edges[term[at]] = (term[at:], fresh)
-                node = fresh
-                break
-            label, child = edge
-            if term.startswith(label, at):
-                node, at = child, at + len(label)
-                continue
-            same = next((i for i, (x, y) in enumerate(zip(label, term[at : at + len(label)])) if x != y), min(len(label), len(term) - at))
-            middle = Trie()
-            middle.edges[label[same]] = (label[same:], child)
-            node.edges[term[at]] = (label[:same], middle)
-            node, at = middle, at + same
-        if node.counts is None:
-            node.counts = {}
+        self.top: Node | dict = {}
+
+    def counters(self, term: bytes) -> dict[str | None, int]:
+        """The counters of ``term``, made if there are none."""
+        parent, byte, node = None, END, self.top
+        while type(node) is Node:
+            if not term.startswith(node.prefix):
+                node = self._hang(parent, byte, self._split(node, term))
+            parent, at = node, len(node.prefix)
+            byte = term[at] if at < len(term) else END
+            node = parent.below.get(byte)
+            if node is None:
+                node = parent.below[byte] = {}
+        found = node.get(term)
+        if found is None:
+            found = node[term] = {}
+            if len(node) > BURST:
+                self._hang(parent, byte, self._burst(node))
+        return found
+
+    def _hang(self, parent: Node | None, byte: int, node: Node) -> Node:
+        if parent is None:
+            self.top = node
+        else:
+            parent.below[byte] = node
         return node
 
-    def add(self, term: bytes, docs: int, counts: Iterator[tuple[str, int]]) -> int:
-        """Adds to a term's counters; gives the number of new ones."""
-        leaf = self.leaf(term)
-        before = len(leaf.counts)
-        leaf.docs += docs
-        for source, n in counts:
-            leaf.counts[source] = leaf.counts.get(source, 0) + n
-        return len(leaf.counts) - before
-
-    def walk(self) -> Iterator[tuple[bytes, int, dict[str, int]]]:
-        """(term, documents, occurrences by source) in the order of the terms' bytes."""
-        path = [(b"", self)]
+    @staticmethod
+    def _split(node: Node, term: bytes) -> Node:
+        """A branching above ``node`` where ``term`` leaves its prefix."""
+        upper = Node(_shared(node.prefix, term))
+        upper.below[node.prefix[len(upper.prefix)]] = node
+        return upper
+
+    @staticmethod
+    def _burst(terms: dict) -> Node:
+        node = Node(_shared(min(terms), max(terms)))
+        at = len(node.prefix)
+        for term, counters in terms.items():
+            node.below.setdefault(term[at] if at < len(term) else END, {})[term] = counters
+        return node
+
+    def walk(self) -> Iterator[tuple[bytes, dict[str | None, int]]]:
+        """(term, counters) in the order of the terms' bytes."""
+        path = [self.top]
         while path:
-            term, node = path.pop()
-            if node.counts is not None:
-                yield term, node.docs, node.counts
-            path.extend((term + label, child) for _, (label, child) in sorted(node.edges.items(), reverse=True))
+            node = path.pop()
+            if type(node) is Node:
+                path.extend(child for _, child in sorted(node.below.items(), key=lambda kv: kv[0], reverse=True))
+            else:
+                yield from sorted(node.items(), key=lambda kv: kv[0])
+
+
+def _shared(a: bytes, b: bytes) -> bytes:
+    """What both begin with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:  # halving, as long terms share long beginnings
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[:middle] == b[:middle] else (low, middle - 1)
+    return a[:low]
 
 
 class Tries:
@@ -111,39 +143,61 @@ class Tries:
 
     def clear(self) -> None:
         self.by_lang: dict[str, Trie] = {}
-        self.counters = self.bytes = 0
+        self.held = self.bytes = 0
 
     @property
     def full(self) -> bool:
-        return self.counters > MAX_COUNTERS or self.bytes > MAX_TERM_BYTES
+        return self.held > MAX_COUNTERS or self.bytes > MAX_TERM_BYTES
 
-    def add(self, lang: str, term: bytes, docs: int, counts: Iterator[tuple[str, int]]) -> None:
+    def add(self, lang: str, term: bytes, sources: Sequence[str | None], times: Sequence[int]) -> None:
         trie = self.by_lang.get(lang)
         if trie is None:
             trie = self.by_lang[lang] = Trie()
-        if fresh := trie.add(term, docs, counts):
-            self.counters += fresh
+        have = trie.counters(term)
+        if not have:
+            have.update(zip(sources, times))
+            self.held += len(have)
             self.bytes += len(term)
-
-    def leaves(self, min_docs: int = 0, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+            return
+        before = len(have)
+        for source, n in zip(sources, times):
+            have[source] = have.get(source, 0) + n
+        self.held += len(have) - before
+
+    def merge(self, batch: pa.RecordBatch) -> None:
+        """Adds the leaves of other tries."""
+        sources, times, at = (x.to_pylist() for x in _entries(batch))
+        for lang, term, a, b in zip(batch.column("lang").to_pylist(), batch.column("term").to_pylist(), at, at[1:]):
+            self.add(lang, term, sources[a:b], times[a:b])
+
+    def leaves(self, min_docs: int = 0, rows: int = 8192) -> Iterator[pa.RecordBatch]:
         """The leaves in order; the empty term, which stands for its language's groups, always stays."""
-        out: list[list] = [[], [], [], []]
         for lang in sorted(self.by_lang, key=str.encode):
-            for term, docs, counts in self.by_lang[lang].walk():
-                if docs < min_docs and term:
+            terms, sources, times, at = [], [], [], [0]
+            for term, have in self.by_lang[lang].walk():
+                if term and have[None] < min_docs:
                     continue
-                for column, value in zip(out, (lang, term.decode(), docs, [{"source": s, "n": n} for s, n in counts.items()])):
-                    column.append(value)
-                if len(out[0]) == rows:
-                    yield _leaves(out)
-                    out = [[], [], [], []]
-        if out[0]:
-            yield _leaves(out)
+                terms.append(term)
+                sources.extend(have)
+                times.extend(have.values())
+                at.append(len(times))
+                if len(terms) == rows:
+                    yield _leaves(lang, terms, sources, times, at)
+                    terms, sources, times, at = [], [], [], [0]
+            if terms:
+                yield _leaves(lang, terms, sources, times, at)
+
 
+def _leaves(lang: str, terms: list, sources: list, times: list, at: list) -> pa.RecordBatch:
+    entries = pa.StructArray.from_arrays([pa.array(sources, pa.string()), pa.array(times, pa.int64())], fields=list(LEAF))
+    columns = [pa.array([lang] * len(terms), pa.string()), pa.array(terms, pa.binary()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), entries)]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "counts"])
 
-def _leaves(columns: list[list]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(LEAF))
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "term", "docs", "counts"])
+
+def _entries(batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(sources, numbers, offsets) of the counters of a batch of leaves."""
+    lists = batch.column("counts")
+    return lists.values.field(0), lists.values.field(1), lists.offsets
 
 
 def _starts(key: np.ndarray) -> np.ndarray:
@@ -154,9 +208,9 @@ def _count(batch: pa.RecordBatch, tries: Tries) -> None:
     """Adds the terms of a batch (lang, source, t) and its groups."""
     at, _, starts, ends, data = hash_words(batch.column("t"), TABLE, 0)
     pairs = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
-    groups = sorted(set(pairs), key=lambda g: (g[0].encode(), g[1].encode()))
+    groups = sorted(set(pairs))
     for lang, source in groups:
-        tries.add(lang, b"", 0, [(source, 0)])
+        tries.add(lang, b"", (source,), (0,))
     if not len(starts):
         return
     number, different = numbered(TABLE[data], starts, ends)
@@ -168,26 +222,25 @@ def _count(batch: pa.RecordBatch, tries: Tries) -> None:
     langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in groups))}
     lang_of = np.array([langs[lang] for lang, _ in groups], np.int64)
     key = (lang_of[group] * n + cell % n) * len(groups) + group
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key, times = key[order], times[order]
     spot = _starts(key)
-    total, docs = np.add.reduceat(times, spot), np.diff(np.r_[spot, len(key)])
-    key = key[spot]
-    owner, source_of = key // len(groups), key % len(groups)
+    total, docs = np.add.reduceat(times, spot).tolist(), np.diff(np.r_[spot, len(key)])
+    owner = key[spot] // len(groups)
     lead = _starts(owner)
-    docs = np.add.reduceat(docs, lead)
-    names = list(langs)
-    stops = np.r_[lead[1:], len(owner)]
-    for k, (a, b) in enumerate(zip(lead.tolist(), stops.tolist())):
-        o = int(owner[a])
-        tries.add(names[o // n], terms[o % n], int(docs[k]), [(groups[g][1], c) for g, c in zip(source_of[a:b].tolist(), total[a:b].tolist())])
+    docs, owner = np.add.reduceat(docs, lead).tolist(), owner[lead]
+    by_number, names = [source for _, source in groups], list(langs)
+    sources = [by_number[g] for g in (key[spot] % len(groups)).tolist()]
+    for o, w, d, a, b in zip((owner // n).tolist(), (owner % n).tolist(), docs, lead.tolist(), [*lead[1:].tolist(), len(total)]):
+        tries.add(names[o], terms[w], [*sources[a:b], None], [*total[a:b], d])
 
 
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, docs, counts) of every term in at least ``min_docs`` documents of a language, written once.
+    """(lang, term, counts) of every term in at least ``min_docs`` documents of a language, written once.
 
-    ``docs`` is the number of its documents in that language, ``counts`` lists its
-    occurrences by source. The empty term of a language lists all its sources, with 0.
+    ``term`` is its bytes; ``counts`` lists its occurrences by source, and under the
+    null source the number of its documents in the language. The empty term of a
+    language lists all its sources, with 0.
     """
     ship_package(docs.sparkSession)
     empty = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
@@ -205,8 +258,7 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = Tries()
         for batch in batches:
-            for row in batch.to_pylist():
-                tries.add(row["lang"], row["term"].encode(), row["docs"], [(c["source"], c["n"]) for c in row["counts"]])
+            tries.merge(batch)
         yield from tries.leaves(min_docs)
 
     parts = written(rows.mapInArrow(count, LEAF_DDL))
@@ -216,8 +268,9 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 
 def totals(kept: DataFrame) -> DataFrame:
     """(lang, source, n, v, all) of every group: its occurrences of kept terms, the language's kept terms and occurrences."""
-    groups = kept.select("lang", F.explode("counts").alias("c")).groupBy("lang", F.col("c.source").alias("source")).agg(F.sum("c.n").alias("n"))
-    sizes = kept.groupBy("lang").agg(F.count(F.when(F.col("term") != "", 1)).alias("v"), F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c["n"])).alias("all"))
+    counts = kept.select("lang", F.explode("counts").alias("c")).where("c.source is not null")
+    groups = counts.groupBy("lang", F.col("c.source").alias("source")).agg(F.sum("c.n").alias("n"))
+    sizes = kept.groupBy("lang").agg(F.count(F.when(F.octet_length("term") > 0, 1)).alias("v")).join(groups.groupBy("lang").agg(F.sum("n").alias("all")), "lang")
     return written(groups.join(sizes, "lang"))
 
 
@@ -241,49 +294,50 @@ class Walker:
         self.sums: dict[str, np.ndarray] = {}
         self.best: dict[tuple[str, str], list[tuple[int, bytes]]] = {}
 
-    def add(self, lang: str, terms: list[str], counts: list[list[dict]]) -> None:
-        """Terms of one language, and their counts by source."""
+    def add(self, lang: str, leaves: pa.RecordBatch) -> None:
+        """Leaves of one language."""
         mine, other = self.left.get(lang), self.right.get(lang)
         if mine is None or other is None:
             return
         sums = self.sums.setdefault(lang, np.zeros((len(mine["at"]), len(other["at"])), np.int64))
         width = max(1, CELLS // max(len(mine["at"]), len(other["at"])))
-        real = [i for i, t in enumerate(terms) if t]
-        for a in range(0, len(real), width):
-            part = real[a : a + width]
-            p = self._shares(mine, [counts[i] for i in part])
-            q = p if self.same else self._shares(other, [counts[i] for i in part])
+        for a in range(0, len(leaves), width):
+            terms = leaves.column("term").slice(a, width).to_pylist()
+            names, times, at = (x.to_pylist() for x in _entries(leaves.slice(a, width)))
+            entries = [(i, names[k], times[k]) for i in range(len(terms)) for k in range(at[i], at[i + 1]) if terms[i] and names[k] is not None]
+            count = self._table(mine, entries, len(terms))
+            real = np.array([bool(t) for t in terms])
+            p = self._shares(mine, count)
+            q = p if self.same else self._shares(other, self._table(other, entries, len(terms)))
             for i in range(p.shape[1]):
                 for j in range(i + 1 if self.same else 0, q.shape[1]):
-                    sums[i, j] += int(apart(p[:, i], q[:, j]).sum())
+                    sums[i, j] += int(apart(p[real, i], q[real, j]).sum())
             if self.same:
-                self._strongest(lang, mine, [terms[i] for i in part], [counts[i] for i in part], p)
+                total = np.zeros(len(terms), np.int64)
+                np.add.at(total, [i for i, _, _ in entries], [n for _, _, n in entries])
+                self._strongest(lang, mine, terms, count, p, share(total, mine["all"], mine["v"]))
 
     @staticmethod
-    def _table(side: dict, counts: list[list[dict]]) -> np.ndarray:
-        out = np.zeros((len(counts), len(side["at"])), np.int64)
-        for i, row in enumerate(counts):
-            for c in row:
-                k = side["at"].get(c["source"])
-                if k is not None:
-                    out[i, k] = c["n"]
+    def _table(side: dict, entries: list[tuple[int, str, int]], rows: int) -> np.ndarray:
+        out, at = np.zeros((rows, len(side["at"])), np.int64), side["at"]
+        for i, source, n in entries:
+            if source in at:
+                out[i, at[source]] = n
         return out
 
-    def _shares(self, side: dict, counts: list[list[dict]]) -> np.ndarray:
-        table = self._table(side, counts)
-        return np.stack([share(table[:, k], side["n"][k], side["v"]) for k in range(table.shape[1])], axis=1)
+    @staticmethod
+    def _shares(side: dict, count: np.ndarray) -> np.ndarray:
+        return np.stack([share(count[:, k], side["n"][k], side["v"]) for k in range(count.shape[1])], axis=1)
 
-    def _strongest(self, lang: str, side: dict, terms: list[str], counts: list[list[dict]], p: np.ndarray) -> None:
-        q = share(np.array([sum(c["n"] for c in row) for row in counts], np.int64), side["all"], side["v"])
-        table = self._table(side, counts)
+    def _strongest(self, lang: str, side: dict, terms: list[bytes], count: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
         for source, k in side["at"].items():
-            seen = np.flatnonzero((table[:, k] > 0) & (p[:, k] > q))
+            seen = np.flatnonzero((count[:, k] > 0) & (p[:, k] > q))
             f = apart(p[seen, k], q[seen])
             if len(f) > self.top:  # only what reaches the value of rank ``top``; ties are told apart below
                 strong = f >= np.partition(f, len(f) - self.top)[len(f) - self.top]
                 seen, f = seen[strong], f[strong]
             have = self.best.setdefault((lang, source), [])
-            have.extend((-int(x), terms[i].encode()) for x, i in zip(f, seen))
+            have.extend((-int(x), terms[i]) for x, i in zip(f, seen))
             have.sort()
             del have[self.top :]
 
@@ -338,8 +392,7 @@ def divergences(kept: DataFrame, top: int = TOP, max_groups: int = MAX_GROUPS) -
                     langs = batch.column("lang").to_pylist()
                     cuts = [i for i in range(len(langs)) if i == 0 or langs[i] != langs[i - 1]]
                     for a, b in zip(cuts, [*cuts[1:], len(langs)]):
-                        part = batch.slice(a, b - a)
-                        walker.add(langs[a], part.column("term").to_pylist(), part.column("counts").to_pylist())
+                        walker.add(langs[a], batch.slice(a, b - a))
                 yield from walker.rows()
 
             done = kept.select("lang", "term", "counts").mapInArrow(walk, SUMS_DDL)

@@ -69,26 +69,32 @@ def test_small_bounds_change_nothing(spark, monkeypatch):
 def test_tries_are_flushed_and_merge(monkeypatch):
     import pyarrow as pa
 
-    monkeypatch.setattr(divergence, "MAX_COUNTERS", 3)
-    tries, rng, want = divergence.Tries(), random.Random(4), defaultdict(Counter)
-    whole = divergence.Tries()
-    for _ in range(60):
-        texts = [" ".join(rng.choice(["a", "ab", "abc", "b", "é", "ê"]) for _ in range(4)) for _ in range(3)]
-        divergence._count(pa.record_batch({"lang": ["x", "y", "x"], "source": ["s", "s", "t"], "t": texts}), tries)
+    rng = random.Random(4)
+    words = ["a", "ab", "abc", "b", "é", "ê", "k" * 500, "k" * 500 + "a", "k" * 499 + "z", *(f"k{'k' * i}" for i in range(20))]
+    batches = [[" ".join(rng.choice(words) for _ in range(4)) for _ in range(3)] for _ in range(80)]
+    want = defaultdict(Counter)
+    for texts in batches:
         for lang, source, t in zip("xyx", "sst", texts):
             want[lang].update({(w, source): c for w, c in Counter(t.split()).items()})
-        if tries.full:
-            for batch in tries.leaves():
-                for r in batch.to_pylist():
-                    whole.add(r["lang"], r["term"].encode(), r["docs"], [(c["source"], c["n"]) for c in r["counts"]])
-            tries.clear()
-    for batch in tries.leaves():
-        for r in batch.to_pylist():
-            whole.add(r["lang"], r["term"].encode(), r["docs"], [(c["source"], c["n"]) for c in r["counts"]])
-    for lang, trie in whole.by_lang.items():
-        leaves = list(trie.walk())
-        assert [t for t, _, _ in leaves] == sorted({t for t, _, _ in leaves})
-        assert {(t.decode(), s): n for t, _, c in leaves for s, n in c.items() if n} == dict(want[lang])
+            want[lang].update({(w, None): 1 for w in set(t.split())})
+    for most, burst in ((3, 1), (50, 2), (10**6, 5), (10**6, 1024)):
+        monkeypatch.setattr(divergence, "MAX_COUNTERS", most)
+        monkeypatch.setattr(divergence, "BURST", burst)
+        tries, whole, flushed = divergence.Tries(), divergence.Tries(), 0
+        for texts in batches:
+            divergence._count(pa.record_batch({"lang": ["x", "y", "x"], "source": ["s", "s", "t"], "t": texts}), tries)
+            if tries.full:
+                for batch in tries.leaves(rows=7):
+                    whole.merge(batch)
+                tries.clear()
+                flushed += 1
+        for batch in tries.leaves():
+            whole.merge(batch)
+        assert (flushed > 0) == (most < 100)
+        for lang, trie in whole.by_lang.items():
+            leaves = list(trie.walk())
+            assert [t for t, _ in leaves] == sorted({t for t, _ in leaves})
+            assert {(t.decode(), s): n for t, c in leaves for s, n in c.items() if t} == dict(want[lang])
 
 
 def test_shares_are_exact_beyond_64_bits():
