@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import WHITE_CHARS, connected_components, cut_lineage
+from millrace.llm.common import WHITE_CHARS, connected_components, cut_lineage, hash128
 from millrace.llm.words import fold_table, hash_words, mix, slices, windows
 from millrace.session import ship_package
 
@@ -116,8 +116,8 @@ def fingerprint(s: np.ndarray) -> tuple[np.int64, np.int64]:
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: Sampler) -> DataFrame:
-    """(id, n, f1, f2, bands, sketch) of every row: set size, set hash, band keys and odd sketch."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    """(id, t1, t2, n, f1, f2, bands, sketch) of every row: text hash, set size, set hash, band keys and odd sketch."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), *_text_key(text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -131,12 +131,17 @@ def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, sampler: S
                     column.append(value)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *[pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), longs, longs))]],
-                names=["id", "n", "f1", "f2", "bands", "sketch"],
+                [*(batch.column(c) for c in ("id", "t1", "t2")), *[pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), longs, longs))]],
+                names=["id", "t1", "t2", "n", "f1", "f2", "bands", "sketch"],
             )
 
     kinds = T.StructType.fromDDL("n long, f1 long, f2 long, bands array<long>, sketch array<long>")
-    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields]))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in ("id", "t1", "t2")), *kinds.fields]))
+
+
+def _text_key(text: str) -> list[Column]:
+    """A 128-bit hash of a row's text; a null text is an empty one."""
+    return [h.alias(n) for n, h in zip(("t1", "t2"), hash128(F.coalesce(F.col(f"`{text}`"), F.lit(""))))]
 
 
 def id_bits(wanted: int) -> int:
@@ -155,11 +160,11 @@ def id_bitmap(ids: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
-    """(id, v, set, parity) of the documents in ``ids``: each set as hashes, and its own odd sketch.
+def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+    """(id, set, parity) of the classes in ``wanted`` (id, rep, f1, f2): their sets as hashes, and the sets' own odd sketches.
 
-    A row is one set of one id, whatever number of rows repeats it; the different
-    sets of an id are numbered by v from 1. Tasks drop what they have seen before.
+    ``rep`` is a document of the class, f1 and f2 the hash of its set; other texts
+    of that document are other classes. Tasks drop what they have seen before.
 
     The XOR of two such sketches has at most as many ones as the sets have
     different members, whatever falls together, so it rules pairs out without error.
@@ -167,18 +172,18 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle:
     all others go where they are read, and the sets of the rest meet the ids
     themselves. Beyond that the texts meet the ids.
     """
-    bits = id_bits(ids.count())
-    wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, bits)) if bits else None
-    rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(bits or 1)).alias("bit")
-    )
-    rows = rows if bits else rows.join(ids, "id", "left_semi")
+    reps = wanted.select(F.col("rep").alias("id")).distinct()
+    bits = id_bits(reps.count())
+    known = docs.sparkSession.sparkContext.broadcast(id_bitmap(reps, bits)) if bits else None
+    own = F.col(f"`{id_col}`")
+    rows = docs.where(own.isNotNull()).select(own.alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"), F.pmod(F.xxhash64(own), F.lit(bits or 1)).alias("bit"))
+    rows = rows if bits else rows.join(reps, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            if wanted is not None:
-                bitmap, bit = wanted.value, batch.column("bit").to_numpy()
+            if known is not None:
+                bitmap, bit = known.value, batch.column("bit").to_numpy()
                 batch = batch.filter(pa.array((bitmap[bit >> 6] >> (bit & 63)) & 1 == 1))
             for part in slices([batch]):
                 at, sets, marks = [], [], []
@@ -195,9 +200,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, shingle:
                 yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(at, pa.int64())), *hashes, *columns], names=["id", "f1", "f2", "set", "parity"])
 
     kinds = T.StructType.fromDDL("f1 long, f2 long, set array<long>, parity array<long>")
-    found = rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields])).join(ids, "id", "left_semi")
-    once = found.groupBy("id", "f1", "f2").agg(F.first("set").alias("set"), F.first("parity").alias("parity"))
-    return once.select("id", F.row_number().over(Window.partitionBy("id").orderBy("f1", "f2")).alias("v"), "set", "parity")
+    found = rows.mapInArrow(run, T.StructType([rows.schema["id"], *kinds.fields])).withColumnRenamed("id", "rep")
+    return found.join(wanted, ["rep", "f1", "f2"]).groupBy("id").agg(F.first("set").alias("set"), F.first("parity").alias("parity"))
 
 
 def _ones(a: str, b: str) -> Column:
@@ -241,14 +245,14 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     that are all that close to each other and yet not linked costs n^2 / 2 tests of
     two bitmaps, spread over the shingles they meet on.
     """
-    held = sets.join(rest.select("id").distinct(), "id").select("id", "v", F.explode("set").alias("s"))
+    held = sets.join(rest.select("id").distinct(), "id").select("id", F.explode("set").alias("s"))
     rarity = held.groupBy("s").agg(F.count("*").alias("df"))
-    ordered = held.join(rarity, "s").groupBy("id", "v").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
+    ordered = held.join(rarity, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
     n, shared = F.size("o"), F.filter("o", lambda x: x["df"] > 1)
     first = F.filter(F.slice("o", 1, n - F.ceil(n * percent / F.lit(100)).cast("int") + 1), lambda x: x["df"] > 1)
-    kept = ordered.select("id", "v", n.alias("n"), F.size(shared).alias("m"), first.alias("first"))
+    kept = ordered.select("id", n.alias("n"), F.size(shared).alias("m"), first.alias("first"))
     # no partner at all can reach the threshold with what a document shares
-    kept = kept.where(F.col("m") * 100 >= F.col("n") * percent).join(rest, "id").join(sets.select("id", "v", "parity"), ["id", "v"])
+    kept = kept.where(F.col("m") * 100 >= F.col("n") * percent).join(rest, "id").join(sets.select("id", "parity"), "id")
     prefix = cut_lineage(kept.select("id", "n", "m", "comp", "minor", "parity", F.explode("first.s").alias("s")))
     side = lambda d, x: d.select("s", *[F.col(c).alias(x if c == "id" else x + c) for c in ("id", "n", "m", "comp", "minor", "parity")])
     most = F.least("am", "bm")
@@ -258,31 +262,32 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return side(prefix.where("minor"), "a").join(side(prefix, "b"), "s").where(far & possible & alike).select("a", "b").distinct()
 
 
-def near_duplicates(
+def classed(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
     bands: int = BANDS, rows: int = ROWS, bits: int = SKETCH_BITS,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row.
+    """(id, t1, t2, n, f1, f2, component_id, component) of every row: text hash, set size, set hash, the smallest id reachable, and the component's own name.
 
-    Words are cut at white space, A-Z folded. Two documents are linked when
-    100 * intersection >= percent * union of their distinct shingles; a component is
-    what links reach, named by its smallest id, which is the one kept. Documents
-    without words are linked with nothing. Rows without an id are linked with
-    nothing, have no component and are kept. Rows that share an id are one document.
+    The last two differ where several texts share an id: then components of one
+    smallest id are told apart by its set. Rows without an id or words are in none.
     """
     ship_package(docs.sparkSession)
     sampler, distance = Sampler(bands, rows, bits), largest_distance(percent, bands, rows, bits)
     sig = cut_lineage(signatures(docs, id_col, text, shingle, sampler))
     classes = sig.where("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = cut_lineage(classes)
-    marks = classes.select(F.col("rep").alias("id"), "n", "sketch")
+    # a class goes by its smallest id, and only where that is another class's, too, by id and set
+    several = not classes.groupBy("rep").count().where("count > 1").isEmpty()
+    node = F.struct("rep", "f1", "f2", "n") if several else F.col("rep")
+    marks = classes.select(node.alias("id"), "n", "sketch")
 
-    keys = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
+    keys = classes.select(node.alias("id"), F.explode("bands").alias("key"))
     stars = cut_lineage(keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top"), F.count("*").alias("size")).where("hub < top"))
     members = cut_lineage(keys.join(stars, "key").select("key", "id", "hub", "size"))
     spokes = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     likely = cut_lineage(_filtered(spokes, marks, percent, distance))
     wanted = cut_lineage(likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(members.where("size > 2 and id <> hub").select("id")).distinct())
+    wanted = cut_lineage(classes.select(node.alias("id"), "rep", "f1", "f2").join(wanted, "id", "left_semi"))
     sets = cut_lineage(full_sets(docs, wanted, id_col, text, shingle))
     links = cut_lineage(_confirmed(likely, sets, percent).distinct())
     comp = cut_lineage(connected_components(links))
@@ -300,19 +305,43 @@ def near_duplicates(
         if not more.isEmpty():
             comp = cut_lineage(connected_components(links.unionByName(more)))
 
-    named = classes.select("f1", "f2", "n", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    named = cut_lineage(named.select("f1", "f2", "n", F.coalesce("component", "rep").alias("component_id")))
-    out = sig.select("id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
+    named = classes.select("f1", "f2", "n", node.alias("node")).join(comp, "node", "left")
+    named = cut_lineage(named.select("f1", "f2", "n", F.coalesce("component", "node").alias("component")))
+    out = sig.select("id", "t1", "t2", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
+    smallest = F.col("component.rep") if several else F.col("component")
+    return out.select("id", "t1", "t2", "n", "f1", "f2", F.when(F.col("id").isNotNull(), F.coalesce(smallest, "id")).alias("component_id"), F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row; ``options`` are those of :func:`classed`.
+
+    Words are cut at white space, A-Z folded. Two documents are linked when
+    100 * intersection >= percent * union of their distinct shingles; a component is
+    what links reach, named by its smallest id, which is the one kept. Documents
+    without words are linked with nothing. Rows without an id are linked with
+    nothing, have no component and are kept. A document is an id with a text: rows
+    that repeat both are one, other texts of an id are documents of their own, each
+    with the component that its text is in.
+    """
+    done = classed(docs, id_col, **options)
+    return done.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` but those of documents that aren't kept, columns unchanged."""
-    gone = near_duplicates(docs, id_col, **options).where("not kept").select(F.col(id_col)).distinct()
-    return docs.join(cut_lineage(gone), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` but those of redundant documents, columns unchanged.
+
+    One document of each component stays: that of the smallest id, and of several
+    texts of it in the component the one with the smallest hash. Rows are removed by
+    id and text, so no other text of an id goes with them, and rows that repeat the
+    document that stays are kept with it.
+    """
+    done = cut_lineage(classed(docs, id_col, text, **options).where("id is not null and n > 0"))
+    stays = done.where("id = component_id").groupBy("component").agg(F.min(F.struct("id", "t1", "t2")).alias("s")).select("s.*").withColumn("stays", F.lit(True))
+    gone = done.select("id", "t1", "t2").distinct().join(stays, ["id", "t1", "t2"], "left").where("stays is null").select("id", "t1", "t2")
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), *_text_key(text))
+    return rows.join(cut_lineage(gone), ["id", "t1", "t2"], "left_anti").select("row.*")
 
 
 def op1_minhash_near_dedup(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,12 @@ PageRank, run together as one set of joins over (direction, host) and scaled so
 that a host without links keeps exactly its own share of evidence. A host's distrust
 is what walks along its own links find: the mean of its targets', damped, however
 many others link to them.
+
+Trust that arrives is a sum over all who link, distrust a mean, so neither is held
+against the other as it is. What a host's own pages say counts as it stands, and
+links speak for the share of its pages that no rule fits alone: trust that arrives
+as t by t / (1 + t), distrust as d by min(1, d). Both are shares of 0 to 1, and no
+number of links makes up for a host's own blocked pages.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ ROUNDS = 24
 BATCH = 4
 #: What may be missing of any host's rank at the end.
 TOLERANCE = 1e-4
-#: A host is blocked when its distrust exceeds its trust by more than this.
+#: A host is blocked when the share of distrust exceeds that of trust by more than this.
 THRESHOLD = 0.5
 #: Absolute and scheme-relative targets of href and src attributes, up to the host's end.
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -101,6 +107,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
     return rank.groupBy("host").agg(share(True).alias("trust"), share(False).alias("distrust"))
 
 
+def excess(trust: Column, distrust: Column, good: Column, bad: Column) -> Column:
+    """By how much distrust outweighs trust, from -1 to 1, given the ranks and the host's own shares of allowed and blocked pages."""
+    open_share = F.lit(1.0) - good - bad
+    arrived = F.greatest(trust - good, F.lit(0.0))
+    found = F.least(F.greatest(distrust - bad, F.lit(0.0)), F.lit(1.0))
+    return (bad + open_share * found) - (good + open_share * arrived / (arrived + 1))
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = THRESHOLD) -> DataFrame:
     """(row, host, path, rule, verdict, trust, distrust) for every input row, the row nested.
 
@@ -109,14 +123,15 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, thres
     """
     rows = pages.select(F.struct("*").alias("row"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules))
-    light = rows.select("host", "hit")
+    light = rows.select("host", "hit").where("host <> ''")
     share = lambda v: F.avg(F.when(F.col("hit.verdict") == v, 1.0).otherwise(0.0))
-    seeds = light.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
-    scores = propagate(host_edges(rows.select("host", F.col("row.html").alias("html"))), seeds.where("trust > 0 or distrust > 0"))
+    seeds = light.groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")).where("trust > 0 or distrust > 0")
+    ranks = propagate(host_edges(rows.select("host", F.col("row.html").alias("html"))), seeds)
+    own = seeds.select("host", F.col("trust").alias("good"), F.col("distrust").alias("bad"))
     # written once, so that a very common host is a plain skewed join that AQE can split
-    scores = cut_lineage(scores)
+    scores = cut_lineage(ranks.join(own, "host", "left").select("host", "trust", "distrust", excess(*[F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust", "good", "bad")]).alias("excess")))
     rows = rows.join(scores, "host", "left")
-    method = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > threshold, "block").otherwise("allow")
+    method = F.when(F.coalesce("excess", F.lit(0.0)) > threshold, "block").otherwise("allow")
     return rows.select(
         "row", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), method).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from millrace.llm import credentials, linededup, quality, urlgraph
 
 DOCS = "doc_id long, text string, n_words int, row string, t string"
@@ -108,6 +110,24 @@ def test_distrust_does_not_shrink_with_linking_hosts_and_converges(spark):
         assert abs(r["trust"] - exact) <= urlgraph.TOLERANCE and abs(r["distrust"] - exact) <= urlgraph.TOLERANCE
 
 
+def test_popular_hosts_can_be_blocked(spark):
+    link = lambda *hosts: "".join(f'<a href="http://{h}/x">' for h in hosts)
+    rule = (("block", "bad.com", "/b"), ("allow", "org", "/fr/"))
+    for fans in (1, 20, 200):
+        pages = [(i, f"http://fan{i}.org/fr/x", link("bad.com", "plain.com", "half.com")) for i in range(fans)]
+        pages += [(1000, "http://bad.com/b1", ""), (1001, "http://bad.com/b2", ""), (1002, "http://plain.com/x", link("bad.com")), (1003, "http://farm.com/x", link("bad.com"))]
+        pages += [(1004, "http://sub.half.com/x", link("bad.com", "bad.com", "else.com"))]
+        df = spark.createDataFrame([*pages, (1005, "http://bad.com/other", "")], "page_id long, url string, html string")
+        got = {r["row"]["page_id"]: r for r in urlgraph.judge(df, rule).collect()}
+        # two of three pages blocked: the third is judged by the host, 2/3 + 1/3 * 0 against 1/3 * t / (1 + t)
+        assert got[1005]["rule"] is None and got[1005]["verdict"] == ("block" if fans == 1 else "allow")
+        assert got[1003]["verdict"] == "block" and got[1002]["verdict"] == ("allow" if fans > 1 else got[1002]["verdict"])
+        only = urlgraph.judge(df.where("page_id <> 1005"), (("block", "bad.com", "/"), rule[1])).where("row.page_id = 1000").first()
+        assert only["trust"] > 0.2 and only["verdict"] == "block"
+    whole = spark.range(1).select(*[urlgraph.excess(*[F.lit(float(x)) for x in v]).alias(f"c{i}") for i, v in enumerate([(17, 1, 0, 1), (17, 0.9, 0, 0), (0, 0.85, 0, 0), (1, 6, 1, 0), (30, 0.7, 0, 0.7)])]).first()
+    assert whole[0] == 1.0 and abs(whole[1] - (0.9 - 17 / 18)) < 1e-12 and whole[2] == 0.85 and whole[3] == -1.0 and whole[4] > 0.4
+
+
 def test_trust_and_distrust_follow_links(spark):
     link = lambda *hosts: "".join(f'<a href="http://{h}/x">' for h in hosts)
     pages = [

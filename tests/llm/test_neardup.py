@@ -84,13 +84,20 @@ def test_repeated_rows_in_a_loosely_similar_group(spark):
     got = {r["doc_id"]: tuple(r)[1:] for r in neardup.op1_minhash_near_dedup(df).collect()}
     assert got == by_hand(rows, 3, 85)
 
-    sets = neardup.full_sets(spark.createDataFrame([(1, "a b c d"), (1, "A b c d"), (1, "x y z"), (2, "x y z")] * 3, "doc_id long, text string").repartition(4), spark.createDataFrame([(1,)], "id long"), "doc_id", "text", 3)
-    assert sorted((r["id"], r["v"], len(r["set"])) for r in sets.collect()) in ([(1, 1, 1), (1, 2, 2)], [(1, 1, 2), (1, 2, 1)])
+    rows = [(1, "a b c d"), (1, "A b c d"), (1, "x y z"), (2, "x y z")]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string").repartition(4)
+    marks = [neardup.fingerprint(next(neardup.shingle_sets(pa.array([t]), 3))) for _, t in rows]
+    wanted = spark.createDataFrame([(10, 1, *map(int, marks[0])), (20, 1, *map(int, marks[2]))], "id long, rep long, f1 long, f2 long")
+    sets = neardup.full_sets(docs, wanted, "doc_id", "text", 3)
+    assert sorted((r["id"], len(r["set"])) for r in sets.collect()) == [(10, 2), (20, 1)]
 
     pair = [base[:60], [*base[:59], "other"]]
     rest = spark.createDataFrame([(i, i, True) for i in (1, 2)], "id long, comp long, minor boolean")
-    twice = spark.createDataFrame([(i + 1, " ".join(t)) for i, t in enumerate(pair) for _ in range(2 - i)], "doc_id long, text string")
-    assert [tuple(r) for r in neardup._prefix_pairs(rest, neardup.full_sets(twice, rest.select("id"), "doc_id", "text", 3), 85).collect()] == [(1, 2)]
+    texts = [" ".join(t) for t in pair]
+    twice = spark.createDataFrame([(i + 1, t) for i, t in enumerate(texts) for _ in range(2 - i)], "doc_id long, text string")
+    marks = [neardup.fingerprint(next(neardup.shingle_sets(pa.array([t]), 3))) for t in texts]
+    wanted = spark.createDataFrame([(i + 1, i + 1, *map(int, m)) for i, m in enumerate(marks)], "id long, rep long, f1 long, f2 long")
+    assert [tuple(r) for r in neardup._prefix_pairs(rest, neardup.full_sets(twice, wanted, "doc_id", "text", 3), 85).collect()] == [(1, 2)]
 
 
 def test_odd_rows(spark):
@@ -103,6 +110,42 @@ def test_odd_rows(spark):
     assert neardup.op1_minhash_near_dedup(df.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_loses_none(spark):
+    """Rows are told apart by id and text, in the operator and in the pipeline's stage."""
+    import corpus_pipeline
+
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    near = a + " more"
+    shapes = [
+        ([(5, a), (5, b), (1, b), (7, a)], {(5, a): 5, (5, b): 1, (1, b): 1, (7, a): 5}, [(1, b), (5, a)]),
+        ([(5, a), (5, b), (7, a), (7, b)], {(5, a): 5, (5, b): 5, (7, a): 5, (7, b): 5}, [(5, a), (5, b)]),
+        ([(5, a), (5, a), (6, a), (5, b)], {(5, a): 5, (6, a): 5, (5, b): 5}, [(5, a), (5, a), (5, b)]),
+        ([(5, ""), (5, a), (3, a), (None, a), (5, None)], {(5, ""): 5, (5, a): 3, (3, a): 3, (None, a): None, (5, None): 5}, [(None, a), (3, a), (5, ""), (5, None)]),
+    ]
+    for rows, want, left in shapes:
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        components = neardup.classed(df, shingle=3, percent=85).select("id", "component_id").collect()
+        assert sorted(map(repr, map(tuple, components))) == sorted(repr((k[0], want[k])) for k in rows)
+        for got in (neardup.drop_near_duplicates(df), corpus_pipeline.near_dedup(spark, df, "")):
+            assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, left))
+    # many texts under few ids, at all distances: as many components as the texts have, none lost
+    rng = random.Random(9)
+    base = [rng.choice(WORDS) + str(i) for i in range(120)]
+    texts = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 8)):
+            copy[rng.randrange(len(copy))] = f"new{i}{rng.random()}"
+        texts.append(" ".join(copy))
+    apart = by_hand(list(enumerate(texts)), 3, 85)
+    df = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    left = [r["text"] for r in neardup.drop_near_duplicates(df, shingle=3, percent=85).collect()]
+    assert sorted(apart[texts.index(t)][1] for t in left) == sorted({c for _, c, _ in apart.values()})
+    # two near copies under one id: one of them stays, and of the copies under other ids none
+    df = spark.createDataFrame([(5, a), (5, near), (6, near)], "doc_id long, text string")
+    assert [r["doc_id"] for r in neardup.drop_near_duplicates(df).collect()] == [5]
+
+
 def test_ids_beyond_the_bitmap_are_joined(spark, monkeypatch):
     assert [neardup.id_bits(n) for n in (0, 1, 10**4, 10**7, 10**8)] == [1 << 16, 1 << 16, 1 << 17, 1 << 27, 0]
     rows = corpus(3, groups=6)
