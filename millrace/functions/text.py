@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterable, Mapping
 from functools import lru_cache
@@ -100,6 +101,20 @@ def plain_text(markup: Column) -> Column:
     return collapse(out)
 
 
+def label_regions(running: Column, labels: Iterable[str]) -> Column:
+    """array<struct<label,value>>: running text cut at labels, each value up to the next one.
+
+    Labels are taken as they stand, upper or lower case alike, at the start of a word
+    and before a colon or the end of one; of labels that begin alike the longest
+    counts. They may come in any order, repeat or be missing. Text before the first
+    one belongs to none.
+    """
+    words = "|".join(re.escape(x) for x in sorted(set(labels), key=lambda x: (-len(x), x)))
+    mark = rf"(?iu)(?<![\p{{L}}\p{{N}}])({words})(?![\p{{L}}\p{{N}}])\s*:?"
+    found, gaps = F.regexp_extract_all(running, F.lit(mark), F.lit(1)), F.split(running, mark)
+    return F.transform(found, lambda x, i: F.struct(F.lower(x).alias("label"), collapse(F.get(gaps, i + 1)).alias("value")))
+
+
 def quote_form(text: Column, compatible: bool = True) -> Column:
     """The form in which quotes and pages are compared: typography unified, white space collapsed."""
     out = nfkc(text) if compatible else text

@@ -211,28 +211,24 @@ def recall(reference: DataFrame, run: DataFrame, key: str) -> DataFrame:
     return both.agg(common.alias("common"), F.count_if(F.col("_f").isNull()).alias("missed"), F.count_if(F.col("_r").isNull()).alias("new"), F.round(F.try_divide(common, n), 3).alias("recall"))
 
 
-def triples(tokens: Column) -> Column:
-    """Hashes of all sets of three different tokens; a sentence has a few hundred at most."""
-    a, n = F.array_sort(F.array_distinct(tokens)), F.size(tokens)
-
-    def from_second(x: Column, rest: Column) -> Column:
-        third = lambda y, j: F.transform(F.slice(rest, j + 2, n), lambda z: F.xxhash64(x, y, z))
-        return F.flatten(F.transform(rest, third))
-
-    first = lambda s: F.flatten(F.transform(s, lambda x, i: from_second(x, F.slice(s, i + 2, n))))
-    return F.transform(F.array(a), first)[0]
-
-
-def similar_elsewhere(items: DataFrame, key: str, owner: str, tokens: str) -> DataFrame:
-    """(key, others): distinct other owners with an item that shares at least three tokens with a key's.
-
-    Two items share three tokens when they share a set of three. An item meets the
-    owners that have one of its sets, never their items, so a set that very many
-    items have costs each of them a row an owner and no more.
+def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens: str, least: int = 3) -> DataFrame:
+    """(key, others): distinct other owners with an item that shares at least ``least`` tokens with a key's.
+
+    A prefix join, exact: with tokens ordered by rarity, the same order for all, two
+    sets of a and b tokens that share ``least`` share one of the first a - least + 1
+    and b - least + 1. So a set meets others by those alone, never by its most
+    frequent ones, and what meets is counted in full. Items of one owner with the
+    same tokens are one set. Sets of frequent tokens only meet many; those joins are
+    plain ones on a token, which AQE splits.
     """
-    classed = items.select(key, owner, F.array_sort(F.array_distinct(tokens)).alias("_a"))
-    # items of one owner with the same tokens are one class: a repeated sentence is taken apart once
-    sets = classed.select(owner, "_a").distinct().select(owner, "_a", F.explode(triples(F.col("_a"))).alias("_t"))
-    owners = sets.select("_t", F.col(owner).alias("_o")).distinct()
-    found = sets.join(owners, "_t").where(F.col(owner) != F.col("_o")).groupBy(owner, "_a").agg(F.count_distinct("_o").alias("others"))
-    return classed.join(found, [owner, "_a"]).select(key, "others")
+    keys = [key] if isinstance(key, str) else key
+    classed = items.select(*keys, owner, F.array_sort(F.array_distinct(tokens)).alias("_a")).where(F.size("_a") >= least)
+    name = [F.xxhash64(owner, "_a").alias("_x"), F.xxhash64(F.lit(7), F.col(owner), F.col("_a")).alias("_y")]
+    held = classed.select(owner, "_a").distinct().select(*name, owner, F.explode("_a").alias("_t"))
+    ordered = held.join(held.groupBy("_t").agg(F.count("*").alias("_n")), "_t").groupBy("_x", "_y", owner).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_t"))), lambda p: p["_t"]).alias("_o"))
+    prefix = ordered.select("_x", "_y", owner, "_o", F.explode(F.slice("_o", 1, F.size("_o") - least + 1)).alias("_t"))
+    other = prefix.select("_t", F.col(owner).alias("_other"), F.col("_o").alias("_theirs"))
+    # a set is named by its own hash only, and of another one just the owner comes out
+    met = prefix.join(other, "_t").where((F.col(owner) != F.col("_other")) & (F.size(F.array_intersect("_o", "_theirs")) >= least)).select("_x", "_y", "_other").distinct()
+    found = met.groupBy("_x", "_y").agg(F.count("*").alias("others"))
+    return classed.select(*keys, *name).join(found, ["_x", "_y"]).select(*keys, "others")

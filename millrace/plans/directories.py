@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.registry import query
 from millrace.session import table
-from millrace.sources import directories, events
+from millrace.sources import associations, directories, elements, events
 
 FREE = ("gmail.com", "hotmail.com", "outlook.com", "yahoo.com")
 
@@ -203,3 +203,73 @@ def event_participants(spark, sf_dir):
         events.expo_participants(wall(expo, "i", "<h1>2026 IIEX Partners</h1>"), {"i": ("IIeX Europe", "Netherlands")}),
         events.forum_participants(wall(forum, "m", "<h2>Our Past Sponsors</h2>"), {"m": ("MRMW Europe", "Germany")}),
     ])
+
+
+_BLOCKS = ("nav", "article", "footer")
+_SHOWN = r"regexp_replace(html, '(?s)<script>.*?</script>|<style>.*?</style>|<!--.*?-->', '', 'g')"
+_BLOCK = "regexp_extract(h, '(?s)<{0}>(.*?)</{0}>', 1)"
+_TEXT = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))".replace('\\"', '"')
+
+
+@query("WITH p AS (SELECT page_id, " + _SHOWN + " AS h FROM pages) " + " UNION ALL ".join(
+    f"SELECT page_id, '{b}' AS block, (len(regexp_extract_all({_BLOCK.format(b)}, '<a[ >]')))::BIGINT AS n_links, (len(regexp_extract_all({_BLOCK.format(b)}, '<p>')))::BIGINT AS n_paragraphs, sha256({_TEXT.format(_BLOCK.format(b))}) AS said_sha256 FROM p" for b in _BLOCKS))
+def page_blocks(spark, sf_dir):
+    """What lies inside each block of every page: links, paragraphs, closed or not, and the text."""
+    pages = elements.with_elements(table(spark, sf_dir, "pages"))
+    e = F.col("_e")
+    rows = pages.select("page_id", "html", "_e", F.explode(F.array(*[F.lit(b) for b in _BLOCKS])).alias("block"))
+    rows = rows.withColumn("_b", F.try_element_at(F.filter(e, lambda x: x["tag"] == F.col("block")), F.lit(1))).withColumn("_in", elements.within(e, F.col("_b")))
+    count = lambda tag: F.size(elements.of(F.col("_in"), tag)).cast("long")
+    return rows.select("page_id", "block", count("a").alias("n_links"), count("p").alias("n_paragraphs"), F.sha2(elements.said(F.col("html"), F.col("_b")), 256).alias("said_sha256"))
+
+
+_GERMAN = (
+    "<div class='block-member-title'><div><h1>{n}</h1></div></div><ul class='contact'>{head}<li class='contact__address'>{own}Lange Straße {k}<br>{zip} Köln</li><li><a href='tel:49{k}'>{phone}</a><a href='{mail}'>{label}</a></li>"
+    "<li><div><a href='https://www.adm-ev.de/'>adm</a></div><a href='https://c{k}.de/'>web</a></li></ul><div class='block-member-profile'><h2>Profil</h2><div><p>{t}</div></div>"
+    "<div class='block-member-facts'><div class='wrap'><div class='facts__item'><p class='facts__description'>Gründungsjahr:<p class='facts__text'>{year}</div></div></div>"
+    "<div class='block-member-attributes'><div class='attributes__column'><h3>{column}</h3><ul><li>{s}<li>{s}<li>Online</ul></div></div><footer><a href='mailto:zz@foot.de'>f</a><ul><li class='contact__address'>9 Foot</ul></footer>"
+)
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_name AS n, c_mktsegment AS s, c_nationkey AS g, CASE WHEN c_custkey % 4 = 0 THEN c_name || ' & ' || c_mktsegment ELSE c_mktsegment END AS t FROM customer)
+SELECT 'https://x/' || k AS url, CASE WHEN k % 5 = 0 THEN CASE WHEN k % 6 = 0 THEN 'Customer Holding' ELSE '' END ELSE n END AS nome, 'Lange Straße ' || k || ', ' || (10000 + k % 80000) || ' Köln' AS endereco, (10000 + k % 80000)::VARCHAR AS cep, 'Köln' AS cidade,
+CASE WHEN k % 2 = 0 THEN '+49 (' || g || ')' ELSE '49' || k END AS telefone, CASE k % 3 WHEN 0 THEN 'm' || k || '@c.de' WHEN 1 THEN 'l' || k || '@c.de' ELSE 'h' || k || '@c.de' END AS email, 'https://c' || k || '.de/' AS site, t AS descricao,
+CASE WHEN k % 7 = 0 THEN '' ELSE (1950 + g)::VARCHAR END AS ano_fundacao, '' AS direcao, '' AS associacoes, '' AS funcionarios, CASE WHEN k % 2 = 1 THEN s || ' | Online' ELSE '' END AS unidades, CASE WHEN k % 2 = 0 THEN s || ' | Online' ELSE '' END AS metodos, '' AS setores, '' AS temas,
+CASE WHEN k % 5 = 0 AND k % 6 > 0 THEN 'no name' ELSE '' END AS erro FROM c""")
+def german_directory(spark, sf_dir):
+    """Contact lists, facts and columns, each inside its block; addresses behind three forms of link, unclosed items, a footer with a list of its own."""
+    k = F.col("c_custkey")
+    text_of = lambda letter: F.concat(F.lit(letter), k.cast("string"), F.lit("@c.de"))
+    mail = F.when(k % 3 == 0, F.concat(F.lit("mailto:"), text_of("m"), F.lit("?subject=x"))).when(k % 3 == 1, "/contact").otherwise(F.concat(F.lit("http://"), text_of("h"), F.lit("/")))
+    return associations.german_institutes(_pages(
+        spark, sf_dir, _GERMAN, mail=mail, label=F.when(k % 3 == 1, text_of("l")).otherwise("write"), head=_when(2, 0, "<li><ul><li>inner</ul>"), own=_when(6, 0, "Customer Holding<br>"),
+        n=F.when(k % 5 == 0, "").otherwise(F.col("c_name")), phone=F.when(k % 2 == 0, F.concat(F.lit("+49 ("), F.col("c_nationkey").cast("string"), F.lit(")"))).otherwise(""), zip=(k % 80000 + 10000),
+        year=F.when(k % 7 == 0, "").otherwise((F.col("c_nationkey") + 1950).cast("string")), column=_when(2, 0, "Methoden", "Standorte"), t=F.when(k % 4 == 0, F.concat(F.col("c_name"), F.lit(" &amp; "), F.col("c_mktsegment"))).otherwise(F.col("c_mktsegment")),
+    ))
+
+
+_ITALIAN = (
+    "<article><div><h1 class='hideDesktopTitle'>{n}</h1><h1 class='hideMobileTitle'>{n} S.r.l.</h1></div></article><div class='info-istituto'><div><p><strong>Attestato n.</strong> {k}</p></div>"
+    "<p>Via Roma {k} - 20121 Milano<br>{labels}</p><p><strong>Altre sedi</strong></p><p>Via {s}</p><p>Via {s}</p><p>Corso {k} Fondata nel {year}</p><p>Capitale Sociale € {k}.000 i.v.</p>{site}</div>"
+    "<div class='desc-istituti'><p>About {s}<div><h2>Gruppo dirigente</h2><p>Anna<br>Bea</div><h3>Specializzazioni</h3><ul><li>{s}<li>Panel</ul></div><p><strong>Tel:</strong> 000</p>"
+)
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS n, c_mktsegment AS s, c_nationkey AS g FROM customer)
+SELECT 'https://x/' || k AS url, CASE WHEN n = '' THEN 'S.r.l.' ELSE n END AS nome, trim(n || ' S.r.l.') AS razao_social, 'Via Roma ' || k || ' - 20121 Milano' AS endereco, '20121' AS cap, 'Milano' AS cidade,
+CASE k % 3 WHEN 0 THEN '02 ' || k WHEN 1 THEN '' ELSE '06 ' || k END AS telefone, CASE WHEN k % 3 = 2 THEN '' ELSE '02 ' || g END AS fax, CASE k % 3 WHEN 0 THEN 'c' || k || '@c.it' WHEN 1 THEN 'l' || k || '@c.it' ELSE '' END AS email,
+CASE WHEN k % 4 = 0 THEN ['office@c.it'] ELSE [] END::VARCHAR[] AS emails_extras, CASE WHEN k % 2 = 0 THEN 'https://c' || k || '.it' ELSE 'https://www.c' || k || '.it' END AS site, 'Via ' || s || ' | Corso ' || k AS outras_sedes, k::VARCHAR AS attestato, (1950 + g)::VARCHAR AS fundacao,
+'€ ' || k || '.000' AS capital_social, 'About ' || s AS descricao, 'Anna | Bea' AS gruppo_dirigente, s || ' | Panel' AS especializacoes, '' AS erro FROM c""")
+def italian_directory(spark, sf_dir):
+    """Labels in any order, repeated and missing, values next to them, headings nested in the text they cut."""
+    k = F.col("c_custkey")
+    s = k.cast("string")
+    strong = lambda label, value: F.concat(F.lit(f"<strong>{label}</strong> "), value, F.lit("<br>"))
+    fax = strong("Fax:", F.concat(F.lit("02 "), F.col("c_nationkey").cast("string")))
+    one = F.concat(strong("Telefono:", F.concat(F.lit("02 "), s)), fax, strong("Tel:", F.lit("99")), strong("E-mail:", F.concat(F.lit("c"), s, F.lit("@c.it"))))
+    two = F.concat(strong("Mail:", F.concat(F.lit("<a href='mailto:l"), s, F.lit("@c.it?x'>write</a>"))), fax)
+    three = F.concat(strong("Email:", F.lit("info@assirm.it")), strong("Tel:", F.concat(F.lit("06 "), s)))
+    site = F.when(k % 2 == 0, F.concat(F.lit("<a href='https://www.assirm.it/n'>n</a><div><a href='https://c"), s, F.lit(".it'>s</a></div>"))).otherwise(F.concat(F.lit("<p>www.c"), s, F.lit(".it </p>")))
+    site = F.concat(site, _when(4, 0, "<p>Office: Office@c.it, info@assirm.it</p>"))
+    labels = F.when(k % 3 == 0, one).when(k % 3 == 1, two).otherwise(three)
+    return associations.italian_associates(_pages(spark, sf_dir, _ITALIAN, n=F.when(k % 5 == 0, "").otherwise(F.col("c_name")), labels=labels, site=site, year=F.col("c_nationkey") + 1950))

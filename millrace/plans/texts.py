@@ -98,15 +98,18 @@ def chunk_filter(spark, sf_dir):
     return blocks.select("doc_id", "n", block.alias("b")).select("doc_id", F.col("n").cast("long").alias("block"), count.cast("long").alias("hits")).where("hits >= 2")
 
 
-@query(r"""WITH t AS (SELECT DISTINCT item_id, left(w, 6) AS stem FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{5,}')) AS w FROM benchmark)),
-s AS (SELECT a.item_id, b.item_id AS other FROM t a JOIN t b ON a.stem = b.stem AND a.item_id <> b.item_id GROUP BY ALL HAVING count(*) >= 3)
-SELECT item_id, count(DISTINCT other) AS others FROM s GROUP BY item_id""")
+@query(r"""WITH d AS (SELECT doc_id, source, list_filter(list_transform(string_split(regexp_replace(replace(text, chr(10), chr(1)), '([.!?])\s+([A-Z0-9"''(])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: trim(s)), lambda s: length(s) >= 25) AS ss FROM documents),
+s AS (SELECT doc_id, source, unnest(ss) AS s, generate_subscripts(ss, 1) - 1 AS sentence FROM d),
+t AS (SELECT DISTINCT doc_id, sentence, source, left(w, 6) AS stem FROM (SELECT doc_id, sentence, source, unnest(regexp_extract_all(lower(s), '[\p{L}\p{N}_]{5,}')) AS w FROM s)),
+m AS (SELECT a.doc_id, a.sentence, b.source AS other FROM t a JOIN t b ON a.stem = b.stem AND a.source <> b.source GROUP BY a.doc_id, a.sentence, b.doc_id, b.sentence, b.source HAVING count(*) >= 3)
+SELECT doc_id, sentence::BIGINT AS sentence, count(DISTINCT other) AS others FROM m GROUP BY doc_id, sentence""")
 def stem_similarity(spark, sf_dir):
-    """In how many other items a finding shares three stems with one; every item is a finding, whole."""
+    """In how many other sources a sentence shares three stems with one; all sentences of whole texts, each a finding of its document's source."""
     from millrace.operators.link import similar_elsewhere
 
-    found = table(spark, sf_dir, "benchmark").select("item_id", F.col("item_id").alias("owner"), text.stems(F.col("text"), generic=[]).alias("stems"))
-    return similar_elsewhere(found, "item_id", "owner", "stems")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(text.sentences(F.col("text"))).alias("sentence", "s"))
+    found = docs.select("doc_id", F.col("sentence").cast("long").alias("sentence"), "source", text.stems(F.col("s"), generic=[]).alias("stems"))
+    return similar_elsewhere(found, ["doc_id", "sentence"], "source", "stems")
 
 
 @query(r"""WITH p AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS q FROM benchmark),

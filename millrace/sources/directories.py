@@ -1,7 +1,8 @@
 """Member directories, logo walls and registers: landed pages to one typed record an entry.
 
-A reader is one projection over (url, html), all of it JVM functions, so it stays
-in the scan's stage. What a site fixes (labels, own domains) stands in tables at
+A reader is one projection over (url, html) of JVM functions, so it stays in the
+scan's stage; those that must know what lies inside what read the page's elements
+first (``sources.elements``). What a site fixes (labels, own domains) stands in tables at
 the top. A null body counts as empty; a page without a name keeps its row with
 ``erro``, as a run has to see it. Links are judged by their host, not by any part of the URL.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import contact, text, urls
 from millrace.operators.filters import site_confirmed
+from millrace.sources.elements import content, cut, links_in, of, one, said, with_elements, within
 
 #: Networks that are nobody's own site, states of Brazil, labels and own domains of the sources.
 SOCIAL = ("linkedin.com", "facebook.com", "twitter.com", "x.com", "youtube.com", "instagram.com")
@@ -57,11 +59,6 @@ def inner(markup: Column, tag: str, cls: str | None = None) -> Column:
     return F.regexp_extract(markup, rf"(?is){start}(.*?)</{tag}\s*>", 1)
 
 
-def after(markup: Column, tag: str, cls: str) -> Column:
-    """All that follows the start of the first element of a class; empty without one."""
-    return F.regexp_extract(markup, rf"(?is){opening(tag, cls)}(.*)", 1)
-
-
 def attribute(tag: Column, name: str) -> Column:
     """The quoted value of an attribute of one tag, references to ampersands decoded."""
     return F.replace(F.regexp_extract(tag, rf"""(?is)(?<![\w-]){name}\s*=\s*["']([^"'>]*)["']""", 1), F.lit("&amp;"), F.lit("&"))
@@ -77,9 +74,9 @@ def meta(markup: Column, kind: str, name: str) -> Column:
 
 
 def links(markup: Column) -> Column:
-    """array<struct<href,label>> of all links with an address, in the page's order."""
-    found = F.regexp_extract_all(markup, F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>"), F.lit(0))
-    pair = F.transform(found, lambda a: F.named_struct(F.lit("href"), F.trim(attribute(F.regexp_extract(a, "(?is)^<a[^>]*>", 0), "href")), F.lit("label"), text.plain_text(a)))
+    """array<struct<href,label>> of all links with an address, in the page's order; a link ends at its end tag or where the next begins."""
+    parts = F.filter(F.split(markup, r"(?i)<a(?=[\s/>])"), lambda p, i: (i > 0) & F.contains(p, F.lit(">")))
+    pair = F.transform(parts, lambda p: F.named_struct(F.lit("href"), F.trim(attribute(F.regexp_extract(p, "^[^>]*>", 0), "href")), F.lit("label"), text.plain_text(F.concat(F.lit("<a"), F.split(p, r"(?i)</a\s*>", 2)[0]))))
     return F.filter(pair, lambda x: x["href"] != "")
 
 
@@ -101,7 +98,7 @@ def mailed(markup: Column, own: Iterable[str] = ()) -> Column:
 
 def lines(markup: Column) -> Column:
     """Visible lines: every tag ends one, scripts and styles are none, empty ones are out."""
-    seen = F.regexp_replace(markup, r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", "\n")
+    seen = F.regexp_replace(markup, r"(?is)<(script|style|noscript)\b(?:(?!</\1).)*+(?:</\1[^>]*>|\z)|<!--(?:(?!-->).)*+(?:-->|\z)", "\n")
     parts = F.transform(F.split(F.regexp_replace(seen, "<[^>]*>", "\n"), "\n"), text.plain_text)
     return F.filter(parts, lambda x: x != "")
 
@@ -125,28 +122,30 @@ def first_of(*values: Column) -> Column:
 
 
 def brazilian_members(pages: DataFrame) -> DataFrame:
-    """Members whose page lists ``<b>label:</b> value`` paragraphs; addresses hidden by XOR are shown, the state ends the address.
+    """Members whose text block lists ``<b>label:</b> value`` paragraphs; addresses hidden by XOR are shown, the state ends the address.
 
-    A label that occurs twice counts by its last paragraph; ``n/a`` and dashes are empty.
+    Only what lies inside the block counts. A label that occurs twice counts by its last paragraph; ``n/a`` and dashes are empty.
     """
-    block = after(body(), "div", "area-texto")
+    h, e = F.col("_h"), F.col("_e")
     stated = lambda c: F.when(F.lower(c).isin("n/a", "na", "-", "--"), "").otherwise(c)
-    paras = F.regexp_extract_all(F.col("_b"), F.lit(r"(?is)<p\b[^>]*>.*?</p\s*>"), F.lit(0))
-    keyed = F.transform(paras, lambda p: F.struct(F.lower(F.regexp_replace(text.plain_text(inner(p, "b")), ":+$", "")).alias("k"), p.alias("p")))
+    rows = with_elements(pages.select("url", body().alias("_h")), "_h").withColumn("_b", one(e, "div", "area-texto")).withColumn("_in", within(e, F.col("_b")))
+    label = lambda p: F.lower(F.regexp_replace(said(h, one(within(e, p), "b")), ":+$", ""))
+    rows = rows.withColumn("_p", F.transform(of(F.col("_in"), "p"), lambda p: F.struct(label(p).alias("k"), p.alias("p"))))
+    held = lambda labels: F.try_element_at(F.filter(F.col("_p"), lambda x: x["k"].isin(*labels)), F.lit(-1))["p"]
 
-    def held(labels: Iterable[str]) -> Column:
-        return F.coalesce(F.try_element_at(F.filter(F.col("_p"), lambda x: x["k"].isin(*labels)), F.lit(-1))["p"], F.lit(""))
+    def value(labels: Iterable[str]) -> Column:
+        p = held(labels)
+        b = one(within(e, p), "b")
+        return stated(text.plain_text(F.concat(cut(h, p["open"], b["start"]), F.lit(" "), cut(h, b["stop"], p["close"]))))
 
-    value = lambda labels: stated(text.plain_text(F.regexp_replace(held(labels), r"(?is)<b\b[^>]*>.*?</b\s*>", " ")))
     mail, site = held(("e-mail", "email")), held(("site",))
-    hidden = attribute(F.regexp_extract(mail, r"(?is)<a\b[^>]*__cf_email__[^>]*>", 0), "data-cfemail")
-    to = F.filter(F.transform(links(mail), lambda x: x["href"]), lambda h: F.lower(h).startswith("mailto:"))
+    hidden = attribute(F.coalesce(one(within(e, mail), "a", "__cf_email__")["head"], F.lit("")), "data-cfemail")
+    to = F.filter(F.transform(links_in(h, within(e, mail)), lambda x: x["href"]), lambda x: F.lower(x).startswith("mailto:"))
     email = F.when(hidden != "", text.xor_hex(hidden)).otherwise(no_query(F.substr(first(to), F.lit(8))))
-    name = stated(text.plain_text(inner(F.col("_b"), "h3")))
-    rows = pages.select("url", block.alias("_b")).withColumn("_p", keyed)
+    site_links = links_in(h, within(e, site))
     rows = rows.select(
-        "url", name.alias("nome"), email.alias("email"), F.when(F.size(links(site)) > 0, stated(links(site)[0]["label"])).otherwise(stated(text.plain_text(site))).alias("site"),
-        F.lit("Brazil").alias("pais"), *[value(v).alias(k) for k, v in BRAZIL_LABELS.items()], F.when(F.col("_b") == "", "no text block").otherwise("").alias("erro"),
+        "url", stated(said(h, one(F.col("_in"), "h3"))).alias("nome"), email.alias("email"), F.when(F.size(site_links) > 0, stated(site_links[0]["label"])).otherwise(stated(said(h, site))).alias("site"),
+        F.lit("Brazil").alias("pais"), *[value(v).alias(k) for k, v in BRAZIL_LABELS.items()], F.when(F.col("_b").isNull(), "no text block").otherwise("").alias("erro"),
     )
     return rows.withColumn("uf", F.regexp_extract("endereco", rf"\b({STATES})\s*$", 1))
 
@@ -204,7 +203,8 @@ def spanish_members(pages: DataFrame) -> DataFrame:
 def british_suppliers(pages: DataFrame) -> DataFrame:
     """Suppliers by their own address block, since the page's microdata are the publisher's; further addresses fill what it lacks."""
     h = F.col("_h")
-    rows = pages.select("url", body().alias("_h")).withColumn("_a", inner(h, "p", "address_block")).withColumn("_x", F.regexp_extract(h, r"""(?is)<div\b[^>]*id\s*=\s*["']rbg_addresses["'][^>]*>(.*?)</div\s*>""", 1))
+    rows = with_elements(pages.select("url", body().alias("_h")), "_h")
+    rows = rows.withColumn("_a", content(h, one(F.col("_e"), "p", "address_block"))).withColumn("_x", content(h, one(F.col("_e"), "div", id_="rbg_addresses")))
     phone = lambda ls: first(F.filter(F.transform(ls, lambda x: text.collapse(F.regexp_extract(x, r"(?i)^Tel:\s*(.+)$", 1))), lambda x: x != ""))
     own, more = broken_lines(F.col("_a")), broken_lines(F.col("_x"))
     rows = rows.withColumn("_l", F.filter(own, lambda x: ~x.rlike(r"(?i)^(Tel:|email)") & ~x.rlike(r"^[\d\s\-.,;:|]{1,4}$")))
@@ -247,9 +247,11 @@ def peruvian_members(pages: DataFrame) -> DataFrame:
     characters. The displayed address of a mail link wins over its target.
     """
     h = F.col("_h")
-    blocks = F.regexp_extract_all(F.col("html"), F.lit(rf"(?is){opening('div', 'elementor-widget-text-editor')}\s*{opening('div', 'elementor-widget-container')}(.*?)</div\s*>"), F.lit(1))
+    e = F.col("_e")
+    boxes = F.transform(of(e, "div", "elementor-widget-text-editor"), lambda t: F.filter(of(within(e, t), "div", "elementor-widget-container"), lambda c: c["depth"] == t["depth"] + 1))
+    blocks = F.transform(F.flatten(boxes), lambda c: content(F.col("html"), c))
     useful = F.filter(blocks, lambda b: (F.char_length(text.plain_text(b)) >= 15) & ~F.lower(text.plain_text(b)).rlike("|".join(PERU_NOISE)))
-    rows = pages.withColumn("html", body()).select("url", first(useful).alias("_h")).withColumn("_l", broken_lines(h))
+    rows = with_elements(pages.select("url", body().alias("html"))).select("url", first(useful).alias("_h")).withColumn("_l", broken_lines(h))
     mail, site = r"[A-Za-z0-9._%+-]+@\s?[A-Za-z0-9.-]+\.[A-Za-z]{2,}", r"(?i)^(https?://|www\.)\S+"
     phone = r"(?iu)^(t[eé]l[eé]fonos?|tel[eé]fs?|telf|central telef[oó]nica|whatsapp|fax|m[oó]vil|celular|cel)\b|^[+(]?\d[\d\s()+./\-]{6,}$"
     glued = r"(?iu)[,;.\s]*(?:t[eé]l[eé]fonos?|telf|tel)\.?\s*:?\s*(\d[\d\s()+./\-]{5,})$"
