@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -211,6 +214,10 @@ def recall(reference: DataFrame, run: DataFrame, key: str) -> DataFrame:
     return both.agg(common.alias("common"), F.count_if(F.col("_f").isNull()).alias("missed"), F.count_if(F.col("_r").isNull()).alias("new"), F.round(F.try_divide(common, n), 3).alias("recall"))
 
 
+#: 64-bit words of the bitmap that goes with a set of tokens.
+WORDS = 4
+
+
 def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens: str, least: int = 3) -> DataFrame:
     """(key, others): distinct other owners with an item that shares at least ``least`` tokens with a key's.
 
@@ -226,9 +233,16 @@ def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens
     name = [F.xxhash64(owner, "_a").alias("_x"), F.xxhash64(F.lit(7), F.col(owner), F.col("_a")).alias("_y")]
     held = classed.select(owner, "_a").distinct().select(*name, owner, F.explode("_a").alias("_t"))
     ordered = held.join(held.groupBy("_t").agg(F.count("*").alias("_n")), "_t").groupBy("_x", "_y", owner).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_t"))), lambda p: p["_t"]).alias("_o"))
-    prefix = ordered.select("_x", "_y", owner, "_o", F.explode(F.slice("_o", 1, F.size("_o") - least + 1)).alias("_t"))
-    other = prefix.select("_t", F.col(owner).alias("_other"), F.col("_o").alias("_theirs"))
+    # a bitmap of the tokens: where one side's tokens have bits of their own, common bits bound common tokens
+    bit = F.transform("_o", lambda t: F.pmod(F.xxhash64(t), F.lit(64 * WORDS)))
+    word = lambda k: F.aggregate(F.filter(bit, lambda x: F.floor(x / 64) == k), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (x % 64).cast("int"))))
+    words = [word(k).alias(f"_w{k}") for k in range(WORDS)]
+    marked = ordered.select("_x", "_y", owner, "_o", *words, (F.size(F.array_distinct(bit)) == F.size("_o")).alias("_own"))
+    prefix = marked.withColumn("_t", F.explode(F.slice("_o", 1, F.size("_o") - least + 1)))
+    other = prefix.select("_t", *[F.col(c).alias(f"_2{c}") for c in (owner, "_o", "_own", *(f"_w{k}" for k in range(WORDS)))])
+    common = reduce(add, [F.bit_count(F.col(f"_w{k}").bitwiseAND(F.col(f"_2_w{k}"))) for k in range(WORDS)])
+    possible = (F.col(owner) != F.col(f"_2{owner}")) & ((common >= least) | ~(F.col("_own") | F.col("_2_own")))
     # a set is named by its own hash only, and of another one just the owner comes out
-    met = prefix.join(other, "_t").where((F.col(owner) != F.col("_other")) & (F.size(F.array_intersect("_o", "_theirs")) >= least)).select("_x", "_y", "_other").distinct()
+    met = prefix.join(other, "_t").where(possible & (F.size(F.array_intersect("_o", "_2_o")) >= least)).select("_x", "_y", F.col(f"_2{owner}").alias("_other")).distinct()
     found = met.groupBy("_x", "_y").agg(F.count("*").alias("others"))
     return classed.select(*keys, *name).join(found, ["_x", "_y"]).select(*keys, "others")
