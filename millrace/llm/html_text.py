@@ -287,18 +287,25 @@ def main_text(source: str | None) -> str:
 
 
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
-    """The columns ``keep`` with ``text``, the page's main text, for every row."""
+    """The columns ``keep`` with ``text``, the page's main text, for every row; a kept column of that name gives way to it."""
     ship_package(pages.sparkSession)
-    rows = pages.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(html_col).alias("h"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{html_col}`").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             text = [main_text(v.as_py()) for v in batch.column("h")]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(text, pa.string())], names=["row", "text"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])).select("row.*", "text")
+    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in keep if c != "text"], "text")
 
 
 def op6_html_extraction(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every page."""
+    """(page_id, url, text, n_chars) of every page.
+
+    A line break (``br``) ends a block as a paragraph's end does, so what follows it
+    is a line of its own. Null and empty pages, and those without text, have an empty
+    text; repeated rows come out once each; other columns are ignored; an empty table
+    gives no rows.
+    """
     return extract(pages, ["page_id", "url"]).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -224,10 +224,10 @@ def fit(train: DataFrame, dimensions: int = DIMENSIONS, max_sample: int = MAX_SA
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` with lang_pred, score and rejected, for every row."""
+    """The columns ``keep`` with lang_pred, score and rejected, for every row; kept columns of those names give way to them."""
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(text).alias("t"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -240,7 +240,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
             )
 
     kinds = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *kinds.fields])).select("row.*", "lang_pred", "score", "rejected")
+    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], *kinds.fields]))
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in keep if c not in kinds.names], *kinds.names)
 
 
 def op9_language_id(docs: DataFrame) -> DataFrame:

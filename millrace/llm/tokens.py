@@ -27,7 +27,7 @@ from millrace.session import ship_package
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Runs of white space from this size on are cut out before the pattern sees them: its look-ahead backtracks over them.
 #: Fixed value: the characters are those that the pattern takes for white space.
-LONG_WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+LONG_WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{64,}")
 #: A token that crosses a boundary belongs to the section of its first byte, of its
 #: last byte, or of most of its bytes (the first one in a tie).
 RULES = ("first", "last", "most")

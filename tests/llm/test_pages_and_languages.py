@@ -186,3 +186,13 @@ def test_extraction_of_whole_tables(spark):
         blocks = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br)>", "\0", article)).split("\0")
         text = "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
         assert got[r["page_id"]] == text, r["page_id"]
+
+
+def test_kept_columns_with_dots_and_the_names_of_results(spark):
+    pages = spark.createDataFrame([(1, "old", "x", "<p>Some text here.<br>and more</p>")], "`a.b` long, text string, score string, html string")
+    got = html_text.extract(pages, ["a.b", "text", "score"])
+    assert got.columns == ["a.b", "score", "text"] and tuple(got.first()) == (1, "x", "Some text here.\nand more")
+    docs = spark.createDataFrame([(i, "the cat and the dog and the bird" if i % 2 else "le chat et le chien et la vache", "en" if i % 2 else "fr", 5.0) for i in range(20)], "`a.b` long, text string, lang string, score double")
+    model = language.fit(docs.select(docs["`a.b`"].alias("key"), "text", "lang"))
+    done = language.predict(docs, model, ["a.b", "score", "lang"])
+    assert done.columns == ["a.b", "lang", "lang_pred", "score", "rejected"] and all(r["lang"] == r["lang_pred"] and r["score"] <= 1 for r in done.collect())

@@ -19,12 +19,28 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def line_short(line):
+    w = words(line)
+    return 1 <= len("".join(w)) <= 40 and len(w) <= 3 and not line.rstrip(WHITE).endswith(tuple(quality.ENDS))
+
+
+def in_menu(lines, i):
+    """Whether line i stands in a run of five short lines or more."""
+    a = b = i
+    while a > 0 and line_short(lines[a - 1]):
+        a -= 1
+    while b + 1 < len(lines) and line_short(lines[b + 1]):
+        b += 1
+    return line_short(lines[i]) and b - a + 1 >= 5
+
+
 def line_bad(line):
     size, n = len("".join(words(line))), max(10, len(words(line)))
     count = lambda p: len(re.findall(p, line))
     return (
         sum(line.count(c) for c in quality.SEPARATORS) * 5 >= n or count(r"[#*$%&|<>{}\\^~=_]") * 100 > size * 10 or line.count("!!") * 5 >= n
         or sum(c.isalpha() for c in line) * 100 < size * 40 or any(p in line.lower() for p in quality.BOILERPLATE)
+        or line.rstrip(WHITE).endswith(("...", "…")) or (len(words(line)) >= 12 and not any(c in line for c in quality.SENTENCE))
     )
 
 
@@ -36,7 +52,7 @@ def quality_by_hand(docs, _):
             where[tuple(w[i : i + 5])].append(i)
         repeated = {p for v in where.values() if len(v) > 1 for i in v for p in range(i, i + 5)}
         lines = (d["text"] or "").split("\n")
-        lost = sum(len("".join(words(x))) for x in lines if line_bad(x))
+        lost = sum(len("".join(words(x))) for i, x in enumerate(lines) if line_bad(x) or in_menu(lines, i))
         if len(w) >= 10 and 100 * len(repeated) <= 20 * len(w) and lost * 2 <= sum(map(len, w)):
             out.append(d)
     return out
@@ -156,3 +172,17 @@ def test_stages_take_odd_tables(spark):
             table = stage(spark, table, SF)
             assert table.columns == df.columns
         assert corpus_pipeline.STAGES[-1][1](spark, table, SF).count() >= 0
+
+
+def test_quality_stage_rule_by_rule(spark):
+    """Each rule alone rejects a document, at its bound and not below."""
+    prose = "A plain sentence of some words that says a thing, and then says it again."
+    long = " ".join(f"word{i}" for i in range(30))
+    menu = [f"Entry {c}" for c in "abcdefghijklmnop"]
+    bad = [long, long + " and so on...", f"{prose} {prose[:-1]} …", "\n".join(menu), f"{prose} All rights reserved, {prose[:-1]}", "one | two | three | four | five | six | seven | eight | nine | ten"]
+    good = [long + ".", long.replace("word5", "word5:"), prose, "\n".join([*menu[:4], prose, *menu[4:8], "Quite another sentence ends here."]), "\n".join(f"{m}!" for m in menu)]
+    docs = [{"doc_id": i, "text": t, "n_chars": len(t)} for i, t in enumerate([*bad, *good, *(f"{prose}\n{b}" for b in bad), *(f"{prose}\n{prose.upper()}\n{g}" for g in good)])]
+    df = spark.createDataFrame([(d["doc_id"], d["text"], d["n_chars"]) for d in docs], "doc_id long, text string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, df, "").collect()}
+    assert kept == {d["doc_id"] for d in quality_by_hand(docs, "")}
+    assert not kept & set(range(len(bad))) and kept >= set(range(len(bad), len(bad) + len(good)))
