@@ -17,7 +17,9 @@ of bounded size; every two blocks are one pass.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,18 @@ SUMS_DDL = "lang string, source string, part string, item string, value long, to
 EXACT = 9_000_000_000
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for reference cycles meanwhile: tries have none, and millions of small objects to look through."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class Node:
     """A branching of a trie: what all terms below begin with, and what follows by its first byte (END where nothing does)."""
 
@@ -248,18 +262,20 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = Tries()
-        for batch in slices(batches, SLICE):
-            _count(batch, tries)
-            if tries.full:
-                yield from tries.leaves()
-                tries.clear()
-        yield from tries.leaves()
+        with uncollected():
+            for batch in slices(batches, SLICE):
+                _count(batch, tries)
+                if tries.full:
+                    yield from tries.leaves()
+                    tries.clear()
+            yield from tries.leaves()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = Tries()
-        for batch in batches:
-            tries.merge(batch)
-        yield from tries.leaves(min_docs)
+        with uncollected():
+            for batch in batches:
+                tries.merge(batch)
+            yield from tries.leaves(min_docs)
 
     parts = written(rows.mapInArrow(count, LEAF_DDL))
     tasks = max(spread(docs.sparkSession), -(-parts.count() // LEAVES))
