@@ -417,11 +417,18 @@ def json_lookup(spark, sf_dir):
     )
 
 
-@query("""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' AS has_title, NOT contains(html, 'zz-never-there') AS clean, true AS whole FROM pages""")
+@query(r"""WITH p AS (SELECT page_id, url, regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g') AS h FROM pages),
+f AS (SELECT *, trim(regexp_replace(replace(replace(replace(regexp_extract(h, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title, list_transform(regexp_extract_all(h, '<h1>([^<]*)</h1>', 1), lambda x: trim(regexp_replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS h1, regexp_extract_all(h, '<a href="([^"]*)">([^<]*)</a>', 1) AS href, regexp_extract_all(h, '<a href="([^"]*)">([^<]*)</a>', 2) AS label FROM p)
+SELECT page_id, md5(array_to_string(list_filter(list_concat([title], h1, ['about ' || page_id, 'seen at ' || url, 'https://player.example/' || page_id], list_transform(range(1, len(href) + 1), lambda i: label[i] || ' ' || href[i])), lambda x: x <> ''), chr(10))) AS quotable,
+contains(h, 'track(') AS script, contains(h, 'margin:0') AS style, contains(h, '/>') AS markup FROM f""")
 def citable_text(spark, sf_dir):
-    """The text of a page that quotes may come from: titles, and never scripts."""
-    p = markup.parse_pages(table(spark, sf_dir, "pages"), ["page_id"]).withColumn("v", markup.validation_text())
-    return p.select("page_id", F.contains("v", F.col("page.title")).alias("has_title"), (~F.contains("v", F.lit("zz-never-there"))).alias("clean"), F.contains("v", F.col("page.text")).alias("whole"))
+    """What of a page quotes may come from: title, headings, metadata, image texts, frames, links and shown text; no script, style or markup."""
+    extra = F.concat(F.lit('<meta name="description" content="about '), _text("page_id"), F.lit('"/></head>'))
+    shown = F.concat(F.lit('<article><img alt="seen at '), "url", F.lit('"/><iframe src="https://player.example/'), _text("page_id"), F.lit('"></iframe>'))
+    html = F.replace(F.replace("html", F.lit("</head>"), extra), F.lit("<article>"), shown)
+    p = markup.parse_pages(table(spark, sf_dir, "pages").select("page_id", html.alias("html")), ["page_id"]).withColumn("v", markup.validation_text())
+    before = F.left("v", F.char_length("v") - F.char_length("page.text") - 1)
+    return p.select("page_id", F.md5(before).alias("quotable"), F.contains("v", F.lit("track(")).alias("script"), F.contains("v", F.lit("margin:0")).alias("style"), F.contains("v", F.lit("/>")).alias("markup"))
 
 
 @query("""SELECT o_orderkey, o_orderdate::DATE AS day FROM orders WHERE o_orderstatus = 'F' AND o_orderdate <= TIMESTAMP '1997-06-30' AND o_orderpriority = '1-URGENT' ORDER BY o_orderdate DESC, o_orderkey LIMIT 6""")
