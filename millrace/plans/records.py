@@ -418,7 +418,7 @@ def json_lookup(spark, sf_dir):
 
 
 @query(r"""WITH p AS (SELECT page_id, url, regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g') AS h FROM pages),
-f AS (SELECT *, trim(regexp_replace(replace(replace(replace(regexp_extract(h, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title, list_transform(regexp_extract_all(h, '<h1>([^<]*)</h1>', 1), lambda x: trim(regexp_replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS h1, regexp_extract_all(h, '<a href="([^"]*)">([^<]*)</a>', 1) AS href, regexp_extract_all(h, '<a href="([^"]*)">([^<]*)</a>', 2) AS label FROM p)
+f AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(h, '<title>([^<]*)</title>', 1), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS title, list_transform(regexp_extract_all(h, '<h1>([^<]*)</h1>', 1), lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS h1, regexp_extract_all(h, '<a href="([^"]*)">([^<]*)</a>', 1) AS href, regexp_extract_all(h, '<a href="([^"]*)">([^<]*)</a>', 2) AS label FROM p)
 SELECT page_id, md5(array_to_string(list_filter(list_concat([title], h1, ['about ' || page_id, 'seen at ' || url, 'https://player.example/' || page_id], list_transform(range(1, len(href) + 1), lambda i: label[i] || ' ' || href[i])), lambda x: x <> ''), chr(10))) AS quotable,
 contains(h, 'track(') AS script, contains(h, 'margin:0') AS style, contains(h, '/>') AS markup FROM f""")
 def citable_text(spark, sf_dir):
