@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import aggregates, companies, directories, documents, events, linking, pages, ranking, records, registry, scalars, streams, texts, validation  # noqa: F401
+from millrace.plans import aggregates, companies, directories, documents, events, linking, pages, ranking, records, registry, scalars, storing, streams, texts, validation  # noqa: F401
 
 FLAGSHIP = "pages_by_domain"
 
