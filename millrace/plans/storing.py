@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from millrace.plans.registry import query
-from millrace.session import table
+from millrace.session import ship_package, table
 from millrace.sources import landed, markup, tablesets
+from millrace.streaming import queues
 from millrace.streaming.files import shared_folder
 from millrace.streaming.upserts import KeyedStore
 
@@ -114,3 +115,37 @@ def keyed_store(spark, sf_dir):
     events.repartition(4, F.pmod(F.xxhash64("event_id"), F.lit(16))).write.parquet(f"{folder}/landed")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
     return KeyedStore(spark, f"{folder}/users", events.schema, ["user_id"], ["us", "event_id"], 16).follow(stream)
+
+
+# --- queues in lots
+
+
+def _lot_sql(n: int, size: int) -> str:
+    """SQL for ``n`` lots of a queue, each a pair of tables: what a lot does to the places that the one before left."""
+    out = ["WITH q0 AS (SELECT o_custkey AS queue, o_orderkey AS item, o_orderkey AS pos FROM orders)"]
+    for i in range(1, n + 1):
+        out.append(f"""a{i} AS (SELECT *, CASE (item + {i}) % 5 WHEN 0 THEN 'limit' WHEN 1 THEN 'outside' WHEN 2 THEN NULL ELSE 'done' END AS r, row_number() OVER (PARTITION BY queue ORDER BY pos) AS rn, max(pos) OVER (PARTITION BY queue) AS top FROM q{i - 1})""")
+        out.append(f"""b{i} AS (SELECT *, coalesce(min(CASE WHEN rn <= {size} AND r = 'limit' THEN rn END) OVER (PARTITION BY queue), {size}) AS stop FROM a{i})""")
+        out.append(f"""q{i} AS (SELECT queue, item, CASE WHEN rn <= stop AND r = 'limit' THEN top + 1 ELSE pos END AS pos FROM b{i} WHERE rn > stop OR r IS NULL OR r = 'limit')""")
+    found = " UNION ALL ".join(f"SELECT queue, {i}::BIGINT AS lot, item, CASE r WHEN 'limit' THEN 'queued' ELSE r END AS state FROM b{i} WHERE rn <= stop AND r IS NOT NULL" for i in range(1, n + 1))
+    return ", ".join(out) + " " + found
+
+
+@query(_lot_sql(4, 3))
+def lot_queue(spark, sf_dir):
+    """Orders wait in a queue a customer and are worked off in four lots of three, over two runs of one stream."""
+    ship_package(spark)
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("queue"), F.col("o_orderkey").alias("item"))
+    put = o.select("queue", F.lit(None).cast("long").alias("lot"), "item", F.col("item").alias("position"), F.lit(None).cast("string").alias("result"))
+    rest = (F.col("item") + F.col("lot")) % 5
+    result = F.when(rest == 0, "limit").when(rest == 1, "outside").when(rest > 2, "done")
+
+    def came(first: int, last: int):
+        each = o.withColumn("lot", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))))
+        return each.select("queue", "lot", "item", F.lit(None).cast("long").alias("position"), result.alias("result")).where("result IS NOT NULL")
+
+    folder = _folder(spark, "queue")
+    for rows in (put.unionByName(came(1, 2)), came(3, 4)):
+        rows.write.mode("append").parquet(f"{folder}/landed")
+        done = queues.run_lots(spark.readStream.schema(put.schema).parquet(f"{folder}/landed"), 3, f"{folder}/lots")
+    return done

@@ -6,7 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import rank
 from millrace.sources import landed, markup, tablesets
+from millrace.streaming import queues
 from millrace.streaming.upserts import KeyedStore
 
 
@@ -118,3 +120,36 @@ def test_the_feed_function_in_sql(spark):
     assert [tuple(r) for r in spark.sql(sql.format("false")).collect()] == [(1, "rss", "u"), (1, "rss", "v"), *[(i, "invalido", "") for i in (2, 3, 4)]]
     assert [tuple(r) for r in spark.sql(sql.format("true")).collect()][0:2] == [(1, "rss", "u"), (2, "invalido", "")]
     spark.catalog.dropTempView("landed_bodies")
+
+
+def test_lots_over_several_runs_do_what_lots_one_by_one_do(spark, tmp_path):
+    schema = "queue long, lot long, item long, position long, result string"
+    queue = [(q, i) for q in (1, 2) for i in range(8)]
+    said = {(q, lot, i): ["done", "limit", "outside", None][(q + 3 * lot + i * i) % 4] for q, i in queue for lot in (1, 2, 3, 4, 5)}
+    runs = [
+        [(q, None, i, i, None) for q, i in queue if i < 6] + [(3, None, 7, 1, None)],
+        [(q, 1, i, None, said[q, 1, i]) for q, i in queue] + [(3, 1, 99, None, "done"), (4, 1, 1, None, "done")],
+        [(q, None, i, i, None) for q, i in queue if i >= 6] + [(q, lot, i, None, said[q, lot, i]) for lot in (3, 2) for q, i in queue],
+        [(q, lot, i, None, said[q, lot, i]) for lot in (4, 5) for q, i in queue],
+    ]
+    for run in runs:
+        spark.createDataFrame([r for r in run if r[1] is None or r[4]], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landed")
+        got = queues.run_lots(spark.readStream.schema(schema).parquet(f"{tmp_path}/landed"), 3, f"{tmp_path}/lots")
+    rows = sorted(map(tuple, got.collect()))
+    waiting = {(q, i): i for q, i in queue if i < 6}
+    expected = []
+    for lot in (1, 2, 3, 4, 5):
+        if lot == 2:
+            for q in (1, 2):
+                top = max(p for (k, _), p in waiting.items() if k == q)
+                waiting |= {(q, i): top + i for i in (6, 7)}
+        before = dict(waiting)
+        table = spark.createDataFrame([(q, i, p) for (q, i), p in waiting.items()], "q long, item long, pos long")
+        results = spark.createDataFrame([(q, i, said[q, lot, i]) for q, i in queue], "q long, item long, result string").where("result IS NOT NULL")
+        for q, item, pos, state in map(tuple, rank.queue_after(table, results, ["q"], "item", "pos", 3).select("q", "item", "pos", "state").collect()):
+            if state != "queued":
+                del waiting[q, item]
+            waiting = waiting | {(q, item): pos} if state == "queued" else waiting
+            if state != "queued" or pos != before[q, item]:
+                expected.append((q, lot, item, state))
+    assert rows == sorted(expected)
