@@ -180,8 +180,9 @@ class Tries:
 
     def merge(self, batch: pa.RecordBatch) -> None:
         """Adds the leaves of other tries."""
-        sources, times, at = (x.to_pylist() for x in _entries(batch))
-        for lang, term, a, b in zip(batch.column("lang").to_pylist(), batch.column("term").to_pylist(), at, at[1:]):
+        sources, times, at = _entries(batch)
+        sources, times, at = _names(sources), times.to_numpy().tolist(), at.to_numpy().tolist()
+        for lang, term, a, b in zip(_names(batch.column("lang")), _bytes(batch.column("term")), at, at[1:]):
             self.add(lang, term, sources[a:b], times[a:b])
 
     def leaves(self, min_docs: int = 0, rows: int = 8192) -> Iterator[pa.RecordBatch]:
@@ -208,6 +209,18 @@ def _leaves(lang: str, terms: list, sources: list, times: list, at: list) -> pa.
     return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "counts"])
 
 
+def _names(column: pa.Array) -> list[str | None]:
+    """The values of a column with few different ones, each made once."""
+    known = column.dictionary_encode()
+    values = [*known.dictionary.to_pylist(), None]
+    return [values[i] for i in known.indices.fill_null(-1).to_numpy().tolist()]
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    """The values of a binary column, made in one go."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _entries(batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array, pa.Array]:
     """(sources, numbers, offsets) of the counters of a batch of leaves."""
     lists = batch.column("counts")
@@ -228,7 +241,7 @@ def _count(batch: pa.RecordBatch, tries: Tries) -> None:
     if not len(starts):
         return
     number, different = numbered(TABLE[data], starts, ends)
-    terms, n = different.to_pylist(), len(different)
+    terms, n = _bytes(different), len(different)
     # occurrences of a term in a row, then in a group; both by sorting numbers
     cell, times = np.unique(np.repeat(np.arange(len(at) - 1), np.diff(at)) * n + number, return_counts=True)
     index = {g: i for i, g in enumerate(groups)}
