@@ -105,8 +105,8 @@ class LandedPages(DataSource):
     Options: ``path``; ``results``, the key of the list; ``more``, the dotted key that
     says whether a page follows; ``taskpages``, the most pages of a task. ``first``,
     ``last`` (page numbers) and ``series`` (a JSON list) choose the files before any is
-    opened. They are options, not pushed filters: Spark 4.1 keeps what one query pushed with
-    the loaded table, so another query on the same DataFrame would read its files only.
+    opened. They are options, not pushed filters: with those, on Spark 4.1.2, a query was
+    seen to return only the pages that an earlier query on the same DataFrame had chosen.
     """
 
     @classmethod
