@@ -28,6 +28,19 @@ def _pages(spark, sf_dir, template: Column | str, **more: Column):
     return c.select(F.concat(F.lit("https://x/"), F.col("c_custkey").cast("string")).alias("url"), html.alias("html"))
 
 
+#: Customers, by key, of which one page of a wall shows those of a nation.
+WALL = 1000
+
+
+def _walls(customers, card: Column, letter: str, head: str = "", between: str = ""):
+    """(url, html): walls of cards in the order of keys, several pages a nation under its one address, so that a page doesn't grow with the table."""
+    lot = F.floor(F.col("c_custkey") / WALL)
+    dealt = customers.select("c_nationkey", lot.alias("lot"), "c_custkey", card.alias("b")).repartition(int(customers.sparkSession.conf.get("spark.sql.shuffle.partitions")), "c_nationkey", "lot")
+    cards = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "b"))), lambda x: x["b"])
+    pages = dealt.groupBy("c_nationkey", "lot").agg(F.concat(F.lit(head), F.array_join(cards, between)).alias("html"))
+    return pages.select(F.concat(F.lit(f"https://{letter}/"), F.col("c_nationkey").cast("string")).alias("url"), "html")
+
+
 def _when(every: int, rest: int, value: str, other: str = "") -> Column:
     return F.when(F.col("c_custkey") % every == rest, value).otherwise(other)
 
@@ -122,9 +135,7 @@ def logo_wall(spark, sf_dir):
     link = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("https://facebook.com/acme"), k)).otherwise(F.concat(F.lit("https://www.acme"), k, F.lit(".com.co/?utm=1#a")))
     alt = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("Alpha "), k)).otherwise("")
     box = _filled('<div class="logo"><img src="/i/logo-acme-{k}.png" alt="{alt}">Text {k} <a href="{link}">Visitar sitio Web</a></div>', k=F.col("c_custkey"), alt=alt, link=link)
-    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.concat(box, box).alias("b"))
-    parts = c.groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "b"))), lambda x: x["b"]), "").alias("html"))
-    pages = parts.select(F.concat(F.lit("https://w/"), F.col("c_nationkey").cast("string")).alias("url"), "html")
+    pages = _walls(table(spark, sf_dir, "customer"), F.concat(box, box), "w")
     rows = directories.logo_entries(pages, r'(?is)<div class="logo">.*?</div>', ("acei.co",))
     return rows.select("url_perfil", "nome", "arquivo_logo", "site", "perfil_social", "email", "descricao", "revisar_nome")
 
@@ -135,10 +146,9 @@ def french_directory(spark, sf_dir):
     """Cards of one field against the full roster."""
     link = F.when(F.col("c_custkey") % 4 == 0, "https://www.syntec.fr/x").otherwise(F.concat(F.lit("https://c"), F.col("c_custkey").cast("string"), F.lit(".fr")))
     card = _filled('<figure class="a annuaireSyntec"><a href="{l}"><img src="x" {attr}="{n}"></a></figure>', l=link, n=F.col("c_name"), attr=_when(2, 0, "alt", "title"))
-    c = table(spark, sf_dir, "customer").select("*", card.alias("b"))
-    wall = lambda df, up: df.groupBy("c_nationkey").agg(F.array_join(F.collect_list("b"), "\n").alias("html")).select(F.concat(F.lit("https://f/"), F.col("c_nationkey").cast("string")).alias("url"), (F.upper if up else F.trim)("html").alias("html"))
-    roster = wall(c.where("c_custkey % 3 <> 0").withColumn("b", F.replace("b", F.col("c_name"), F.upper("c_name"))), False)
-    return directories.french_members(wall(c, False), roster)
+    c = table(spark, sf_dir, "customer")
+    roster = _walls(c.where("c_custkey % 3 <> 0"), F.replace(card, F.col("c_name"), F.upper("c_name")), "f", between="\n")
+    return directories.french_members(_walls(c, card, "f", between="\n"), roster)
 
 
 @query("""SELECT 'r' || c_custkey AS recipient_id, c_name AS nome, 'U' || c_custkey AS uei, '' AS duns, c_acctbal AS valor_total, CASE WHEN c_custkey % 3 > 0 THEN '1 Main Suite 2' ELSE '' END AS endereco, CASE WHEN c_custkey % 3 > 0 THEN 'Reno' ELSE '' END AS cidade,
@@ -196,7 +206,7 @@ def event_participants(spark, sf_dir):
     site = F.when(F.col("c_custkey") % 5 == 0, "https://calendly.com/x").otherwise(F.concat(F.lit("https://c"), F.col("c_custkey").cast("string"), F.lit(".com/?x=1")))
     expo = _filled('<div class="Partner-module-scss__x1__partner"><span class="P__h__tag">{level}</span>{name}<a href="https://www.greenbook.org/company/x">p</a><a href="{site}">s</a></div>', level=level, name=name, site=site)
     forum = _filled('<div class="col sponsor-card"><div class="sponsor-type">{t}</div><h4 class="sponsor-name">{n}</h4><a href="https://c{k}.com/">x</a></div>', t=_when(2, 0, "Gold", "Media partner"), n=F.col("c_name"), k=F.col("c_custkey"))
-    wall = lambda card, letter, head: c.select("c_nationkey", card.alias("b")).groupBy("c_nationkey").agg(F.concat(F.lit(head), F.array_join(F.collect_list("b"), "")).alias("html")).select(F.concat(F.lit(f"https://{letter}/"), F.col("c_nationkey").cast("string")).alias("url"), F.lit(letter).alias("edicao"), "html")
+    wall = lambda card, letter, head: _walls(c, card, letter, head).withColumn("edicao", F.lit(letter))
     poor = events.profile_participants(shows.withColumn("html", F.regexp_replace("html", '<a class="icon_pin">.*?</a>', "")), editions)
     return events.participants([
         events.profile_participants(shows, editions), poor,

@@ -68,9 +68,11 @@ def card_participants(pages: DataFrame, editions: Mapping[str, tuple[str, str]],
     """Companies of cards on one page an edition (url, edicao, html): level, name (else the logo's text) and first foreign link.
 
     A card ends where the next begins. ``kind`` turns a level into a participation. ``editions``: event, country.
+    The year is read before the cards are: beside ``explode`` Spark would read the whole page again for every card.
     """
     start = rf"""<div\b[^>]*class\s*=\s*["'][^"'>]*{card}[^"'>]*["'][^>]*>"""
-    cards = pages.select("url", "edicao", year.alias("_y"), F.explode(F.regexp_extract_all(body(), F.lit(rf"(?is){start}(?:(?!{start}).)*+"), F.lit(0))).alias("_c"))
+    dated = pages.select("url", "edicao", year.alias("_y"), body().alias("_h"))
+    cards = dated.select("url", "edicao", "_y", F.explode(F.regexp_extract_all("_h", F.lit(rf"(?is){start}(?:(?!{start}).)*+"), F.lit(0))).alias("_c"))
     holds = lambda cls: text.plain_text(F.regexp_extract("_c", rf"""(?is)<([a-z0-9]+)\b[^>]*class\s*=\s*["'][^"'>]*{cls}[^"'>]*["'][^>]*>(.*?)</\1\s*>""", 2))
     alt = text.collapse(attribute(F.regexp_extract("_c", r"(?is)<img\b[^>]*>", 0), "alt"))
     link = F.coalesce(F.try_element_at(outside(F.col("_c"), own), F.lit(1))["href"], F.lit(""))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from millrace.plans.directories import _walls
 from millrace.sources import directories, events
 
 READERS = [directories.brazilian_members, directories.global_companies, directories.british_suppliers, directories.sourcebook_companies]
@@ -35,6 +36,22 @@ def test_cards_of_long_pages(spark):
     assert len(got) == 50 and {(r["site"], r["ano"], r["evento"], r["tipo_participacao"]) for r in got} == {("", "2027", "Forum", "patrocinador")}
 
 
+def test_a_page_is_not_read_again_for_each_of_its_cards(spark):
+    pages = spark.createDataFrame([("u", "m", "<h1>2026</h1>")], "url string, edicao string, html string")
+    for read in (events.expo_participants, events.forum_participants):
+        plan = read(pages, {"m": ("Forum", "Peru")})._jdf.queryExecution().optimizedPlan().toString()
+        above, found, below = plan.partition("Generate explode")
+        assert found and "html" not in above and "_h#" not in above and "_y#" in below, read.__name__
+
+
+def test_walls_have_pages_that_do_not_grow(spark):
+    customers = spark.range(5_000).select(F.col("id").alias("c_custkey"), (F.col("id") % 2).cast("int").alias("c_nationkey"))
+    got = _walls(customers, F.concat(F.lit("<"), F.col("c_custkey").cast("string"), F.lit(">")), "w", "<h1>").collect()
+    assert len(got) == 10 and {r["url"] for r in got} == {"https://w/0", "https://w/1"}
+    held = [[int(k) for k in r["html"].removeprefix("<h1>")[1:-1].split("><")] for r in got]
+    assert sorted(k for page in held for k in page) == list(range(5_000)) and all(page == sorted(page) and len(page) == 500 for page in held)
+
+
 def test_logos_and_rosters_without_entries(spark):
     pages = spark.createDataFrame([("u", None), ("v", "<figure class='annuaireSyntec'><img alt='A'></figure><a href='https://foot.fr'>")], "url string, html string")
     assert [(r["nome"], r["site"], r["tambem_em_nos_membros"]) for r in directories.french_members(pages, pages.where("url = 'u'")).collect()] == [("A", "", "nao")]
