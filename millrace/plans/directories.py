@@ -20,9 +20,14 @@ def _filled(template: str, **columns: Column) -> Column:
     return reduce(lambda out, kv: F.replace(out, F.lit("{" + kv[0] + "}"), F.coalesce(kv[1], F.lit(""))), values.items(), F.lit(template))
 
 
+def _customers(spark, sf_dir):
+    """The customers, dealt out by key: a page costs far more than the bytes of its row tell, so the number of tasks isn't left to the sizes."""
+    return table(spark, sf_dir, "customer").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+
+
 def _pages(spark, sf_dir, template: Column | str, **more: Column):
     """(url, html): one page a customer. ``{k}``: its key, ``{n}``: its name, ``{s}``: its segment."""
-    c = table(spark, sf_dir, "customer")
+    c = _customers(spark, sf_dir)
     places = {"k": F.col("c_custkey"), "n": F.col("c_name"), "s": F.col("c_mktsegment"), **more}
     html = _filled(template, **places)
     return c.select(F.concat(F.lit("https://x/"), F.col("c_custkey").cast("string")).alias("url"), html.alias("html"))
@@ -70,7 +75,7 @@ def global_directory(spark, sf_dir):
         '<title>{title}</title><meta name="description" content="About &quot;{s}&quot; "><script type="application/ld+json">{json}</script><a href="/in">in</a><a href="https://www.linkedin.com/company/c{k}?trk=1">l</a>'
         '<a href="https://www.greenbook.org/z">g</a><a class="b" href="https://c{k}.com/p?utm_source=g&amp;id=1&amp;ref=2">site</a>'
     )
-    c = table(spark, sf_dir, "customer")
+    c = _customers(spark, sf_dir)
     page = _filled(html, title=title, json=json)
     for name, column in (("n", "c_name"), ("k", "c_custkey"), ("s", "c_mktsegment")):
         page = F.replace(page, F.lit("{" + name + "}"), F.col(column).cast("string"))

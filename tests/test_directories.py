@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.plans.directories import _walls
+from millrace.plans.directories import _pages, _walls
 from millrace.sources import directories, events
 
 READERS = [directories.brazilian_members, directories.global_companies, directories.british_suppliers, directories.sourcebook_companies]
@@ -70,3 +70,8 @@ def test_participants_keep_the_fuller_record(spark):
     df = spark.createDataFrame([tuple(r[c] for c in events.COLUMNS) for r in rows], ", ".join(f"{c} string" for c in events.COLUMNS))
     got = sorted((r["nome"], r["comercial"]) for r in events.participants([df]).collect())
     assert got == [("", False), ("", False), ("ACME", True), ("Insights Association", False)]
+
+
+def test_pages_are_dealt_out_whatever_their_table_weighs(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts > 1 and _pages(spark, "/root/testdata/sf0.001", "{n}").rdd.getNumPartitions() == parts
