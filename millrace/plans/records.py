@@ -360,10 +360,15 @@ def work_queue(spark, sf_dir):
 # --- feeds and structured bodies
 
 
+#: Orders, by key, of which one feed holds those of a priority.
+FEED = 2500
+
+
 def _feeds(spark, sf_dir, day: str, entry, around: tuple[str, str]):
-    """A feed of all orders of each priority, its entries in the order of their keys."""
+    """Feeds of all orders of each priority, several a source, so that none grows with the table; a feed's entries in the order of their keys."""
     o = table(spark, sf_dir, "orders").withColumn("d", F.date_format("o_orderdate", day))
-    bodies = o.groupBy(F.col("o_orderpriority").alias("source")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", entry.alias("x")))).alias("e"))
+    lot = F.floor(F.col("o_orderkey") / FEED)
+    bodies = o.groupBy(F.col("o_orderpriority").alias("source"), lot.alias("lot")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", entry.alias("x")))).alias("e"))
     return bodies.select("source", F.concat(F.lit(around[0]), F.array_join(F.transform("e", lambda e: e["x"]), ""), F.lit(around[1])).alias("body"))
 
 

@@ -48,6 +48,28 @@ def test_feeds_and_sitemaps(spark):
     assert [r["canonical"] for r in kept.collect()] == ["https://a/1"]
 
 
+def test_a_long_feed_is_read_without_its_tree():
+    import tracemalloc
+
+    body = b"<rss><channel><title>own</title>" + b"".join(b"<item><title>T%d</title><link>u%d</link><x><item><link>in</link></item></x></item><noise><a/></noise>" % (i, i) for i in range(20_000)) + b"</channel></rss>"
+    tracemalloc.start()
+    n = sum(1 for _ in markup.read_feed(body))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 40_000 and peak < 3 * len(body), (n, peak, len(body))
+    assert [r[1] for r in markup.read_feed(body)][:3] == ["u0", "in", "u1"]
+    assert list(markup.read_feed(body[:-1])) == [("invalido", "", "", "", "")]
+
+
+def test_a_source_has_several_feeds(spark, tmp_path):
+    from millrace.plans.records import _feeds
+
+    spark.range(10_000).selectExpr("id AS o_orderkey", "'1-URGENT' AS o_orderpriority", "TIMESTAMP '1997-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = _feeds(spark, str(tmp_path), "yyyy-MM-dd", F.concat(F.lit("<"), F.col("o_orderkey").cast("string"), F.lit(">")), ("[", "]")).collect()
+    assert {r["source"] for r in rows} == {"1-URGENT"} and len(rows) == 4
+    assert sorted(int(k) for r in rows for k in r["body"][2:-2].split("><")) == list(range(10_000))
+
+
 def test_quotes(spark):
     cases = [("plain words here", "some plain  words here now", True), ("“quoted”", 'a "quoted" b', True), ("plain wordz", "plain words", False), ("Plain", "plain", False),
              ("first ... last", "the first and the last", True), ("last ... first", "the first and the last", False), ("...", "x", False), ("", "x", False), (None, "x", False)]
