@@ -13,9 +13,10 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from millrace.session import ship_package
 from millrace.sources.landed import opened
@@ -24,6 +25,10 @@ from millrace.sources.sinks import flat
 CSV = {"quoteAll": "true", "escape": "\"", "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE = 64
+
+
 @dataclass
 class Files(WriterCommitMessage):
     """The files of one task: table to path, relative to the set's folder."""
@@ -31,21 +36,21 @@ class Files(WriterCommitMessage):
     of: dict[str, str]
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict) -> None:
         self.path = options["path"]
         self.headers: dict[str, str] = json.loads(options["headers"])
         self.run = f"rows-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator) -> Files:
-        """One file a table; a repeated or speculative attempt has names of its own."""
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Files:
+        """One file a table; a repeated or speculative attempt has names of its own. A batch's texts become Python's a slice at a time."""
         store, root = opened(self.path)
         files: dict[str, str] = {}
         streams: dict = {}
         attempt = uuid.uuid4().hex
         try:
-            for row in iterator:
-                name, line = row[0], row[1]
+            slices = (batch.slice(i, SLICE) for batch in iterator for i in range(0, batch.num_rows, SLICE))
+            for name, line in (row for part in slices for row in zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
                 if name not in streams:
                     files[name] = f"{self.run}/{name}/{attempt}.csv"
                     store.create_dir(f"{root}/{self.run}/{name}")
@@ -86,7 +91,7 @@ class TableSet(DataSource):
     def schema(self) -> str:
         return "table string, line string"
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema, overwrite: bool) -> _Writer:
         if not overwrite:
             raise ValueError("a table set is written whole: mode overwrite")
         return _Writer(self.options)

@@ -153,3 +153,20 @@ def test_lots_over_several_runs_do_what_lots_one_by_one_do(spark, tmp_path):
             if state != "queued" or pos != before[q, item]:
                 expected.append((q, lot, item, state))
     assert rows == sorted(expected)
+
+
+def test_a_batch_of_texts_is_written_slice_by_slice(tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, text = 4_000, "x" * 5_000
+    batch = pa.record_batch([pa.array(["t"] * n), pa.array([text] * n)], names=["table", "line"])
+    writer = tablesets.TableSet({"path": f"file://{tmp_path}/set", "headers": '{"t": "line"}'}).writer(None, True)
+    tracemalloc.start()
+    files = writer.write(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    with open(f"{tmp_path}/set/{files.of['t']}") as f:
+        assert sum(1 for _ in f) == n + 1
+    assert peak < 4_000_000, peak
