@@ -47,6 +47,10 @@ def document_feeds(spark, sf_dir):
 # --- landed pages of a service
 
 
+#: Pages that one file holds.
+TOGETHER = 64
+
+
 def _landed(spark, sf_dir):
     """Orders as responses of a paged service: a series a priority, some with pages left over from an earlier scan, empty or broken ones."""
     digit, page = F.left("series", F.lit(1)), F.col("page")
@@ -58,7 +62,11 @@ def _landed(spark, sf_dir):
     body = F.concat(F.lit('{"results":['), items, F.lit('],"page_metadata":{"hasNext":'), more.cast("string"), F.lit("}}"))
     value = F.when((digit == "3") & (page % 5 == 0), F.left(body, F.char_length(body) - 1)).otherwise(body)
     folder = _folder(spark, "pages")
-    pages.join(ends, "series").select("series", "page", value.alias("value")).write.partitionBy("series", "page").text(folder)
+    lines = F.concat(page.cast("string"), F.lit("\t"), value).alias("value")
+    first = F.expr(f"(page - 1) DIV {TOGETHER} * {TOGETHER} + 1")
+    held = F.concat(first.cast("string"), F.lit("-"), (first + TOGETHER - 1).cast("string")).alias("pages")
+    dealt = pages.join(ends, "series").select("series", held, lines)
+    dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "series", "pages").write.partitionBy("series", "pages").text(folder)
     return landed.landed_pages(spark, folder)
 
 

@@ -1,7 +1,8 @@
 """Landed pages of a paged service as a Spark data source, read in ranges of pages.
 
-The folder holds one response a page under ``series=<name>/page=<number>/``. Tasks
-read through Arrow's file systems (local and network folders, S3, GCS, HDFS), so the
+The folder holds one response a page under ``series=<name>/page=<number>/``, or several
+under ``series=<name>/pages=<first>-<last>/``, each a line of page number, tab and
+response: a folder and a file a page cost more than what is in them. Tasks read through Arrow's file systems (local and network folders, S3, GCS, HDFS), so the
 path must be one that Arrow can open; the driver only lists names and sizes.
 """
 
@@ -11,6 +12,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from io import BufferedReader
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,7 @@ SCHEMA = "series string, page int, has_next boolean, n_items int, ord int, item
 TASK_PAGES = 64
 TASK_BYTES = 32 << 20
 
-_PLACE = re.compile(r"series=([^/]*)/page=(\d+)/[^/_.][^/]*$")
+_PLACE = re.compile(r"series=([^/]*)/pages?=(\d+)(-\d+)?/[^/_.][^/]*$")
 
 
 def opened(path: str):
@@ -37,9 +39,9 @@ def opened(path: str):
 
 @dataclass
 class PageRange(InputPartition):
-    """The pages of one task: (series, page, path), in order."""
+    """The files of one task: (series, first page, path, whether it holds several pages), in order."""
 
-    pages: list[tuple[str, int, str]]
+    pages: list[tuple[str, int, str, bool]]
 
 
 def page_items(body: bytes, results: str, more: list[str]) -> tuple[bool, list[str]]:
@@ -62,8 +64,8 @@ class _Reader(DataSourceReader):
         self.last = int(options.get("last", 2**31 - 1))
         self.series = json.loads(options["series"]) if "series" in options else None
 
-    def _wanted(self, series: str, page: int) -> bool:
-        return self.first <= page <= self.last and (self.series is None or series in self.series)
+    def _wanted(self, series: str, page: int, last: int) -> bool:
+        return page <= self.last and self.first <= last and (self.series is None or series in self.series)
 
     def partitions(self) -> list[PageRange]:
         from pyarrow import fs
@@ -72,23 +74,32 @@ class _Reader(DataSourceReader):
         found = []
         for info in store.get_file_info(fs.FileSelector(root, recursive=True)):
             place = info.type == fs.FileType.File and info.size and _PLACE.search(info.path)
-            if place and self._wanted(unquote(place[1]), int(place[2])):
-                found.append((unquote(place[1]), int(place[2]), info.path, info.size))
+            if place and self._wanted(unquote(place[1]), int(place[2]), int((place[3] or place[2]).lstrip("-"))):
+                found.append((unquote(place[1]), int(place[2]), info.path, place[3] is not None, info.size))
         ranges: list[PageRange] = []
         size = 0
-        for series, page, path, n in sorted(found):
+        for series, page, path, several, n in sorted(found):
             if not ranges or len(ranges[-1].pages) >= self.most or size + n > TASK_BYTES:
                 ranges.append(PageRange([]))
                 size = 0
-            ranges[-1].pages.append((series, page, path))
+            ranges[-1].pages.append((series, page, path, several))
             size += n
         return ranges or [PageRange([])]
 
-    def read(self, partition: PageRange) -> Iterator[tuple]:
+    def _bodies(self, partition: PageRange) -> Iterator[tuple[str, int, bytes]]:
         store, _ = opened(self.path)
-        for series, page, path in partition.pages:
+        for series, page, path, several in partition.pages:
             with store.open_input_stream(path) as stream:
-                body = stream.read()
+                if not several:
+                    yield series, page, stream.read()
+                    continue
+                for line in BufferedReader(stream):
+                    number, _, body = line.partition(b"\t")
+                    if self.first <= int(number) <= self.last:
+                        yield series, int(number), body
+
+    def read(self, partition: PageRange) -> Iterator[tuple]:
+        for series, page, body in self._bodies(partition):
             try:
                 more, items = page_items(body, self.results, self.more)
             except (ValueError, AttributeError, TypeError) as error:

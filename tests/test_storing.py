@@ -170,3 +170,12 @@ def test_a_batch_of_texts_is_written_slice_by_slice(tmp_path):
     with open(f"{tmp_path}/set/{files.of['t']}") as f:
         assert sum(1 for _ in f) == n + 1
     assert peak < 4_000_000, peak
+
+
+def test_files_of_several_landed_pages(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/series=a/pages=1-3")
+    with open(f"{tmp_path}/series=a/pages=1-3/part-0.txt", "w") as f:
+        f.write('1\t{"results":[1,2],"page_metadata":{"hasNext":true}}\n3\t{"results":[3],"page_metadata":{"hasNext":false}}\n2\t{"results":[4\n')
+    got = sorted((r["page"], r["ord"], r["item"], r["fault"]) for r in landed.landed_pages(spark, f"file://{tmp_path}").collect())
+    assert got == [(1, 0, "1", None), (1, 1, "2", None), (2, -1, None, "JSONDecodeError"), (3, 0, "3", None)]
+    assert [r["item"] for r in landed.landed_pages(spark, f"file://{tmp_path}", first=3).collect()] == ["3"]
