@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from millrace.session import ship_package
+from millrace.streaming.files import shared_folder
+
 
 def some(column: str | Column) -> Column:
     """A value, or null where it is the empty string."""
@@ -218,8 +224,8 @@ def recall(reference: DataFrame, run: DataFrame, key: str) -> DataFrame:
 WORDS = 4
 
 
-def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens: str, least: int = 3) -> DataFrame:
-    """(key, others): distinct other owners with an item that shares at least ``least`` tokens with a key's.
+def _prefix_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens: str, least: int) -> DataFrame:
+    """(key, others): as :func:`similar_elsewhere`, for any number of tokens.
 
     A prefix join, exact: with tokens ordered by rarity, the same order for all, two
     sets of a and b tokens that share ``least`` share one of the first a - least + 1
@@ -246,3 +252,136 @@ def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens
     met = prefix.join(other, "_t").where(possible & (F.size(F.array_intersect("_o", "_2_o")) >= least)).select("_x", "_y", F.col(f"_2{owner}").alias("_other")).distinct()
     found = met.groupBy("_x", "_y").agg(F.count("*").alias("others"))
     return classed.select(*keys, *name).join(found, ["_x", "_y"]).select(*keys, "others")
+
+
+#: Owners of one bitmap; most owners whose numbers are broadcast; most sets a token may be in for its group to meet in a task; triples held at a time there.
+BITS, MAX_BROADCAST_OWNERS, MAX_GROUP, MAX_TRIPLES = 63, 100_000, 200_000, 4_000_000
+
+
+def _shared_pairs(group: np.ndarray, owner: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, most: int = MAX_TRIPLES) -> Iterator[tuple[int, np.ndarray]]:
+    """(block, bits a row): the other owners in a row's group with a row that has two of its tokens, in whatever row of theirs; blocks are of ``BITS`` owners."""
+    row = np.repeat(np.arange(len(group)), sizes)
+    values, token = np.unique(tokens, return_inverse=True)
+    key = group[row] * np.int64(len(values)) + token
+    order = np.argsort(key)
+    starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+    of = owner[row][order]
+    several = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
+    kept = np.empty(len(key), bool)
+    kept[order] = np.repeat(several, np.diff(starts, append=len(key)))  # a token that one owner alone has in a group finds nobody
+    row, token, key = row[kept], token[kept], key[kept]
+    after = np.cumsum(np.bincount(row, minlength=len(group)))[row] - np.arange(len(row)) - 1
+    order = np.argsort(key, kind="stable")
+    order = order[after[order] > 0]
+    if not len(order):
+        return
+    # parts that end where a pair of group and token does, so that a task holds few triples at a time
+    ends = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(order))
+    upto = np.cumsum(after[order])[ends - 1]
+    cuts = ends[np.append(np.flatnonzero(np.diff(upto // most)), len(ends) - 1)]
+    blocks = np.unique(owner // BITS)
+    found = {block: np.zeros(len(group), np.int64) for block in blocks.tolist()}
+    _, key = np.unique(key, return_inverse=True)
+    for first, last in zip(np.append(0, cuts[:-1]), cuts):
+        part = order[first:last]
+        n = after[part]
+        begin = np.cumsum(n) - n
+        other = np.repeat(part + 1 - begin, n) + np.arange(n.sum())
+        triple = np.repeat(key[part] * np.int64(len(values)), n) + token[other]
+        by = np.argsort(triple)
+        starts = np.flatnonzero(np.diff(triple[by], prepend=-1))
+        owners = np.repeat(owner[row[part]], n)[by]
+        shared = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
+        if not shared.any():
+            continue
+        runs = np.diff(starts, append=len(by))
+        for block in blocks.tolist():
+            bit = np.where(owners // BITS == block, np.int64(1) << (owners % BITS), 0)
+            every = np.empty(len(by), np.int64)
+            every[by] = np.repeat(np.where(shared, np.bitwise_or.reduceat(bit, starts), 0), runs)
+            np.bitwise_or.at(found[block], row[part], np.bitwise_or.reduceat(every, begin))
+    for block, bits in found.items():
+        yield block, bits & ~np.where(owner // BITS == block, np.int64(1) << (owner % BITS), 0)
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets by token, in the tokens' order, to the owners they meet there; whole groups, at least a million tokens at a time where there are as many."""
+
+    def judged(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        lists = rows["_r"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        numbers = lambda c: rows[c].to_numpy()
+        _, group = np.unique(numbers("_t"), return_inverse=True)
+        for block, bits in _shared_pairs(group, numbers("_w"), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()):
+            some = np.flatnonzero(bits)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(numbers("_x")[some]), pa.array(numbers("_y")[some]), pa.array(np.full(len(some), block)), pa.array(bits[some])], names=["_x", "_y", "_block", "_bits"])
+
+    held, n = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += len(batch.column("_r").flatten())
+        last = batch.column("_t")[-1].as_py()
+        if n < 1_000_000 or last == held[0].column("_t")[0].as_py():
+            continue
+        rows = pa.Table.from_batches(held)
+        stop = int(np.searchsorted(rows["_t"].to_numpy(), last))
+        yield from judged(rows.slice(0, stop))
+        held = rows.slice(stop).combine_chunks().to_batches()
+        n = sum(len(b.column("_r").flatten()) for b in held)
+    if n:
+        yield from judged(pa.Table.from_batches(held))
+
+
+def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens: str, least: int = 3, most: int = MAX_GROUP) -> DataFrame:
+    """(key, others): distinct other owners with an item that shares at least ``least`` tokens with a key's.
+
+    Three tokens, the usual case, are found as below; other numbers by a prefix join,
+    which is exact too, but compares the sets that share a rare token.
+
+    Exact, and linear in the items: no two of them are compared. Two sets share three
+    tokens if they share a triple, so it is enough to know each triple's owners. With
+    tokens ordered by rarity a set goes to each of its tokens with those behind it; a
+    task sees a token's sets and finds for each the owners of its pairs there, as
+    bitmaps, after dropping what one owner alone has. Tokens in more than ``most`` sets
+    have no task of their own: triples of such tokens only are counted by plain
+    aggregation. A set of n tokens costs n^3 / 6 at worst, a triple as many
+    bitmaps as it has 63 owners. Items of one owner with the same tokens are one set;
+    items without an owner are nobody's.
+    """
+    if least != 3:
+        return _prefix_elsewhere(items, key, owner, tokens, least)
+    spark = items.sparkSession
+    shared_folder(spark)
+    ship_package(spark)
+    keys = [key] if isinstance(key, str) else key
+    sorted_ = items.select(*keys, owner, F.array_sort(F.array_distinct(tokens)).alias("_a")).where((F.size("_a") >= 3) & F.col(owner).isNotNull())
+    # kept, since tokens may cost much and are looked at four times
+    classed = sorted_.select(*keys, owner, "_a", F.xxhash64(owner, "_a").alias("_x"), F.xxhash64(F.lit(7), F.col(owner), F.col("_a")).alias("_y")).checkpoint()
+    # numbers are kept, so they stay the same wherever they are used; small tables have neighbouring ones
+    owners = classed.select(owner).distinct().select(owner, F.monotonically_increasing_id().alias("_w")).checkpoint()
+    sets = classed.dropDuplicates(["_x", "_y"]).join(F.broadcast(owners) if owners.count() <= MAX_BROADCAST_OWNERS else owners, owner).select("_x", "_y", "_w", "_a")
+    held = sets.select("_x", "_y", "_w", F.explode("_a").alias("_t"))
+    counts = held.groupBy("_t").agg(F.count("*").alias("_n"), F.min("_w").alias("_lo"), F.max("_w").alias("_hi"))
+    known = counts.where("_lo < _hi").select("_t", "_n", F.monotonically_increasing_id().alias("_i")).checkpoint()
+    ordered = held.join(known, "_t").groupBy("_x", "_y", "_w").agg(F.array_sort(F.collect_list(F.struct("_n", "_i"))).alias("_o")).where(F.size("_o") >= 3)
+    ordered = ordered.select("_x", "_y", "_w", F.transform("_o", lambda p: p["_i"]).alias("_o"), F.size(F.filter("_o", lambda p: p["_n"] <= most)).alias("_few")).checkpoint()
+
+    rest = lambda i: F.slice(F.col("_o"), i + 2, F.size("_o"))
+    own = F.slice(F.transform("_o", lambda t, i: F.struct(t.alias("t"), rest(i).alias("r"))), 1, F.least("_few", F.size("_o") - 2))
+    light = ordered.select("_x", "_y", "_w", F.explode(own).alias("_s")).select(F.col("_s.t").alias("_t"), "_x", "_y", "_w", F.col("_s.r").alias("_r"))
+    met = light.repartition(F.col("_t")).sortWithinPartitions("_t").mapInArrow(_meet, "_x long, _y long, _block long, _bits long")
+
+    often = ordered.select("_x", "_y", "_w", F.slice("_o", F.col("_few") + 1, F.size("_o")).alias("_o")).where(F.size("_o") >= 3)
+    heavy = often.select("_x", "_y", "_w", F.posexplode("_o").alias("_p", "_1"), "_o").select("_x", "_y", "_w", "_1", F.posexplode(F.slice("_o", F.col("_p") + 2, F.size("_o"))).alias("_p", "_2"), F.slice("_o", F.col("_p") + 2, F.size("_o")).alias("_o"))
+    heavy = heavy.select("_x", "_y", "_w", "_1", "_2", F.explode(F.slice("_o", F.col("_p") + 2, F.size("_o"))).alias("_3"))
+    block, bit = F.floor(F.col("_w") / BITS).alias("_block"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_w") % BITS).cast("int"))
+    of = heavy.groupBy("_1", "_2", "_3", block).agg(F.bit_or(bit).alias("_bits"))
+    other = F.when(F.floor(F.col("_w") / BITS) == F.col("_block"), F.col("_bits").bitwiseAND(F.bitwise_not(bit))).otherwise(F.col("_bits"))
+    often_met = heavy.join(of, ["_1", "_2", "_3"]).select("_x", "_y", "_block", other.alias("_bits")).where("_bits <> 0")
+    every = met.unionByName(often_met).groupBy("_x", "_y", "_block").agg(F.bit_or("_bits").alias("_bits"))
+    found = every.groupBy("_x", "_y").agg(F.sum(F.bit_count("_bits")).cast("long").alias("others"))
+    return classed.select(*keys, "_x", "_y").join(found, ["_x", "_y"]).select(*keys, "others")

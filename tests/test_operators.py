@@ -169,3 +169,19 @@ def test_extraction_takes_pages_in_order(spark):
 def test_similar_items_of_other_owners(spark):
     df = spark.createDataFrame([(1, "o1", ["a", "b", "c", "d"]), (2, "o2", ["b", "c", "d"]), (3, "o3", ["a", "b"]), (4, "o1", ["b", "c", "d", "a"]), (5, "o4", ["d", "c", "b", "z", "b"])], "i int, o string, t array<string>")
     assert rows(link.similar_elsewhere(df, "i", "o", "t"), "i", "others") == [(1, 2), (2, 2), (4, 2), (5, 2)]
+
+
+def test_similar_items_of_many_owners_compare_no_pairs(spark, monkeypatch):
+    import random
+
+    draw = random.Random(4)
+    items = [(i, f"o{draw.randrange(150)}", sorted({f"t{int(draw.random() ** 2 * 60)}" for _ in range(draw.randrange(1, 9))})) for i in range(400)] + [(400, None, ["t0", "t1", "t2"])]
+    expected = {i: len({p for _, p, u in items if p and p != o and len(set(t) & set(u)) >= 3}) for i, o, t in items if o}
+    df = spark.createDataFrame(items, "i int, o string, t array<string>")
+    monkeypatch.setattr(link, "_prefix_elsewhere", None)
+    for most in (0, 60, 10_000):  # all triples counted by aggregation, some, none
+        assert dict(rows(link.similar_elsewhere(df, "i", "o", "t", most=most), "i", "others")) == {i: n for i, n in expected.items() if n}
+    group, owner, sizes = link.np.array([0, 0, 0, 1]), link.np.array([0, 70, 1, 2]), link.np.array([4, 3, 3, 3])
+    tokens = link.np.array([5, 6, 7, 8, 5, 6, 7, 6, 7, 8, 5, 6, 7])
+    for most in (1, 2, 100):  # rows of a group that share two tokens, in parts of any size
+        assert {b: x.tolist() for b, x in link._shared_pairs(group, owner, sizes, tokens, most)} == {0: [2, 3, 1, 0], 1: [128, 0, 128, 0]}
