@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -83,11 +84,15 @@ def path_words(url: Column) -> Column:
 
 
 def on_list(url: Column, patterns: Iterable[str]) -> Column:
-    """Whether a URL is on a domain, below it, or below a domain and path of a short list."""
-    h, p = host(url), F.regexp_replace(path(url), "^/+", "")
-    out = F.lit(False)
-    for pattern in patterns:
-        domain, _, prefix = pattern.partition("/")
-        hit = (h == domain) | h.endswith("." + domain)
-        out = out | (hit & p.startswith(prefix) if "/" in pattern else hit)
-    return out
+    """Whether a URL is on a domain, below it, or below a domain and path of a short list.
+
+    All patterns are one expression over host and path, which are taken from the URL once.
+    """
+    patterns = list(patterns)
+    if not patterns:
+        return F.lit(False)
+    paths = any("/" in p for p in patterns)
+    quoted = "|".join(re.escape(p if "/" in p or not paths else p + "/") for p in patterns)
+    if not paths:
+        return host(url).rlike(rf"^(?s:.*\.)?(?:{quoted})\z")
+    return F.concat(host(url), F.lit("/"), F.regexp_replace(path(url), "^/+", "")).rlike(rf"^(?:[^/]*\.)?(?:{quoted})")
\ No newline at end of file

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import contact, text, urls
 from millrace.operators.filters import site_confirmed
-from millrace.sources.elements import content, cut, links_in, of, one, said, with_elements, within
+from millrace.sources.elements import content, cut, links_in, of, once, one, said, with_elements, within
 
 #: Networks that are nobody's own site, states of Brazil, labels and own domains of the sources.
 SOCIAL = ("linkedin.com", "facebook.com", "twitter.com", "x.com", "youtube.com", "instagram.com")
@@ -80,19 +80,34 @@ def links(markup: Column) -> Column:
     return F.filter(pair, lambda x: x["href"] != "")
 
 
+def targets(markup: Column) -> Column:
+    """The addresses of all links, as :func:`links` finds them, without their labels."""
+    parts = F.filter(F.split(markup, r"(?i)<a(?=[\s/>])"), lambda p, i: (i > 0) & F.contains(p, F.lit(">")))
+    return F.filter(F.transform(parts, lambda p: F.trim(attribute(F.substring_index(p, ">", 1), "href"))), lambda x: x != "")
+
+
 def outside(markup: Column, own: Iterable[str]) -> Column:
     """Links to sites that aren't on a list."""
     return F.filter(links(markup), lambda x: x["href"].startswith("http") & ~urls.on_list(x["href"], own))
 
 
+def first_outside(hrefs: Column, own: Iterable[str]) -> Column:
+    """The first address of a site that isn't on a list, without its query; empty for none."""
+    return no_query(first(F.filter(hrefs, lambda x: x.startswith("http") & ~urls.on_list(x, own))))
+
+
 def no_query(url: Column) -> Column:
     return F.substring_index(url, "?", 1)
 
 
 def mailed(markup: Column, own: Iterable[str] = ()) -> Column:
     """Addresses of mail links, each once, those of the directory itself left out."""
-    hrefs = F.filter(F.transform(links(markup), lambda x: x["href"]), lambda h: F.lower(h).startswith("mailto:"))
-    addresses = F.transform(hrefs, lambda h: F.lower(F.trim(no_query(F.substr(h, F.lit(8))))))
+    return mailed_to(targets(markup), own)
+
+
+def mailed_to(hrefs: Column, own: Iterable[str] = ()) -> Column:
+    """Addresses of mail links among some targets, each once, those of the directory itself left out."""
+    addresses = F.transform(F.filter(hrefs, lambda h: F.lower(h).startswith("mailto:")), lambda h: F.lower(F.trim(no_query(F.substr(h, F.lit(8))))))
     return F.array_distinct(F.filter(addresses, lambda e: (e != "") & ~e.isin(*own or ("",)) & ~e.rlike(NOT_MAIL)))
 
 
@@ -187,14 +202,15 @@ def global_companies(pages: DataFrame) -> DataFrame:
 
 def spanish_members(pages: DataFrame) -> DataFrame:
     """Company pages among an association's other pages: those with a marker of a profile and a contact of their own."""
-    own = (*SOCIAL, *SPAIN_OWN)
-    rows = pages.select("url", body().alias("_h")).withColumn("_t", F.array_join(lines(F.col("_h")), "\n")).withColumn("_m", mailed(F.col("_h"), SPAIN_MAIL)).withColumn("_o", outside(F.col("_h"), own))
-    rows = rows.where(F.lower("_t").rlike("especializaci|miembro de:|servicios:|contacto:") & ((F.size("_m") > 0) | (F.size("_o") > 0)))
+    rows = once(pages.select("url", body().alias("_h")), _t=F.array_join(lines(F.col("_h")), "\n"), _a=targets(F.col("_h")))
+    rows = once(rows, _m=mailed_to(F.col("_a"), SPAIN_MAIL), _o=first_outside(F.col("_a"), (*SOCIAL, *SPAIN_OWN)))
+    rows = rows.where(F.lower("_t").rlike("especializaci|miembro de:|servicios:|contacto:") & ((F.size("_m") > 0) | (F.col("_o") != "")))
     name = first_of(F.regexp_replace(text.plain_text(inner(F.col("_h"), "title")), r"(?u)\s*[-–|]\s*Insights \+ Analytics Espa[nñ]a\s*$", ""), text.plain_text(inner(F.col("_h"), "h1")))
     written = F.filter(F.transform(contact.found_in(F.col("_h")), F.lower), lambda e: ~e.isin(*SPAIN_MAIL) & ~e.rlike(NOT_MAIL))
-    mails = F.when(F.size("_m") > 0, F.col("_m")).otherwise(written)
+    rows = once(rows, _e=F.when(F.size("_m") > 0, F.col("_m")).otherwise(written), _n=name)
+    mails, name = F.col("_e"), F.col("_n")
     return rows.select(
-        "url", name.alias("nome"), first(mails).alias("email"), F.slice(mails, 2, 3).alias("emails_extras"), no_query(F.coalesce(F.try_element_at("_o", F.lit(1))["href"], F.lit(""))).alias("site"),
+        "url", name.alias("nome"), first(mails).alias("email"), F.slice(mails, 2, 3).alias("emails_extras"), F.col("_o").alias("site"),
         F.lit("Spain").alias("pais"), F.left(text.collapse(F.regexp_extract("_t", r"(?s)Especializaci[oó]n:\s*\n(.{40,600}?)(?:\n[A-ZÁÉÍÓÚ][^\n]{0,40}:|\z)", 1)), F.lit(400)).alias("descricao"),
         text.collapse(F.regexp_extract("_t", r"Miembro de:\s*\n([^\n]{3,200})", 1)).alias("associacoes"), text.collapse(F.regexp_extract("_t", r"(\+?\d[\d\s().\-]{7,18}\d)", 1)).alias("telefone"), _named(name, "no name").alias("erro"),
     )
@@ -204,20 +220,22 @@ def british_suppliers(pages: DataFrame) -> DataFrame:
     """Suppliers by their own address block, since the page's microdata are the publisher's; further addresses fill what it lacks."""
     h = F.col("_h")
     rows = with_elements(pages.select("url", body().alias("_h")), "_h")
-    rows = rows.withColumn("_a", content(h, one(F.col("_e"), "p", "address_block"))).withColumn("_x", content(h, one(F.col("_e"), "div", id_="rbg_addresses")))
+    rows = once(rows, _a=content(h, one(F.col("_e"), "p", "address_block")), _x=content(h, one(F.col("_e"), "div", id_="rbg_addresses")))
+    rows = once(rows, _own=broken_lines(F.col("_a")), _more=broken_lines(F.col("_x")), _at=targets(F.col("_a")), _xt=targets(F.col("_x")))
     phone = lambda ls: first(F.filter(F.transform(ls, lambda x: text.collapse(F.regexp_extract(x, r"(?i)^Tel:\s*(.+)$", 1))), lambda x: x != ""))
-    own, more = broken_lines(F.col("_a")), broken_lines(F.col("_x"))
-    rows = rows.withColumn("_l", F.filter(own, lambda x: ~x.rlike(r"(?i)^(Tel:|email)") & ~x.rlike(r"^[\d\s\-.,;:|]{1,4}$")))
+    own, more = F.col("_own"), F.col("_more")
+    rows = once(rows, _l=F.filter(own, lambda x: ~x.rlike(r"(?i)^(Tel:|email)") & ~x.rlike(r"^[\d\s\-.,;:|]{1,4}$")))
     logo = F.regexp_replace(attribute(F.regexp_extract(inner(h, "p", "company_logo"), r"(?is)<img\b[^>]*>", 0), "alt"), r"\s*Company Logo$", "")
     name = first_of(text.collapse(F.substring_index(meta(h, "property", "og:title"), "|", 1)), text.collapse(logo))
-    address = first_of(F.array_join("_l", ", "), F.array_join(more, ", "))
+    rows = once(rows, _n=name, _d=first_of(F.array_join("_l", ", "), F.array_join(more, ", ")))
+    name, address = F.col("_n"), F.col("_d")
     parts = F.transform(F.split(address, ","), lambda p: F.lower(F.regexp_replace(F.trim(p), r"^\.+|\.+$", "")))
     known = F.filter(parts, lambda p: p.isin(*BRITISH_COUNTRIES))
     named = F.create_map(*[F.lit(x) for kv in BRITISH_COUNTRIES.items() for x in kv])
     return rows.select(
         "url", name.alias("nome"), text.plain_text(inner(h, "span", "favourite_suppliers_ribbon")).alias("tipo_membro"), address.alias("endereco"), first_of(phone(own), phone(more)).alias("telefone"),
-        F.coalesce(F.try_element_at("_l", F.lit(2)), F.lit("")).alias("cidade"), first_of(first(mailed(F.col("_a"), BRITISH_MAIL)), first(mailed(F.col("_x"), BRITISH_MAIL))).alias("email"),
-        no_query(F.coalesce(F.try_element_at(outside(F.col("_a"), ("mrs.org.uk", "ama.uk.com")), F.lit(1))["href"], F.lit(""))).alias("site"),
+        F.coalesce(F.try_element_at("_l", F.lit(2)), F.lit("")).alias("cidade"), first_of(first(mailed_to(F.col("_at"), BRITISH_MAIL)), first(mailed_to(F.col("_xt"), BRITISH_MAIL))).alias("email"),
+        first_outside(F.col("_at"), ("mrs.org.uk", "ama.uk.com")).alias("site"),
         F.coalesce(named[F.try_element_at(known, F.lit(-1))], F.lit("United Kingdom")).alias("pais"), F.left(text.collapse(meta(h, "name", "description")), F.lit(400)).alias("descricao"), _named(name, "no name").alias("erro"),
     )
 

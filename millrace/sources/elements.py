@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,12 @@ def _said(name: str, head: str) -> str:
     return " ".join((found[1] or found[2] or found[3] or "").split()) if found else ""
 
 
+@lru_cache(8192)
+def _named(head: str) -> tuple[str, str]:
+    """Class and id of a start tag; pages of a site repeat most of theirs."""
+    return (_said("class", head), _said("id", head)) if "=" in head else ("", "")
+
+
 def read_elements(page: str) -> list[list]:
     """The elements of a page, in order, each a list of the fields of ``ELEMENT``.
 
@@ -73,13 +80,13 @@ def read_elements(page: str) -> list[list]:
             continue
         if tag in BLOCKS and path and out[path[-1]][0] == "p":
             end(found.start(), found.start())
-        while path and out[path[-1]][0] in SIBLINGS.get(tag, ()):
+        while path and tag in SIBLINGS and out[path[-1]][0] in SIBLINGS[tag]:
             last = out[path[-1]][0]
             end(found.start(), found.start())
             if last == tag:
                 break
         head = found[0]
-        out.append([tag, _said("class", head), _said("id", head), head, found.start(), at, at, at, len(path), len(out) + 1, 0])
+        out.append([tag, *_named(head), head, found.start(), at, at, at, len(path), len(out) + 1, 0])
         if tag in VOID or head.endswith("/>"):
             continue
         if tag in RAW:
@@ -119,6 +126,14 @@ def with_elements(pages: DataFrame, html: str = "html", name: str = "_e") -> Dat
     return done.select("row.*", F.col("e").alias(name))
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with columns that are worked out once a row, whatever a later filter or projection does with them.
+
+    A filter on a projection's column moves below it with the column's whole expression, and branches share nothing; what a generator gives stays a value.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def within(elements: Column, block: Column) -> Column:
     """The elements inside one of them, in order; none for a null block."""
     return F.coalesce(F.slice(elements, block["at"] + 1, block["n"]), F.slice(elements, 1, 0))

@@ -75,3 +75,16 @@ def test_participants_keep_the_fuller_record(spark):
 def test_pages_are_dealt_out_whatever_their_table_weighs(spark):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert parts > 1 and _pages(spark, "/root/testdata/sf0.001", "{n}").rdd.getNumPartitions() == parts
+
+
+def test_a_page_is_read_once_for_the_filter_and_the_record(spark):
+    from millrace.functions import urls
+    from millrace.sources import directories
+
+    pages = spark.createDataFrame([("u", "<title>A</title><p>Contacto:</p><a href='http://www.facebook.com/x'>f</a><a href='mailto:A@b.es?x'>m</a><a href='https://b.es/p?q'>s</a>"), ("v", "<p>Contacto:</p>")], "url string, html string")
+    found = directories.spanish_members(pages)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?i)<a(?=") == 1
+    assert [(r["nome"], r["email"], r["site"]) for r in found.collect()] == [("A", "a@b.es", "https://b.es/p")]
+    hosts = pages.select(urls.on_list(F.col("url"), [f"d{i}.com" for i in range(9)]).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert hosts.count("[A-Za-z0-9+.-]*):") == 1
