@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text, urls
 from millrace.sources.directories import attribute, body, first, first_of, lines, no_query
-from millrace.sources.elements import content, cut, has_class, links_in, of, one, said, with_elements, within
+from millrace.sources.elements import content, cut, has_class, links_in, of, once, one, said, with_elements, within
 
 #: Domains of the associations themselves, words of streets, labels.
 GERMAN_OWN = ("adm-ev.de", "rat-marktforschung.de", "deutschlands-marktforscher.de", "cleverreach.com")
@@ -37,31 +37,32 @@ def german_institutes(pages: DataFrame) -> DataFrame:
     """
     h, e = F.col("_h"), F.col("_e")
     rows = with_elements(pages.select("url", body().alias("_h")), "_h")
-    rows = rows.withColumn("_n", said(h, one(within(e, one(e, cls="block-member-title")), "h1"))).withColumn("_c", one(e, "ul", "contact")).withColumn("_in", within(e, F.col("_c")))
-    rows = rows.withColumn("_l", lines(content(h, one(F.col("_in"), "li", "contact__address")))).withColumn("_a", links_in(h, F.col("_in")))
+    rows = once(rows, _n=said(h, one(within(e, one(e, cls="block-member-title")), "h1")), _c=one(e, "ul", "contact"))
+    rows = once(rows, _in=within(e, F.col("_c")))
+    rows = once(rows, _l=lines(content(h, one(F.col("_in"), "li", "contact__address"))), _a=links_in(h, F.col("_in")))
     head = _text(F.try_element_at("_l", F.lit(1)))
     named = (F.size("_l") > 2) & ~head.rlike(r"^\d") & ~head.rlike(GERMAN_STREETS)
-    rows = rows.withColumn("_own", F.when(named, head).otherwise("")).withColumn("_l", F.when(named, F.slice("_l", 2, F.size("_l"))).otherwise(F.col("_l")))
+    rows = once(rows, _own=F.when(named, head).otherwise(""), _r=F.when(named, F.slice("_l", 2, F.size("_l"))).otherwise(F.col("_l"))).drop("_l").withColumnRenamed("_r", "_l")
     place = r"^(\d{5})\s+(.+)$"
     town = _text(F.try_element_at(F.filter("_l", lambda x: x.rlike(place)), F.lit(-1)))
     own = lambda c: F.lower(c).rlike("|".join(GERMAN_OWN).replace(".", r"\."))
 
-    def judged(a: Column) -> Column:
-        bare = F.regexp_replace(F.regexp_replace(a["href"], r"(?i)^[a-z]+://", ""), "/+$", "")
-        mail = F.when(F.lower(a["href"]).startswith("mailto:"), F.trim(no_query(F.substr(a["href"], F.lit(8))))).otherwise("")
-        mail = first_of(mail, F.when(a["label"].rlike(f"^{ADDRESS}$"), a["label"]), F.when(bare.rlike(f"^{ADDRESS}$"), bare))
-        kind = F.when(F.lower(a["href"]).startswith("tel:"), "tel").when(mail != "", F.when(own(mail), "none").otherwise("mail")).when(F.lower(a["href"]).startswith("http") & ~urls.on_list(a["href"], GERMAN_OWN), "site")
-        value = F.when(kind == "tel", first_of(a["label"], F.substr(a["href"], F.lit(5)))).when(kind == "mail", mail).otherwise(a["href"])
-        return F.struct(kind.alias("k"), value.alias("v"))
-
-    rows = rows.withColumn("_a", F.transform("_a", judged))
-    of_kind = lambda k: _text(F.try_element_at(F.filter("_a", lambda x: (x["k"] == k) & (x["v"] != "")), F.lit(1))["v"])
+    # step by step, since inside a lambda whatever is named twice is worked out twice
+    bare = lambda a: F.struct(a["href"].alias("href"), a["label"].alias("label"), F.regexp_replace(F.regexp_replace(a["href"], r"(?i)^[a-z]+://", ""), "/+$", "").alias("bare"))
+    to = lambda a: F.when(F.lower(a["href"]).startswith("mailto:"), F.trim(no_query(F.substr(a["href"], F.lit(8))))).otherwise("")
+    mail = lambda a: F.struct(a["href"].alias("href"), a["label"].alias("label"), first_of(to(a), F.when(a["label"].rlike(f"^{ADDRESS}$"), a["label"]), F.when(a["bare"].rlike(f"^{ADDRESS}$"), a["bare"])).alias("mail"))
+    site = lambda a: F.lower(a["href"]).startswith("http") & ~urls.on_list(a["href"], GERMAN_OWN)
+    kind = lambda a: F.struct(a.alias("a"), F.when(F.lower(a["href"]).startswith("tel:"), "tel").when(a["mail"] != "", F.when(own(a["mail"]), "none").otherwise("mail")).when(site(a), "site").alias("k"))
+    value = lambda x: F.when(x["k"] == "tel", first_of(x["a"]["label"], F.substr(x["a"]["href"], F.lit(5)))).when(x["k"] == "mail", x["a"]["mail"]).otherwise(x["a"]["href"])
+    judged = F.transform(F.transform(F.transform(F.transform("_a", bare), mail), kind), lambda x: F.struct(x["k"].alias("k"), value(x).alias("v")))
+    rows = once(rows, _j=judged)
+    of_kind = lambda k: _text(F.try_element_at(F.filter("_j", lambda x: (x["k"] == k) & (x["v"] != "")), F.lit(1))["v"])
     items = F.flatten(F.transform(of(e, cls="block-member-facts"), lambda b: of(within(e, b), cls="facts__item")))
     fact = lambda i: F.struct(F.lower(F.regexp_replace(said(h, one(within(e, i), cls="facts__description")), ":+$", "")).alias("k"), said(h, one(within(e, i), cls="facts__text")).alias("v"))
     columns = F.flatten(F.transform(of(e, cls="block-member-attributes"), lambda b: of(within(e, b), cls="attributes__column")))
     title = lambda c: F.lower(said(h, F.try_element_at(F.filter(within(e, c), lambda x: x["tag"].isin("h2", "h3")), F.lit(1))))
     listed = lambda c: F.filter(F.array_distinct(F.transform(of(within(e, c), "li"), lambda i: said(h, i))), lambda x: x != "")
-    rows = rows.withColumn("_f", F.transform(items, fact)).withColumn("_k", F.transform(columns, lambda c: F.struct(title(c).alias("k"), listed(c).alias("v"))))
+    rows = once(rows, _f=F.transform(items, fact), _k=F.transform(columns, lambda c: F.struct(title(c).alias("k"), listed(c).alias("v"))))
     facts = lambda labels: first_of(*[_text(F.try_element_at(F.filter("_f", lambda x: x["k"] == n), F.lit(-1))["v"]) for n in labels])
     column = lambda label: _text(F.array_join(F.try_element_at(F.filter("_k", lambda x: (x["k"] == label) & (F.size(x["v"]) > 0)), F.lit(-1))["v"], " | "))
     name = first_of(F.col("_n"), F.when(F.col("_c").isNotNull(), F.col("_own")))

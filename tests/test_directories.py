@@ -88,3 +88,12 @@ def test_a_page_is_read_once_for_the_filter_and_the_record(spark):
     assert [(r["nome"], r["email"], r["site"]) for r in found.collect()] == [("A", "a@b.es", "https://b.es/p")]
     hosts = pages.select(urls.on_list(F.col("url"), [f"d{i}.com" for i in range(9)]).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert hosts.count("[A-Za-z0-9+.-]*):") == 1
+
+
+def test_a_link_is_judged_once(spark):
+    from millrace.sources import associations
+
+    pages = spark.createDataFrame([("u", "<ul class='contact'><li><a href='http://h@c.de/'>x</a><a href='https://c.de/'>web</a></li></ul>")], "url string, html string")
+    found = associations.german_institutes(pages)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("(?i)^[a-z]+://") == 1
+    assert [(r["email"], r["site"]) for r in found.collect()] == [("h@c.de", "https://c.de/")]
