@@ -55,14 +55,15 @@ def schema_paths(spark, sf_dir):
     line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("qty"), F.col("l_discount").alias("disc"), F.nullif("l_returnflag", F.lit("N")).alias("flag"))
     # checks cost far more than their bytes tell, so the number of tasks is fixed here and not left to the sizes
     spread = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), line.alias("line")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
-    lines = spread.groupBy("o_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    o = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left")
+    lines = spread.groupBy("o_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    # merged where the lines lie: a broadcast of them would leave all checks to the one task that reads the orders' file
+    o = table(spark, sf_dir, "orders").join(lines.hint("merge"), "o_orderkey", "left")
     none = F.array().cast(lines.schema["lines"].dataType)
     document = F.to_json(F.struct(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("total"),
         F.when(F.col("o_totalprice") > 400000, F.lit(1)).alias("bonus"), F.coalesce("lines", none).alias("lines"),
     ))
-    return o.select("o_orderkey", F.explode(variants.schema_faults(document, ORDER_SCHEMA)).alias("f")).select("o_orderkey", "f.path", "f.rule")
+    return variants.fault_rows(o.select("o_orderkey", document.alias("j")), ["o_orderkey"], "j", ORDER_SCHEMA)
 
 
 @query("""WITH e AS (SELECT user_id, event_id, event_type, json_extract_string(props, '$.k') AS k, '$.seen[' || (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) || ']' AS p FROM events)

@@ -110,3 +110,31 @@ def test_typed_fields_inside_each_other(spark):
     rows = spark.createDataFrame([(1, json.dumps({"a": [{"tipo": "t", "valor": {"tipo": "u", "valor": None}}, {"valor": 1}]}))], "id int, j string")
     got = sorted(tuple(r) for r in variants.typed_fields(rows, ["id"], "j", "tipo", ["tipo", "valor"]).collect())
     assert got == [(1, "$.a[0]", "a", "t", '{"tipo":"u","valor":null}'), (1, "$.a[0].valor", "valor", "u", None)]
+
+
+NESTED = [
+    {"properties": {"a.b": {"properties": {"c": {"maxLength": 0}}}, "a": {"anyOf": [{"required": ["d"]}, {"properties": {"c": {"minimum": 3}}}]}}, "additionalProperties": {"items": {"required": ["a"], "minProperties": 1}}},
+    {"allOf": [{"items": {"type": ["integer", "array"]}}, {"items": {"allOf": [{"type": "integer"}, {"minimum": 1}], "not": {"minimum": 1.5}}}, {"maxItems": 3}], "prefixItems": [{"enum": [1, 2]}, False]},
+    {"properties": {"a": False, "b": {"items": {"anyOf": [{"type": "integer"}, {"items": True}], "additionalProperties": False}}}, "required": ["valor"], "additionalProperties": {"$ref": "#/$defs/t"}, "$defs": {"t": {"oneOf": [{"type": "string"}, {"required": ["tipo"]}]}}},
+]
+
+
+def test_rows_of_faults_equal_the_expression(spark):
+    texts = [json.dumps(v, ensure_ascii=False) for v in VALUES] + [None, "", "{", '{"a": 1, "a": 2}', '{"a/~x": [{"q": 1}, 3, {}], "a": null, "b": [{}, 1.5, [1]]}', "[3, 1, 0.5, [], 1e300, 12345678901234567890123, true]"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "`i.d` int, j string").repartition(2)
+    for schema in [*NESTED, {"enum": [1, "a", None, True]}, {"multipleOf": 2, "type": ["number", "null"], "uniqueItems": True}, True, False]:
+        want = rows.select(F.col("`i.d`").alias("i"), F.explode(variants.schema_faults(F.col("j"), schema)).alias("f")).select("i", "f.*").collect()
+        assert sorted(map(tuple, variants.fault_rows(rows, ["i.d"], "j", schema).collect())) == sorted(map(tuple, want)), schema
+    for schema in ({"unheardOf": 1}, {"items": {"enum": [[1]]}}, {"$ref": "#/$defs/a", "$defs": {"a": {"items": {"$ref": "#/$defs/a"}}}}):
+        with pytest.raises(ValueError):
+            variants.fault_rows(rows, ["i.d"], "j", schema)
+
+
+def test_checks_of_orders_are_compiled_and_dealt_out(spark):
+    import re
+
+    from millrace.plans import queries
+
+    plan = queries()["schema_paths"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan  # a broadcast leaves all checks to one task
+    assert "aggregate(" not in plan and not re.search(r"size\(CASE", plan)  # no check inside a lambda, none worked out twice
