@@ -179,3 +179,92 @@ def test_files_of_several_landed_pages(spark, tmp_path):
     got = sorted((r["page"], r["ord"], r["item"], r["fault"]) for r in landed.landed_pages(spark, f"file://{tmp_path}").collect())
     assert got == [(1, 0, "1", None), (1, 1, "2", None), (2, -1, None, "JSONDecodeError"), (3, 0, "3", None)]
     assert [r["item"] for r in landed.landed_pages(spark, f"file://{tmp_path}", first=3).collect()] == ["3"]
+
+
+class Values:
+    """State of one queue in memory, which counts the calls."""
+
+    def __init__(self):
+        self.value, self.held, self.calls = None, {}, 0
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            if name == "get":
+                return self.value
+            if name == "exists":
+                return self.value is not None
+            if name == "update":
+                self.value = args[0]
+            elif name == "clear":
+                self.value = None
+            elif name == "getValue":
+                return self.held[args[0]]
+            elif name == "updateValue":
+                self.held[args[0]] = args[1]
+            elif name == "removeKey":
+                del self.held[args[0]]
+            return None
+
+        return call
+
+
+class Handle:
+    def __init__(self):
+        self.states = []
+
+    def getValueState(self, *_):
+        self.states.append(Values())
+        return self.states[-1]
+
+    getMapState = getValueState
+
+
+def work(processor, batches):
+    """What lots give for batches of (lot, item, position, result), and the same from a plain list."""
+    got, want, waiting = [], [], []
+    for batch in batches:
+        got += [tuple(r) for r in processor.handleInputRows((1,), iter([queues.Row(queue=1, lot=a, item=b, position=c, result=d) for a, b, c, d in batch]), None)]
+        waiting += [b for _, b in sorted((c, b) for a, b, c, _ in batch if a is None)]
+        for lot in sorted({a for a, *_ in batch if a is not None}):
+            said = {b: d for a, b, _, d in batch if a == lot}
+            for item in waiting[: processor.size]:
+                result = said.get(item)
+                if result is None:
+                    continue
+                waiting.remove(item)
+                want.append((1, lot, item, "queued" if result == "limit" else result))
+                if result == "limit":
+                    waiting.append(item)
+                    break
+    return got, want, waiting
+
+
+@pytest.mark.parametrize("size", [1, 3, 64, 100, 1000])
+def test_long_queues_keep_their_order_over_blocks(size):
+    import random
+
+    deal = random.Random(size)
+    handle, processor = Handle(), queues.Lots(size)
+    processor.init(handle)
+    batches, n, lot = [], 0, 0
+    for _ in range(40):
+        put = deal.choice([0, 0, 1, 63, 64, 65, 300])
+        batch = [(None, i, i, None) for i in range(n, n + put)]
+        n += put
+        for _ in range(deal.randrange(4)):
+            lot += 1
+            batch += [(lot, i, None, deal.choice(["done", "done", "outside", "limit" if deal.random() < 0.2 else "done", None])) for i in range(n)]
+        batches.append([r for r in batch if r[0] is None or r[3]])
+    got, want, waiting = work(processor, batches)
+    assert got == want
+    head, tail, front = handle.states[0].value or (0, 0, [])
+    assert [*front, *[i for b in range(head, tail) for i in handle.states[1].held[b,][0]]] == waiting and len(handle.states[1].held) == tail - head
+
+
+def test_a_short_queue_needs_two_calls_to_the_state_a_batch():
+    handle, processor = Handle(), queues.Lots(3)
+    processor.init(handle)
+    got, want, _ = work(processor, [[(None, i, i, None) for i in range(20)] + [(lot, i, None, "done") for lot in (1, 2) for i in range(20)], [(3, i, None, "limit") for i in range(20)]])
+    assert got == want and len(got) == 7
+    assert sum(s.calls for s in handle.states) <= 4
