@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 from operator import add
 
 import numpy as np
@@ -11,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from millrace.session import ship_package
 from millrace.streaming.files import shared_folder
@@ -254,86 +256,213 @@ def _prefix_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens
     return classed.select(*keys, *name).join(found, ["_x", "_y"]).select(*keys, "others")
 
 
-#: Owners of one bitmap; most owners whose numbers are broadcast; most sets a token may be in for its group to meet in a task; triples held at a time there.
-BITS, MAX_BROADCAST_OWNERS, MAX_GROUP, MAX_TRIPLES = 63, 100_000, 200_000, 4_000_000
+#: Owners of one bitmap; most owners and tokens whose numbers are broadcast; most sets a token may be in for its group to meet in a task; triples held at a time there.
+BITS, MAX_BROADCAST_OWNERS, MAX_BROADCAST_TOKENS, MAX_GROUP, MAX_TRIPLES = 63, 100_000, 2_000_000, 1_000_000, 1_000_000
+#: Tokens that a bucket of groups takes, about; bytes of a table's dictionary of tokens; the largest number of 32 bits.
+MAX_BUCKET, MAX_DICTIONARY, LAST = 2_000_000, 8 << 20, (1 << 31) - 1
+
+
+def _sorted_places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 on in their order, and the places they had; sorted as one number each where 63 bits hold both, since that takes a fourth of the time."""
+    shift = len(values).bit_length()
+    if not len(values) or int(values.max()) >> (63 - shift):
+        order = np.argsort(values, kind="stable")
+        return values[order], order
+    both = np.sort((values << shift) | np.arange(len(values)))
+    return both >> shift, both & ((1 << shift) - 1)
 
 
 def _shared_pairs(group: np.ndarray, owner: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, most: int = MAX_TRIPLES) -> Iterator[tuple[int, np.ndarray]]:
     """(block, bits a row): the other owners in a row's group with a row that has two of its tokens, in whatever row of theirs; blocks are of ``BITS`` owners."""
+    if not len(tokens):
+        return
     row = np.repeat(np.arange(len(group)), sizes)
-    values, token = np.unique(tokens, return_inverse=True)
-    key = group[row] * np.int64(len(values)) + token
-    order = np.argsort(key)
-    starts = np.flatnonzero(np.diff(key[order], prepend=-1))
-    of = owner[row][order]
+    width = int(tokens.max()) + 1
+    key, order = _sorted_places(group[row] * np.int64(width) + tokens)
+    new = np.diff(key, prepend=-1) != 0
+    starts = np.flatnonzero(new)
+    of = owner[row[order]]
     several = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
-    kept = np.empty(len(key), bool)
-    kept[order] = np.repeat(several, np.diff(starts, append=len(key)))  # a token that one owner alone has in a group finds nobody
-    row, token, key = row[kept], token[kept], key[kept]
+    several = np.repeat(several, np.diff(starts, append=len(key)))  # a token that one owner alone has in a group finds nobody
+    kept, pair = np.empty(len(key), bool), np.empty(len(key), np.int64)
+    kept[order], pair[order] = several, np.cumsum(new) - 1  # a pair of group and token
+    order = (np.cumsum(kept) - 1)[order[several]]
+    row, token, pair = row[kept], tokens[kept], pair[kept]
     after = np.cumsum(np.bincount(row, minlength=len(group)))[row] - np.arange(len(row)) - 1
-    order = np.argsort(key, kind="stable")
     order = order[after[order] > 0]
     if not len(order):
         return
     # parts that end where a pair of group and token does, so that a task holds few triples at a time
-    ends = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(order))
+    ends = np.append(np.flatnonzero(np.diff(pair[order])) + 1, len(order))
     upto = np.cumsum(after[order])[ends - 1]
     cuts = ends[np.append(np.flatnonzero(np.diff(upto // most)), len(ends) - 1)]
     blocks = np.unique(owner // BITS)
     found = {block: np.zeros(len(group), np.int64) for block in blocks.tolist()}
-    _, key = np.unique(key, return_inverse=True)
+    own = {block: np.where(owner // BITS == block, np.int64(1) << (owner % BITS), 0) for block in found}
     for first, last in zip(np.append(0, cuts[:-1]), cuts):
         part = order[first:last]
         n = after[part]
         begin = np.cumsum(n) - n
         other = np.repeat(part + 1 - begin, n) + np.arange(n.sum())
-        triple = np.repeat(key[part] * np.int64(len(values)), n) + token[other]
-        by = np.argsort(triple)
-        starts = np.flatnonzero(np.diff(triple[by], prepend=-1))
-        owners = np.repeat(owner[row[part]], n)[by]
+        triple, by = _sorted_places(np.repeat((pair[part] - pair[part[0]]) * np.int64(width), n) + token[other])
+        starts = np.flatnonzero(np.diff(triple, prepend=-1))
+        runs = np.diff(starts, append=len(by))
+        of = np.repeat(row[part], n)[by]
+        owners = owner[of]
         shared = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
         if not shared.any():
             continue
-        runs = np.diff(starts, append=len(by))
-        for block in blocks.tolist():
-            bit = np.where(owners // BITS == block, np.int64(1) << (owners % BITS), 0)
-            every = np.empty(len(by), np.int64)
-            every[by] = np.repeat(np.where(shared, np.bitwise_or.reduceat(bit, starts), 0), runs)
-            np.bitwise_or.at(found[block], row[part], np.bitwise_or.reduceat(every, begin))
+        of, runs = of[np.repeat(shared, runs)], runs[shared]
+        for block, bits in found.items():
+            np.bitwise_or.at(bits, of, np.repeat(np.bitwise_or.reduceat(own[block][of], np.cumsum(runs) - runs), runs))
     for block, bits in found.items():
-        yield block, bits & ~np.where(owner // BITS == block, np.int64(1) << (owner % BITS), 0)
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets by token, in the tokens' order, to the owners they meet there; whole groups, at least a million tokens at a time where there are as many."""
+        yield block, bits & ~own[block]
 
-    def judged(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        rows = rows.combine_chunks()
-        lists = rows["_r"].combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        numbers = lambda c: rows[c].to_numpy()
-        _, group = np.unique(numbers("_t"), return_inverse=True)
-        for block, bits in _shared_pairs(group, numbers("_w"), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()):
-            some = np.flatnonzero(bits)
-            if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(numbers("_x")[some]), pa.array(numbers("_y")[some]), pa.array(np.full(len(some), block)), pa.array(bits[some])], names=["_x", "_y", "_block", "_bits"])
 
+def _rows_upto(batches: Iterator[pa.RecordBatch], column: str, least: int) -> Iterator[pa.Table]:
+    """Tables of at least so many rows, the last one aside, that don't part neighbours with the same number in a column."""
     held, n = [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
         held.append(batch)
-        n += len(batch.column("_r").flatten())
-        last = batch.column("_t")[-1].as_py()
-        if n < 1_000_000 or last == held[0].column("_t")[0].as_py():
+        n += batch.num_rows
+        if n < least:
             continue
-        rows = pa.Table.from_batches(held)
-        stop = int(np.searchsorted(rows["_t"].to_numpy(), last))
-        yield from judged(rows.slice(0, stop))
-        held = rows.slice(stop).combine_chunks().to_batches()
-        n = sum(len(b.column("_r").flatten()) for b in held)
+        rows = pa.Table.from_batches(held).combine_chunks()
+        number = rows[column].to_numpy()
+        others = np.flatnonzero(number != number[-1])
+        stop = int(others[-1]) + 1 if len(others) else 0
+        if stop:
+            yield rows.slice(0, stop)
+        held = rows.slice(stop).to_batches()
+        n -= stop
     if n:
-        yield from judged(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _packed(*numbers: np.ndarray) -> bytes:
+    """Numbers compressed: of each array all first bytes, then all second ones and so on, since like bytes compress well."""
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in numbers]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, *kinds: tuple[int, type]) -> list[np.ndarray]:
+    """What :func:`_packed` took: (length, dtype) of each array."""
+    lengths = [n * np.dtype(kind).itemsize for n, kind in kinds]
+    raw = np.frombuffer(pa.decompress(data, sum(lengths), codec="zstd"), np.uint8)
+    parts = np.split(raw, np.cumsum(lengths)[:-1])
+    return [np.ascontiguousarray(x.reshape(-1, n).T).view(kind).ravel() if n else np.empty(0, kind) for x, (n, kind) in zip(parts, kinds)]
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(keys, owner, _j, _i), an item's rows together, to (keys, owner, _j, _o): an item's numbers, rarest first, where it has three.
+
+    A copy, the same numbers of the same owner met shortly before, has that one's ``_j`` and no numbers.
+    """
+    for rows in _rows_upto(batches, "_j", 1_000_000):
+        number = rows["_j"].to_numpy()
+        begins = np.flatnonzero(np.diff(number, prepend=number[0] - 1))
+        row = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(number)))
+        key = np.unique((row << 32) | (LAST - rows["_i"].to_numpy().astype(np.int64)))
+        row, token = key >> 32, (LAST - (key & LAST)).astype(np.int32)
+        sizes = np.bincount(row, minlength=len(begins))
+        token, begins, sizes = token[sizes[row] >= 3], begins[sizes >= 3], sizes[sizes >= 3]
+        items = rows.drop_columns(["_j", "_i"]).take(pa.array(begins))
+        owner = items.column(items.num_columns - 1).combine_chunks().dictionary_encode()
+        owners = (owner.chunk(0) if isinstance(owner, pa.ChunkedArray) and owner.num_chunks else owner).indices.to_pylist() if len(begins) else []
+        data, ends = token.tobytes(), (np.cumsum(sizes) * token.itemsize).tolist()
+        seen: dict[tuple[int, bytes], int] = {}
+        of = np.array([seen.setdefault((o, data[a:b]), k) for k, (o, a, b) in enumerate(zip(owners, [0, *ends], ends))], np.int64)
+        first = of == np.arange(len(of))
+        offsets = np.append(0, np.cumsum(np.where(first, sizes, 0))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token[np.repeat(first, sizes)]), mask=pa.array(~first))
+        yield from items.append_column("_j", pa.array(number[begins][of])).append_column("_o", lists).combine_chunks().to_batches()
+
+
+def _deal(batches: Iterator[pa.RecordBatch], buckets: int, often: int) -> Iterator[pa.RecordBatch]:
+    """(_j, _w, _o) to packed (_b, _n, _m, _data): a set goes to each of its tokens that has two behind it, with those; tokens numbered below ``often`` take none.
+
+    A bucket has whole tokens. Of what lies behind a token only the steps from one number to the next are written.
+    """
+    for rows in _rows_upto(batches, "_j", 100_000):
+        lists = rows["_o"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        number, owner = rows["_j"].to_numpy(), rows["_w"].to_numpy().astype(np.int32)
+        token, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        after = (np.cumsum(sizes)[row] - np.arange(len(row)) - 1).astype(np.int32)
+        step = -np.diff(token, prepend=0).astype(np.int32)
+        head = np.flatnonzero((after >= 2) & (token >= often))
+        head = head[np.lexsort((token[head], token[head] % buckets))]
+        bucket = token[head] % buckets
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        out = []
+        for first, last in zip(starts, np.append(starts[1:], len(head))):
+            part = head[first:last]
+            n = after[part]
+            begin = np.cumsum(n) - n
+            behind = step[np.repeat(part + 1 - begin, n) + np.arange(n.sum())]
+            group = np.diff(token[part] // buckets, prepend=0).astype(np.int32)
+            out.append((int(bucket[first]), len(part), len(behind), _packed(group, number[row[part]], owner[row[part]], n, behind)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["_b", "_n", "_m", "_data"])
+
+
+def _joined(number: np.ndarray, block: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row for each number and block, in their order, with all bits."""
+    order = np.lexsort((block, number))
+    number, block, bits = number[order], block[order], bits[order]
+    starts = np.flatnonzero((np.diff(number, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+    return number[starts], block[starts], np.bitwise_or.reduceat(bits, starts) if len(starts) else bits
+
+
+def _meet(rows: pa.Table, shift: int) -> pa.Table:
+    """A bucket's sets to packed (_r, _n, _data): bitmaps of the owners that each meets there, by range of its number; some 500,000 tokens at a time."""
+    packed = zip(rows["_data"].to_pylist(), rows["_n"].to_pylist(), rows["_m"].to_pylist())
+    parts = [_unpacked(data, (n, np.int32), (n, np.int64), (n, np.int32), (n, np.int32), (m, np.int32)) for data, n, m in packed]
+    group, number, owner, sizes, step = (np.concatenate(x) for x in zip(*[[np.cumsum(p[0]), *p[1:]] for p in parts]))
+    del parts
+    order = np.argsort(group, kind="stable")
+    begin = (np.cumsum(sizes) - sizes)[order]
+    group, number, owner, sizes = group[order], number[order], owner[order].astype(np.int64), sizes[order]
+    upto = np.cumsum(sizes)
+    ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(group))
+    cuts = ends[np.append(np.flatnonzero(np.diff(upto[ends - 1] // 500_000)), len(ends) - 1)]
+    found = []
+    for first, last in zip(np.append(0, cuts[:-1]), cuts):
+        n = sizes[first:last]
+        at = np.cumsum(n) - n
+        behind = step[np.repeat(begin[first:last] - at, n) + np.arange(n.sum())].astype(np.int64)
+        total = np.cumsum(behind)
+        tokens = total - np.repeat(total[at] - behind[at], n)  # steps from the group's own token name a token there
+        for block, bits in _shared_pairs(group[first:last], owner[first:last], n, tokens):
+            some = np.flatnonzero(bits)
+            found.append((number[first:last][some], np.full(len(some), block), bits[some]))
+    number, block, bits = _joined(*(np.concatenate(x) for x in zip(*found))) if found else (np.empty(0, np.int64),) * 3
+    starts = np.flatnonzero(np.diff(number >> shift, prepend=-1))
+    out = []
+    for first, last in zip(starts, np.append(starts[1:], len(number))):
+        low = np.diff(number[first:last] & ((1 << shift) - 1), prepend=0).astype(np.int32)
+        out.append((int(number[first] >> shift), int(last - first), _packed(low, block[first:last].astype(np.int32), bits[first:last])))
+    ranges, lengths, data = zip(*out) if out else ((), (), ())
+    return pa.table({"_r": pa.array(ranges, pa.int64()), "_n": pa.array(lengths, pa.int64()), "_data": pa.array(data, pa.binary())})
+
+
+def _merge(rows: pa.Table, shift: int) -> pa.Table:
+    """A range's bitmaps from all buckets, one row (_j, _block, _bits) for each set and block."""
+    parts = [_unpacked(data, (n, np.int32), (n, np.int32), (n, np.int64)) for data, n in zip(rows["_data"].to_pylist(), rows["_n"].to_pylist())]
+    low, block, bits = (np.concatenate(x) for x in zip(*[[np.cumsum(p[0]), *p[1:]] for p in parts]))
+    number, block, bits = _joined(low + (rows["_r"][0].as_py() << shift), block.astype(np.int64), bits)
+    return pa.table({"_j": number, "_block": block, "_bits": bits})
+
+
+def _numbered(rows: DataFrame, number: str, *order: Column) -> DataFrame:
+    """Rows with numbers from 0 on in this order; kept, so they stay the same wherever they are used."""
+    held = rows.orderBy(*order).withColumn(number, F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright(F.col(number), 33)
+    sizes = sorted(map(tuple, held.groupBy(part).count().collect()))
+    before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+    start = F.create_map(*[F.lit(x).cast("long") for (p, _), b in zip(sizes, before) for x in (p, b)])[part] if sizes else F.lit(0)
+    return held.withColumn(number, (start + F.col(number).bitwiseAND(F.lit((1 << 33) - 1))).cast("int"))
 
 
 def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens: str, least: int = 3, most: int = MAX_GROUP) -> DataFrame:
@@ -349,39 +478,56 @@ def similar_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens
     bitmaps, after dropping what one owner alone has. Tokens in more than ``most`` sets
     have no task of their own: triples of such tokens only are counted by plain
     aggregation. A set of n tokens costs n^3 / 6 at worst, a triple as many
-    bitmaps as it has 63 owners. Items of one owner with the same tokens are one set;
-    items without an owner are nobody's.
+    bitmaps as it has 63 owners. Items of one owner with the same tokens are one set
+    where they lie near each other; items without an owner are nobody's.
+
+    Little goes to disk: items with their tokens, and then with the tokens' numbers, are
+    compressed tables in the shared folder, and what is dealt out, sets and bitmaps, is
+    packed.
     """
     if least != 3:
         return _prefix_elsewhere(items, key, owner, tokens, least)
     spark = items.sparkSession
-    shared_folder(spark)
+    folder = f"{shared_folder(spark)}/sets-{uuid.uuid4().hex}"
     ship_package(spark)
     keys = [key] if isinstance(key, str) else key
-    sorted_ = items.select(*keys, owner, F.array_sort(F.array_distinct(tokens)).alias("_a")).where((F.size("_a") >= 3) & F.col(owner).isNotNull())
-    # kept, since tokens may cost much and are looked at four times
-    classed = sorted_.select(*keys, owner, "_a", F.xxhash64(owner, "_a").alias("_x"), F.xxhash64(F.lit(7), F.col(owner), F.col("_a")).alias("_y")).checkpoint()
-    # numbers are kept, so they stay the same wherever they are used; small tables have neighbouring ones
-    owners = classed.select(owner).distinct().select(owner, F.monotonically_increasing_id().alias("_w")).checkpoint()
-    sets = classed.dropDuplicates(["_x", "_y"]).join(F.broadcast(owners) if owners.count() <= MAX_BROADCAST_OWNERS else owners, owner).select("_x", "_y", "_w", "_a")
-    held = sets.select("_x", "_y", "_w", F.explode("_a").alias("_t"))
-    counts = held.groupBy("_t").agg(F.count("*").alias("_n"), F.min("_w").alias("_lo"), F.max("_w").alias("_hi"))
-    known = counts.where("_lo < _hi").select("_t", "_n", F.monotonically_increasing_id().alias("_i")).checkpoint()
-    ordered = held.join(known, "_t").groupBy("_x", "_y", "_w").agg(F.array_sort(F.collect_list(F.struct("_n", "_i"))).alias("_o")).where(F.size("_o") >= 3)
-    ordered = ordered.select("_x", "_y", "_w", F.transform("_o", lambda p: p["_i"]).alias("_o"), F.size(F.filter("_o", lambda p: p["_n"] <= most)).alias("_few")).checkpoint()
-
-    rest = lambda i: F.slice(F.col("_o"), i + 2, F.size("_o"))
-    own = F.slice(F.transform("_o", lambda t, i: F.struct(t.alias("t"), rest(i).alias("r"))), 1, F.least("_few", F.size("_o") - 2))
-    light = ordered.select("_x", "_y", "_w", F.explode(own).alias("_s")).select(F.col("_s.t").alias("_t"), "_x", "_y", "_w", F.col("_s.r").alias("_r"))
-    met = light.repartition(F.col("_t")).sortWithinPartitions("_t").mapInArrow(_meet, "_x long, _y long, _block long, _bits long")
-
-    often = ordered.select("_x", "_y", "_w", F.slice("_o", F.col("_few") + 1, F.size("_o")).alias("_o")).where(F.size("_o") >= 3)
-    heavy = often.select("_x", "_y", "_w", F.posexplode("_o").alias("_p", "_1"), "_o").select("_x", "_y", "_w", "_1", F.posexplode(F.slice("_o", F.col("_p") + 2, F.size("_o"))).alias("_p", "_2"), F.slice("_o", F.col("_p") + 2, F.size("_o")).alias("_o"))
-    heavy = heavy.select("_x", "_y", "_w", "_1", "_2", F.explode(F.slice("_o", F.col("_p") + 2, F.size("_o"))).alias("_3"))
-    block, bit = F.floor(F.col("_w") / BITS).alias("_block"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_w") % BITS).cast("int"))
-    of = heavy.groupBy("_1", "_2", "_3", block).agg(F.bit_or(bit).alias("_bits"))
-    other = F.when(F.floor(F.col("_w") / BITS) == F.col("_block"), F.col("_bits").bitwiseAND(F.bitwise_not(bit))).otherwise(F.col("_bits"))
-    often_met = heavy.join(of, ["_1", "_2", "_3"]).select("_x", "_y", "_block", other.alias("_bits")).where("_bits <> 0")
-    every = met.unionByName(often_met).groupBy("_x", "_y", "_block").agg(F.bit_or("_bits").alias("_bits"))
-    found = every.groupBy("_x", "_y").agg(F.sum(F.bit_count("_bits")).cast("long").alias("others"))
-    return classed.select(*keys, "_x", "_y").join(found, ["_x", "_y"]).select(*keys, "others")
+    # tokens may cost much, so they are worked out once; the number keeps a filter of them from doing so again
+    one = items.where(F.col(owner).isNotNull()).select(*keys, owner, F.monotonically_increasing_id().alias("_j"), F.col(tokens).alias("_a")).where(F.size("_a") >= 3)
+    one.write.option("compression", "zstd").option("parquet.dictionary.page.size", MAX_DICTIONARY).parquet(f"{folder}/tokens")
+    one = spark.read.parquet(f"{folder}/tokens")
+    name = [F.xxhash64(owner).alias("_h0"), F.xxhash64(F.lit(7), F.col(owner)).alias("_h1")]
+    counts = one.select(F.explode("_a").alias("_t"), *name).groupBy("_t").agg(F.count("*").alias("_n"), *[f(f"_h{k}").alias(f"_{f.__name__}{k}") for k in (0, 1) for f in (F.min, F.max)])
+    known = _numbered(counts.where("_t IS NOT NULL AND (_min0 < _max0 OR _min1 < _max1)").select("_t", "_n"), "_i", F.desc("_n"), F.asc("_t"))
+    often = known.where(F.col("_n") > most).count()
+
+    each = one.select(*keys, owner, "_j", F.explode("_a").alias("_t"))
+    if known.count() <= MAX_BROADCAST_TOKENS:
+        each = each.join(F.broadcast(known.select("_t", "_i")), "_t")
+    else:
+        each = each.join(known.select("_t", "_i"), "_t").repartition("_j").sortWithinPartitions("_j")
+    each = each.select(*keys, owner, "_j", "_i")
+    each.mapInArrow(_gather, StructType([*each.schema.fields[:-1], StructField("_o", ArrayType(IntegerType()))])).write.option("compression", "zstd").parquet(f"{folder}/numbers")
+    kept = spark.read.parquet(f"{folder}/numbers")
+
+    owners = _numbered(kept.select(owner).distinct(), "_w", F.col(owner))
+    n_owners = owners.count()
+    sets = kept.where(F.col("_o").isNotNull()).join(F.broadcast(owners) if n_owners <= MAX_BROADCAST_OWNERS else owners, owner).select("_j", "_w", "_o")
+    volume = kept.agg(F.sum(F.size("_o").cast("long") * (F.size("_o") - 1) / 2)).first()[0] or 0
+    buckets = max(128, int(volume / MAX_BUCKET))
+    shift = max(8, 16 - (n_owners // BITS).bit_length())
+    dealt = sets.mapInArrow(partial(_deal, buckets=buckets, often=often), "_b long, _n long, _m long, _data binary")
+    met = dealt.groupBy("_b").applyInArrow(lambda rows: _meet(rows, shift), "_r long, _n long, _data binary")
+    every = met.groupBy("_r").applyInArrow(lambda rows: _merge(rows, shift), "_j long, _block long, _bits long")
+
+    if often >= 3:
+        few = F.size(F.filter("_o", lambda t: t >= often))
+        heavy = sets.select("_j", "_w", F.slice("_o", few + 1, F.size("_o")).alias("_o")).where(F.size("_o") >= 3)
+        heavy = heavy.select("_j", "_w", F.posexplode("_o").alias("_p", "_1"), "_o").select("_j", "_w", "_1", F.posexplode(F.slice("_o", F.col("_p") + 2, F.size("_o"))).alias("_p", "_2"), F.slice("_o", F.col("_p") + 2, F.size("_o")).alias("_o"))
+        heavy = heavy.select("_j", "_w", "_1", "_2", F.explode(F.slice("_o", F.col("_p") + 2, F.size("_o"))).alias("_3"))
+        block, bit = F.floor(F.col("_w") / BITS).alias("_block"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_w") % BITS).cast("int"))
+        of = heavy.groupBy("_1", "_2", "_3", block).agg(F.bit_or(bit).alias("_bits"))
+        other = F.when(F.floor(F.col("_w") / BITS) == F.col("_block"), F.col("_bits").bitwiseAND(F.bitwise_not(bit))).otherwise(F.col("_bits"))
+        often_met = heavy.join(of, ["_1", "_2", "_3"]).select("_j", "_block", other.alias("_bits")).where("_bits <> 0")
+        every = every.unionByName(often_met).groupBy("_j", "_block").agg(F.bit_or("_bits").alias("_bits"))
+    found = every.groupBy("_j").agg(F.sum(F.bit_count("_bits")).cast("long").alias("others"))
+    return kept.select(*keys, "_j").join(found, "_j").select(*keys, "others")

@@ -185,3 +185,31 @@ def test_similar_items_of_many_owners_compare_no_pairs(spark, monkeypatch):
     tokens = link.np.array([5, 6, 7, 8, 5, 6, 7, 6, 7, 8, 5, 6, 7])
     for most in (1, 2, 100):  # rows of a group that share two tokens, in parts of any size
         assert {b: x.tolist() for b, x in link._shared_pairs(group, owner, sizes, tokens, most)} == {0: [2, 3, 1, 0], 1: [128, 0, 128, 0]}
+
+
+def test_similar_items_shuffle_little(spark):
+    import random
+
+    def shuffled():
+        executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+    draw = random.Random(5)
+    items = [(i, f"o{i % 9}", [f"w{int(draw.random() ** 2 * 4000):04}" for _ in range(12)]) for i in range(10_000)]
+    before = shuffled()
+    link.similar_elsewhere(spark.createDataFrame(items, "i int, o string, t array<string>"), "i", "o", "t").collect()
+    assert shuffled() - before < 4 * sum(len(w) for _, _, t in items for w in t)
+
+
+def test_similar_items_in_many_numbers_and_copies(spark, monkeypatch):
+    items = [(i, f"o{i % 3}", list("abcdz" if i % 2 else "bcde")) for i in range(60)] + [(60, "o4", list("xyz")), (61, "o5", list("xay")), (62, "o6", ["x", None, "a", "y"])]
+    df = spark.createDataFrame(items, "i int, o string, t array<string>").repartition(3)
+    expected = [(i, 2) for i in range(60)] + [(61, 1), (62, 1)]
+    assert rows(link.similar_elsewhere(df, "i", "o", "t"), "i", "others") == expected
+    monkeypatch.setattr(link, "MAX_BROADCAST_TOKENS", 0)
+    monkeypatch.setattr(link, "MAX_BROADCAST_OWNERS", 0)
+    assert rows(link.similar_elsewhere(df, "i", "o", "t"), "i", "others") == expected
+    batches = [link.pa.RecordBatch.from_arrays([link.pa.array(k, "int64")], names=["k"]) for k in ([1, 1, 2], [], [2, 2], [2, 3, 3], [4])]
+    assert [t["k"].to_pylist() for t in link._rows_upto(iter(batches), "k", 3)] == [[1, 1], [2, 2, 2, 2], [3, 3], [4]]
+    numbers = [link.np.array(x, t) for x, t in (([1, -5, 1 << 40], "int64"), ([], "int32"), ([7, -1], "int32"))]
+    assert [x.tolist() for x in link._unpacked(link._packed(*numbers), (3, "int64"), (0, "int32"), (2, "int32"))] == [x.tolist() for x in numbers]
