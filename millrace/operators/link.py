@@ -260,6 +260,8 @@ def _prefix_elsewhere(items: DataFrame, key: str | list[str], owner: str, tokens
 BITS, MAX_BROADCAST_OWNERS, MAX_BROADCAST_TOKENS, MAX_GROUP, MAX_TRIPLES = 63, 100_000, 2_000_000, 1_000_000, 1_000_000
 #: Tokens that a bucket of groups takes, about; bytes of a table's dictionary of tokens; the largest number of 32 bits.
 MAX_BUCKET, MAX_DICTIONARY, LAST = 2_000_000, 8 << 20, (1 << 31) - 1
+#: Places of a table of pairs for each that is there, at most.
+SPARSE = 32
 
 
 def _sorted_places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,38 +285,46 @@ def _shared_pairs(group: np.ndarray, owner: np.ndarray, sizes: np.ndarray, token
     starts = np.flatnonzero(new)
     of = owner[row[order]]
     several = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
-    several = np.repeat(several, np.diff(starts, append=len(key)))  # a token that one owner alone has in a group finds nobody
+    # a token that one owner alone has in a group finds nobody
+    of = key[starts][several] // width
+    behind = np.searchsorted(of, of, side="right") - np.arange(len(of)) - 1  # a kept pair of group and token, numbered in order: those that follow in its group
     kept, pair = np.empty(len(key), bool), np.empty(len(key), np.int64)
-    kept[order], pair[order] = several, np.cumsum(new) - 1  # a pair of group and token
+    several, new = np.repeat(several, np.diff(starts, append=len(key))), np.cumsum(several) - 1
+    kept[order], pair[order] = several, np.repeat(new, np.diff(starts, append=len(key)))
     order = (np.cumsum(kept) - 1)[order[several]]
-    row, token, pair = row[kept], tokens[kept], pair[kept]
+    row, pair = row[kept], pair[kept]
     after = np.cumsum(np.bincount(row, minlength=len(group)))[row] - np.arange(len(row)) - 1
     order = order[after[order] > 0]
     if not len(order):
         return
-    # parts that end where a pair of group and token does, so that a task holds few triples at a time
-    ends = np.append(np.flatnonzero(np.diff(pair[order])) + 1, len(order))
-    upto = np.cumsum(after[order])[ends - 1]
-    cuts = ends[np.append(np.flatnonzero(np.diff(upto // most)), len(ends) - 1)]
     blocks = np.unique(owner // BITS)
     found = {block: np.zeros(len(group), np.int64) for block in blocks.tolist()}
     own = {block: np.where(owner // BITS == block, np.int64(1) << (owner % BITS), 0) for block in found}
-    for first, last in zip(np.append(0, cuts[:-1]), cuts):
-        part = order[first:last]
-        n = after[part]
-        begin = np.cumsum(n) - n
-        other = np.repeat(part + 1 - begin, n) + np.arange(n.sum())
-        triple, by = _sorted_places(np.repeat((pair[part] - pair[part[0]]) * np.int64(width), n) + token[other])
-        starts = np.flatnonzero(np.diff(triple, prepend=-1))
-        runs = np.diff(starts, append=len(by))
-        of = np.repeat(row[part], n)[by]
-        owners = owner[of]
-        shared = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
-        if not shared.any():
+    # a table of all that may follow, where that isn't much more than what does; else sorting
+    tabled = (behind <= SPARSE * np.bincount(pair[order], after[order], minlength=len(behind)))[pair[order]]
+    for table in (True, False):
+        mine = order[tabled == table]
+        if not len(mine):
             continue
-        of, runs = of[np.repeat(shared, runs)], runs[shared]
-        for block, bits in found.items():
-            np.bitwise_or.at(bits, of, np.repeat(np.bitwise_or.reduceat(own[block][of], np.cumsum(runs) - runs), runs))
+        # parts that end where a pair of group and token does, so that a task holds few triples at a time
+        ends = np.append(np.flatnonzero(np.diff(pair[mine])) + 1, len(mine))
+        upto = np.cumsum(after[mine])[ends - 1] + table * np.cumsum(behind[pair[mine[ends - 1]]]) // 8
+        cuts = ends[np.append(np.flatnonzero(np.diff(upto // most)), len(ends) - 1)]
+        for first, last in zip(np.append(0, cuts[:-1]), cuts):
+            part = mine[first:last]
+            n, of, p = after[part], row[part], pair[part]
+            begin = np.cumsum(n) - n
+            new = np.diff(p, prepend=-1) != 0
+            room = np.cumsum(behind[p[new]])
+            place = np.repeat((room - behind[p[new]])[np.cumsum(new) - 1] - p - 1, n) + pair[np.repeat(part + 1 - begin, n) + np.arange(n.sum())]
+            if not table:
+                ranks, by = _sorted_places(place)
+                starts = np.flatnonzero(np.diff(ranks, prepend=-1))
+                place[by] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(by)))
+            for block, bits in found.items():
+                every = np.zeros(room[-1] if table else len(starts), np.int64)
+                np.bitwise_or.at(every, place, np.repeat(own[block][of], n))
+                np.bitwise_or.at(bits, of, np.bitwise_or.reduceat(every[place], begin))
     for block, bits in found.items():
         yield block, bits & ~own[block]
 
